@@ -1,0 +1,107 @@
+"""A version history kept in Parquet, updated without touching what is being read.
+
+Each update writes one folder, ``rows/version=N``, with the versions it closed
+and all versions open after it, and then adds a line to ``commits``. Readers go
+by the highest committed version: the open rows of that version and the closed
+rows of all versions up to it. Closed history is never rewritten, an update
+that died half-way is invisible and overwritten by its repetition, and a batch
+that was committed before is skipped.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.schema import IS_CURRENT, VALID_FROM, VALID_TO
+from tidemark.sources.tables import WriteMetrics, write_table
+
+_COMMIT = "version long, batch string, row_count long, seconds double"
+
+
+@dataclass(frozen=True)
+class HistoryTable:
+    """``columns`` are the entity columns; the three version columns are added."""
+
+    spark: SparkSession
+    path: str
+    columns: T.StructType
+    time_type: T.DataType = T.TimestampType()
+
+    @property
+    def schema(self) -> T.StructType:
+        return (
+            T.StructType(list(self.columns))
+            .add(VALID_FROM, self.time_type)
+            .add(VALID_TO, self.time_type)
+            .add(IS_CURRENT, T.BooleanType())
+        )
+
+    def _commits(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def version(self) -> int | None:
+        """The highest committed version."""
+        commits = self._commits()
+        return None if commits is None else commits.agg(F.max("version")).first()[0]
+
+    def committed(self, batch: str) -> bool:
+        commits = self._commits()
+        return commits is not None and not commits.where(F.col("batch") == batch).isEmpty()
+
+    def _rows(self) -> tuple[DataFrame, int] | None:
+        version = self.version()
+        if version is None:
+            return None
+        stored = T.StructType(list(self.schema)).add("version", T.LongType())
+        return self.spark.read.schema(stored).parquet(f"{self.path}/rows"), version
+
+    def opened(self) -> DataFrame:
+        """The open versions; reads one folder."""
+        found = self._rows()
+        if found is None:
+            return self.spark.createDataFrame([], self.schema)
+        rows, version = found
+        return rows.where(F.col(IS_CURRENT) & (F.col("version") == version)).drop("version")
+
+    def read(self) -> DataFrame:
+        """All versions; the filter prunes folders, superseded open rows are not read."""
+        found = self._rows()
+        if found is None:
+            return self.spark.createDataFrame([], self.schema)
+        rows, version = found
+        visible = F.when(F.col(IS_CURRENT), F.col("version") == version).otherwise(
+            F.col("version") <= version
+        )
+        return rows.where(visible).drop("version")
+
+    def update(self, batch: str, step: Callable[[DataFrame], DataFrame]) -> WriteMetrics | None:
+        """Replace the open versions by ``step(open versions)``, once per batch.
+
+        ``step`` returns the versions it closed and all that are open now. None
+        if the batch was committed before.
+        """
+        if self.committed(batch):
+            return None
+        version = self.version()
+        target = 0 if version is None else version + 1
+        written = write_table(
+            step(self.opened()).select(*self.schema.names),
+            f"{self.path}/rows/version={target}",
+            partition_by=[IS_CURRENT],
+            gather=False,
+        )
+        self.spark.createDataFrame(
+            [(target, batch, written.rows, written.seconds)], _COMMIT
+        ).coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        return written
