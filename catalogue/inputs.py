@@ -43,6 +43,20 @@ JOIN {nation} ON c_nationkey = n_nationkey
 JOIN {region} ON n_regionkey = r_regionkey
 """
 
+# Column types of the given tables; reading with a schema spares a look into the
+# files before every query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
 # Instants between which the event log is read as snapshots.
 T0 = datetime(2024, 1, 11)
 T1 = datetime(2024, 1, 21)
@@ -53,7 +67,7 @@ LEFT = "error"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_entities(spark: SparkSession, sf_dir: str) -> DataFrame:

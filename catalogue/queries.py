@@ -310,10 +310,12 @@ def scd2_as_of(spark, sf_dir):
 def scd2_point_in_time(spark, sf_dir):
     log = events(spark, sf_dir)
     versions = scd2.scd2_from_history(
-        daily_states(log), ["user_id"], ["event_type"], "known_at"
+        daily_states(log), ["user_id"], ["event_type"], "known_at", weigh=log
     ).withColumnRenamed("event_type", "known_state")
     facts = log.select("event_id", "user_id", "ts", "event_type", "value")
-    return scd2.scd2_point_in_time(facts, versions, ["user_id"], "ts", ["known_state", VALID_FROM])
+    return scd2.scd2_point_in_time(
+        facts, versions, ["user_id"], "ts", ["known_state", VALID_FROM], weigh=log
+    )
 
 
 @query

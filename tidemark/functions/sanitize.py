@@ -44,6 +44,10 @@ def _ascii_map() -> tuple[dict[str, str], dict[str, str]]:
     return one, many
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def _to_ascii(text: Column) -> Column:
     one, many = _ascii_map()
     stand_ins = [chr(_STAND_IN + i) for i in range(len(many))]
@@ -55,23 +59,31 @@ def _to_ascii(text: Column) -> Column:
         "".join(one.values()) + "".join(stand_ins),
     )
     block = f"[\\x{{{_STAND_IN:X}}}-\\x{{{_STAND_IN + len(many) - 1:X}}}]"
-    table = F.array(*[F.lit(v) for v in many.values()])
+    # One literal that the optimizer splits once, instead of one per entry.
+    table = F.split(F.lit(";".join(many.values())), ";")
 
     def expand(piece: Column) -> Column:
         head = F.get(table, F.ascii(piece) - _STAND_IN)  # null unless a stand-in
         return F.coalesce(F.concat(head, F.substring(piece, 2, 2**31 - 1)), piece)
 
-    pieces = F.split(mapped, f"(?={block})")
-    expanded = F.array_join(F.transform(pieces, expand), "")
-    return F.regexp_replace(
-        F.when(mapped.rlike(block), expanded).otherwise(mapped), "[^\\x00-\\x7F]+", ""
-    )
+    def finish(value: Column) -> Column:
+        pieces = F.split(value, f"(?={block})")
+        whole = F.when(
+            value.rlike(block), F.array_join(F.transform(pieces, expand), "")
+        ).otherwise(value)
+        # Accented Latin text is ASCII by now and needs no further search.
+        return F.when(_is_ascii(value), value).otherwise(
+            F.regexp_replace(whole, "[^\\x00-\\x7F]+", "")
+        )
+
+    # The detour through an array computes the mapped value once for all its uses.
+    return F.get(F.transform(F.array(mapped), finish), F.lit(0))
 
 
 def sanitize(c: Column | str) -> Column:
     """``c`` as ASCII text that is safe as a path component; never null or empty."""
     text = (F.col(c) if isinstance(c, str) else c).cast("string")
-    plain = F.when(F.octet_length(text) == F.length(text), text).otherwise(_to_ascii(text))
+    plain = F.when(_is_ascii(text), text).otherwise(_to_ascii(text))
     unsafe = "[" + "".join("\\" + ch for ch in UNSAFE) + "_]+"
     safe = F.btrim(F.regexp_replace(plain, unsafe, "_"), F.lit("_"))
-    return F.coalesce(F.nullif(safe, F.lit("")), F.lit(NO_VALUE))
+    return F.coalesce(F.regexp_replace(safe, "^$", NO_VALUE), F.lit(NO_VALUE))

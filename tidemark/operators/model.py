@@ -107,14 +107,21 @@ def star_view(
 
 
 def surrogate_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A null-safe key over ``columns``: equal values, nulls included, equal keys."""
+    """A null-safe key over ``columns``: equal values, nulls included, equal keys.
+
+    Every value is written with its length in front, so different rows never
+    give the same text, and the text is hashed.
+    """
     values = []
     for c in columns:
         value = F.col(c)
         if df.schema[c].dataType.typeName() in ("double", "float"):
             value = value + F.lit(0.0)  # minus zero and zero are one value
-        values.append(value.alias(c))
-    return F.sha2(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), 256)
+        value = value.cast("string")
+        values.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("-")))
+    # Never null, and told so: joins on the key need no null filter, which would
+    # compute it a second time.
+    return F.coalesce(F.sha2(F.concat(*values), 256), F.lit(""))
 
 
 def _location_columns(spec: EntitySpec) -> list[str]:

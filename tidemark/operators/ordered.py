@@ -61,17 +61,21 @@ def split_hot_keys(
     keys: Sequence[str],
     order: str,
     parts: int | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    min_rows: int | None = None,
+    weigh: DataFrame | None = None,
 ) -> tuple[DataFrame, int]:
     """``df`` with a ``RANGE`` column, and the number of ranges (0: no hot key).
 
+    Keys are counted in ``weigh`` where given: the stored table that ``df`` is
+    derived from, if counting there is cheaper and keys are as frequent.
     The cuts are approximate quantiles of ``order``, taken once and then fixed
     as a local table, so every branch of the plan sees the same ranges. The
     number of cuts follows the weight of the key; together there are fewer than
     twice ``parts``.
     """
     parts = parts or default_parts(df)
-    hot = hot_keys(df, keys, parts, min_rows)
+    least = MIN_HOT_ROWS if min_rows is None else min_rows
+    hot = hot_keys(df if weigh is None else weigh, keys, parts, least)
     if hot is None:
         return df.withColumn(RANGE, F.lit(COLD)), 0
 

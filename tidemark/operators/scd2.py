@@ -160,6 +160,7 @@ def scd2_from_history(
     tie_break: Sequence[str] = (),
     parts: int | None = None,
     min_rows: int | None = None,
+    weigh: DataFrame | None = None,
 ) -> DataFrame:
     """Versions rebuilt from a change log, equal neighbours collapsed.
 
@@ -172,8 +173,7 @@ def scd2_from_history(
         *[_required(k) for k in keys],
         *[c for c in _unique([*tracked, at, *tie_break]) if c not in keys],
     )
-    limits = {} if min_rows is None else {"min_rows": min_rows}
-    rows, ranges = split_hot_keys(rows, keys, at, parts, **limits)
+    rows, ranges = split_hot_keys(rows, keys, at, parts, min_rows, weigh)
     if not ranges:
         # Without hot keys one exchange can serve this step and the windows below.
         rows = rows.repartition(*keys)
@@ -257,6 +257,7 @@ def scd2_point_in_time(
     how: str = "left",
     parts: int | None = None,
     min_rows: int | None = None,
+    weigh: DataFrame | None = None,
 ) -> DataFrame:
     """Each fact with the ``attributes`` of the version valid at its time.
 
@@ -268,7 +269,7 @@ def scd2_point_in_time(
         raise ValueError("how is 'left' or 'inner'")
     attributes = list(attributes)
     fact_type = F.struct(*facts.columns)
-    version_type = F.struct(VALID_FROM, VALID_TO, *attributes)
+    version_type = F.struct(*_unique([VALID_FROM, VALID_TO, *attributes]))
     # Versions come first at equal times: the interval includes its start.
     left = facts.select(
         *keys, F.col(at).alias("_at"), F.lit(1).alias("_side"), fact_type.alias("_fact")
@@ -276,9 +277,8 @@ def scd2_point_in_time(
     right = versions.select(
         *keys, F.col(VALID_FROM).alias("_at"), F.lit(0).alias("_side"), version_type.alias("_version")
     )
-    limits = {} if min_rows is None else {"min_rows": min_rows}
     both = left.unionByName(right, allowMissingColumns=True)
-    rows, ranges = split_hot_keys(both, keys, "_at", parts, **limits)
+    rows, ranges = split_hot_keys(both, keys, "_at", parts, min_rows, weigh)
     # Facts without a key match nothing; spread them instead of sorting them together.
     null_key = F.lit(False)
     for k in keys:
@@ -316,6 +316,7 @@ def scd2_check(
     keys: Sequence[str],
     parts: int | None = None,
     min_rows: int | None = None,
+    weigh: DataFrame | None = None,
 ) -> DataFrame:
     """Violations of the history rules, counted per key and rule; empty if sound.
 
@@ -323,9 +324,8 @@ def scd2_check(
     version does not end after its start. ``flag``: ``is_current`` disagrees
     with ``valid_to``. ``open``: open versions of the key beyond the first.
     """
-    limits = {} if min_rows is None else {"min_rows": min_rows}
     rows, ranges = split_hot_keys(
-        df.select(*keys, *SCD2_COLUMNS), keys, VALID_FROM, parts, **limits
+        df.select(*keys, *SCD2_COLUMNS), keys, VALID_FROM, parts, min_rows, weigh
     )
     # An open version never ends: count it as ended one row after all others.
     forever = F.col(VALID_TO).isNull()
