@@ -1,0 +1,44 @@
+"""Every registered query against its SQL counterpart on the smallest tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from check import differences, oracle
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return oracle(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, con, name):
+    got = entry.queries()[name](spark, SF_DIR).toPandas()
+    assert len(got) > 0
+    if name in entry.oracle_sql():
+        assert differences(got, con.execute(entry.oracle_sql()[name]).df()) == ""
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 844
+
+
+def test_every_sql_has_a_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"run_metrics"}
+
+
+def test_known_sizes(spark):
+    """Sizes that follow from the cleaning rules, fixed values."""
+    run = entry.queries()
+    sizes = {
+        "silver_conform": 1500, "dim_location": 431, "dim_type": 6, "agg_by_type_location": 844,
+        "star_view": 2708, "star_view_sk": 1500,
+    }
+    assert {name: run[name](spark, SF_DIR).count() for name in sizes} == sizes
