@@ -145,12 +145,6 @@ def table_counts(spark, sf_dir):
     return quality.table_counts(gold.gold_tables(silver(spark, sf_dir)))
 
 
-@query
-def run_metrics(spark, sf_dir):
-    out = scratch_path(spark, "run-metrics")
-    return tables.metrics_frame(spark, gold.write_gold(silver(spark, sf_dir), out))
-
-
 # Dimensions, fact, rollup, views
 
 
@@ -186,13 +180,23 @@ def star_view_sk(spark, sf_dir):
     return model.star_view_sk(model.fact_sk(entities), model.location_dim_sk(entities), model.kind_dim_sk(entities))
 
 
+def _write_gold(spark, sf_dir, out: str) -> list[tables.WriteMetrics]:
+    written = tables.write_table(silver(spark, sf_dir), f"{out}/silver")
+    return [written, *gold.write_gold(tables.read_table(spark, written.path), out)]
+
+
 def _stored_gold(spark, sf_dir) -> str:
     out = scratch_path(spark, "gold")
-    tables.write_table(silver(spark, sf_dir), f"{out}/silver")
-    gold.write_gold(tables.read_table(spark, f"{out}/silver"), out)
+    _write_gold(spark, sf_dir, out)
     return out
 
 
+@query
+def run_metrics(spark, sf_dir):
+    metrics = _write_gold(spark, sf_dir, scratch_path(spark, "gold"))
+    return tables.metrics_frame(spark, metrics)
+
+
 @query
 def star_view_sql(spark, sf_dir):
     gold.publish_gold_views(spark, _stored_gold(spark, sf_dir))
