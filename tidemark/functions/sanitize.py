@@ -5,11 +5,12 @@ characters to ``_``, everything else that is not ASCII dropped, runs of ``_``
 collapsed and trimmed; null and empty results become ``no_value``.
 
 Decomposition followed by dropping what is not ASCII treats every character on
-its own, so the whole first half is a fixed map from one character to a short
+its own, so all but the last step is a fixed map from one character to a short
 ASCII string. The map follows by rule from the Unicode character database, and
 ``translate`` applies it in the JVM. Characters that turn into two or more
 (``½``, ``ﬁ``, ``ß``) take a detour: ``translate`` gives each a stand-in from a
-private-use block, and only values that hold a stand-in are split and expanded.
+private-use block, and only values that hold something not yet ASCII are split
+at the stand-ins and expanded.
 """
 
 from __future__ import annotations
@@ -30,26 +31,23 @@ _STAND_IN = 0xF0000  # first code point of a private-use plane
 
 
 @lru_cache(maxsize=1)
-def _ascii_map() -> tuple[dict[str, str], dict[str, str]]:
-    """Characters that decompose to one ASCII character, and to more than one."""
-    one, many = {}, {SHARP_S: "ss"}
+def _safe_map() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that become one safe ASCII character, and those that become more."""
+    safe = str.maketrans(dict.fromkeys(UNSAFE, "_"))
+    one, many = dict.fromkeys(UNSAFE, "_"), {SHARP_S: "ss"}
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
         if unicodedata.decomposition(char):
             plain = "".join(c for c in unicodedata.normalize("NFKD", char) if c < "\x80")
             if len(plain) == 1:
-                one[char] = plain
+                one[char] = plain.translate(safe)
             elif plain:
-                many[char] = plain
+                many[char] = plain.translate(safe)
     return one, many
 
 
-def _is_ascii(text: Column) -> Column:
-    return F.octet_length(text) == F.length(text)
-
-
-def _to_ascii(text: Column) -> Column:
-    one, many = _ascii_map()
+def _to_safe_ascii(text: Column) -> Column:
+    one, many = _safe_map()
     stand_ins = [chr(_STAND_IN + i) for i in range(len(many))]
     # Stand-ins that occur in the input have no counterpart in the second
     # string, so translate deletes them, as it should: they are not ASCII.
@@ -66,24 +64,18 @@ def _to_ascii(text: Column) -> Column:
         head = F.get(table, F.ascii(piece) - _STAND_IN)  # null unless a stand-in
         return F.coalesce(F.concat(head, F.substring(piece, 2, 2**31 - 1)), piece)
 
-    def finish(value: Column) -> Column:
-        pieces = F.split(value, f"(?={block})")
-        whole = F.when(
-            value.rlike(block), F.array_join(F.transform(pieces, expand), "")
-        ).otherwise(value)
-        # Accented Latin text is ASCII by now and needs no further search.
-        return F.when(_is_ascii(value), value).otherwise(
-            F.regexp_replace(whole, "[^\\x00-\\x7F]+", "")
-        )
-
-    # The detour through an array computes the mapped value once for all its uses.
-    return F.get(F.transform(F.array(mapped), finish), F.lit(0))
+    expanded = F.array_join(F.transform(F.split(mapped, f"(?={block})"), expand), "")
+    # Equal lengths in bytes and characters: ASCII, the case for most values.
+    return F.when(F.octet_length(mapped) == F.length(mapped), mapped).otherwise(
+        F.regexp_replace(expanded, "[^\\x00-\\x7F]+", "")
+    )
 
 
 def sanitize(c: Column | str) -> Column:
     """``c`` as ASCII text that is safe as a path component; never null or empty."""
-    text = (F.col(c) if isinstance(c, str) else c).cast("string")
-    plain = F.when(_is_ascii(text), text).otherwise(_to_ascii(text))
-    unsafe = "[" + "".join("\\" + ch for ch in UNSAFE) + "_]+"
-    safe = F.btrim(F.regexp_replace(plain, unsafe, "_"), F.lit("_"))
-    return F.coalesce(F.regexp_replace(safe, "^$", NO_VALUE), F.lit(NO_VALUE))
+    safe = _to_safe_ascii((F.col(c) if isinstance(c, str) else c).cast("string"))
+    single = F.when(F.contains(safe, F.lit("__")), F.regexp_replace(safe, "__+", "_")).otherwise(safe)
+    trimmed = F.btrim(single, F.lit("_"))
+    return F.coalesce(
+        F.when(trimmed.isNull() | (trimmed == ""), NO_VALUE).otherwise(trimmed), F.lit(NO_VALUE)
+    )
