@@ -131,8 +131,12 @@ def test_history_table_never_rewrites_closed_rows(spark, folder):
         merge(spark, table, str(i), [(1, f"v{i}")], DAY[i])
     closed = [spark.read.parquet(p).count() for p in sorted(glob.glob(f"{folder}/h/rows/*/is_current=false"))]
     assert closed == [1, 1, 1]
-    plan = table.opened()._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "version" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {p.split("version=")[1][0] for p in table.opened().inputFiles()} == {"3"}
+    read = table.read()
+    read.collect()
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "version" in filters and "is_current" in filters
 
 
 def test_an_update_that_died_is_invisible_and_repeatable(spark, folder):

@@ -10,6 +10,7 @@ per input row. All rows take part and the results do not depend on the cuts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,18 @@ COLD = -1  # range of all keys that are not hot
 
 # A key below this many rows is never worth cutting.
 MIN_HOT_ROWS = 1_000_000
-MAX_RANGES = 256
+# Cuts of one key at most, and rows looked at to place one cut.
+MAX_CUTS = 4096
+ROWS_PER_CUT = 100
+_BLOCK = 64  # cuts are looked up block by block
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """The cuts of the hot keys, a local table of the keys and their sorted ``_cuts``."""
+
+    keys: tuple[str, ...]
+    cuts: DataFrame
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -45,15 +57,44 @@ def hot_keys(
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(
-        (F.col("_rows") > F.lit(min_rows)) & (F.col("_rows") * F.lit(parts) > total)
-    ).withColumn("_share", F.col("_rows") / total)
+    share = F.col("_rows") / total
+    hot = counts.where((F.col("_rows") > min_rows) & (share * parts > 1)).select(
+        *keys, "_rows", F.least(F.ceil(share * parts), F.lit(MAX_CUTS)).alias("_wanted")
+    )
     found = hot.toArrow()
-    return df.sparkSession.createDataFrame(found) if found.num_rows else None
+    return df.sparkSession.createDataFrame(found, hot.schema) if found.num_rows else None
 
 
 def default_parts(df: DataFrame) -> int:
-    return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """As many parts as a shuffle has: a key that outweighs an average partition is hot."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _place_cuts(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame) -> Ranges:
+    """Quantiles of ``order`` for each hot key, as many as its weight asks for.
+
+    Where a cut lies changes no result, so it is enough to look at some rows of
+    each key, picked by a hash of ``order``: at most ``ROWS_PER_CUT`` per cut.
+    """
+    one_in = F.greatest(F.floor(F.col("_rows") / (F.col("_wanted") * ROWS_PER_CUT)), F.lit(1))
+    seen = df.join(F.broadcast(hot), list(keys)).where(
+        F.pmod(F.xxhash64(order), one_in) == 0
+    )
+    steps = [i / MAX_CUTS for i in range(1, MAX_CUTS)]
+    every = F.ceil(F.lit(MAX_CUTS) / F.col("_wanted")).cast("int")
+    cuts = (
+        seen.groupBy(*keys, "_wanted")
+        .agg(F.percentile_approx(order, steps).alias("_cuts"))
+        .select(*keys, F.filter("_cuts", lambda _, i: (i + 1) % every == 0).alias("_cuts"))
+    )
+    return Ranges(tuple(keys), df.sparkSession.createDataFrame(cuts.toArrow(), cuts.schema))
+
+
+def _passed(cuts: Column, at: Column) -> Column:
+    """How many of the sorted ``cuts`` are not above ``at``."""
+    block_ends = F.filter(cuts, lambda _, i: i % _BLOCK == _BLOCK - 1)
+    below = F.size(F.filter(block_ends, lambda c: c <= at)) * _BLOCK
+    return below + F.size(F.filter(F.slice(cuts, below + 1, F.lit(_BLOCK)), lambda c: c <= at))
 
 
 def split_hot_keys(
@@ -63,45 +104,29 @@ def split_hot_keys(
     parts: int | None = None,
     min_rows: int | None = None,
     weigh: DataFrame | None = None,
-) -> tuple[DataFrame, int]:
-    """``df`` with a ``RANGE`` column, and the number of ranges (0: no hot key).
+) -> tuple[DataFrame, Ranges | None]:
+    """``df`` with a ``RANGE`` column, and the cuts (None if no key is hot).
 
     Keys are counted in ``weigh`` where given: the stored table that ``df`` is
     derived from, if counting there is cheaper and keys are as frequent.
-    The cuts are approximate quantiles of ``order``, taken once and then fixed
-    as a local table, so every branch of the plan sees the same ranges. The
-    number of cuts follows the weight of the key; together there are fewer than
-    twice ``parts``.
+
+    The cuts are taken once and then fixed as a local table, so every branch of
+    the plan sees the same ranges. Their number follows the weight of the keys;
+    together there are fewer than twice ``parts``.
     """
     parts = parts or default_parts(df)
     least = MIN_HOT_ROWS if min_rows is None else min_rows
     hot = hot_keys(df if weigh is None else weigh, keys, parts, least)
     if hot is None:
-        return df.withColumn(RANGE, F.lit(COLD)), 0
-
-    steps = [i / parts for i in range(1, parts)]
-    cuts = (
-        df.join(F.broadcast(hot), list(keys))
-        .groupBy(*keys, "_share")
-        .agg(F.percentile_approx(order, steps).alias("_cuts"))
-        .select(
-            *keys,
-            F.filter(
-                "_cuts", lambda _, i: i % F.ceil(F.lit(1) / F.col("_share")).cast("int") == 0
-            ).alias("_cuts"),
-        )
-        .toArrow()
-    )
-    cuts = df.sparkSession.createDataFrame(cuts, schema=None)
-    at = F.col(order)
-    passed = F.size(F.filter("_cuts", lambda c: c.cast(df.schema[order].dataType) <= at))
-    rows = (
-        df.join(F.broadcast(cuts), list(keys), "left")
-        .withColumn(RANGE, F.when(F.col("_cuts").isNull(), COLD).otherwise(passed))
-        .drop("_cuts")
-        .select(*df.columns, RANGE)
+        return df.withColumn(RANGE, F.lit(COLD)), None
+    ranges = _place_cuts(df, keys, order, hot)
+    rows = df.join(F.broadcast(ranges.cuts), list(keys), "left").select(
+        *[df[c] for c in df.columns],
+        F.when(F.col("_cuts").isNull(), COLD)
+        .otherwise(_passed(F.col("_cuts"), F.col(order)))
+        .alias(RANGE),
     )
-    return rows, parts
+    return rows, ranges
 
 
 def within_ranges(keys: Sequence[str], *order: str | Column):
@@ -109,21 +134,24 @@ def within_ranges(keys: Sequence[str], *order: str | Column):
     return Window.partitionBy(*keys, RANGE).orderBy(*order)
 
 
-def carry_forward(edges: DataFrame, keys: Sequence[str], value: str, ranges: int) -> DataFrame:
+def carry_forward(edges: DataFrame, ranges: Ranges, value: str) -> DataFrame:
     """For each range the ``value`` of the nearest earlier range in ``edges``."""
+    keys = list(ranges.keys)
+    last = ranges.cuts.select(*keys, F.size("_cuts").alias("_last"))
     following = F.lead(RANGE).over(Window.partitionBy(*keys).orderBy(RANGE))
-    return edges.withColumn("_until", F.coalesce(following, F.lit(ranges))).select(
-        *keys,
-        F.explode(F.sequence(F.col(RANGE) + 1, "_until")).alias(RANGE),
-        F.col(value),
+    return (
+        edges.withColumn("_following", following)
+        .join(F.broadcast(last), keys)
+        .withColumn("_until", F.coalesce("_following", "_last"))
+        .where(F.col(RANGE) < F.col("_until"))
+        .select(*keys, F.explode(F.sequence(F.col(RANGE) + 1, "_until")).alias(RANGE), value)
     )
 
 
-def carry_backward(edges: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def carry_backward(edges: DataFrame, ranges: Ranges, value: str) -> DataFrame:
     """For each range the ``value`` of the nearest later range in ``edges``."""
+    keys = list(ranges.keys)
     previous = F.lag(RANGE).over(Window.partitionBy(*keys).orderBy(RANGE))
     return edges.withColumn("_from", F.coalesce(previous, F.lit(COLD))).select(
-        *keys,
-        F.explode(F.sequence("_from", F.col(RANGE) - 1)).alias(RANGE),
-        F.col(value),
+        *keys, F.explode(F.sequence("_from", F.col(RANGE) - 1)).alias(RANGE), value
     )

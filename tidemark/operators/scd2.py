@@ -189,7 +189,7 @@ def scd2_from_history(
             .groupBy(*keys, RANGE)
             .agg(F.max_by("_state", at).alias("_carried"))
         )
-        carried = carry_forward(tails, keys, "_carried", ranges)
+        carried = carry_forward(tails, ranges, "_carried")
         states = states.join(carried, [*keys, RANGE], "left").withColumn(
             "_before", F.coalesce("_before", "_carried")
         )
@@ -205,7 +205,7 @@ def scd2_from_history(
             .agg(F.min(at).alias("_carried"))
         )
         versions = versions.join(
-            carry_backward(heads, keys, "_carried"), [*keys, RANGE], "left"
+            carry_backward(heads, ranges, "_carried"), [*keys, RANGE], "left"
         ).withColumn("_next", F.coalesce("_next", "_carried"))
     return versions.select(
         *keys,
@@ -295,7 +295,7 @@ def scd2_point_in_time(
             .agg(F.max_by("_version", "_at").alias("_carried"))
         )
         rows = rows.join(
-            carry_forward(tails, keys, "_carried", ranges), [*keys, RANGE], "left"
+            carry_forward(tails, ranges, "_carried"), [*keys, RANGE], "left"
         ).withColumn("_found", F.coalesce("_found", "_carried"))
     found = F.col("_found")
     valid = F.coalesce(
@@ -343,7 +343,7 @@ def scd2_check(
             .withColumn("_carried", F.max("_top").over(so_far))
         )
         rows = rows.join(
-            carry_forward(reached, keys, "_carried", ranges), [*keys, RANGE], "left"
+            carry_forward(reached, ranges, "_carried"), [*keys, RANGE], "left"
         ).withColumn("_reached", F.greatest("_reached", "_carried"))
     reached = F.col("_reached")
     overlap = reached["open"] | (reached["at"] > F.col(VALID_FROM))

@@ -59,31 +59,27 @@ class HistoryTable:
         commits = self._commits()
         return commits is not None and not commits.where(F.col("batch") == batch).isEmpty()
 
-    def _rows(self) -> tuple[DataFrame, int] | None:
-        version = self.version()
-        if version is None:
-            return None
+    def _rows(self, folder: str = "") -> DataFrame:
         stored = T.StructType(list(self.schema)).add("version", T.LongType())
-        return self.spark.read.schema(stored).parquet(f"{self.path}/rows"), version
+        rows = f"{self.path}/rows"
+        return self.spark.read.schema(stored).option("basePath", rows).parquet(rows + folder)
 
     def opened(self) -> DataFrame:
-        """The open versions; reads one folder."""
-        found = self._rows()
-        if found is None:
+        """The open versions; lists and reads the last version's folder only."""
+        version = self.version()
+        if version is None:
             return self.spark.createDataFrame([], self.schema)
-        rows, version = found
-        return rows.where(F.col(IS_CURRENT) & (F.col("version") == version)).drop("version")
+        return self._rows(f"/version={version}").where(F.col(IS_CURRENT)).drop("version")
 
     def read(self) -> DataFrame:
         """All versions; the filter prunes folders, superseded open rows are not read."""
-        found = self._rows()
-        if found is None:
+        version = self.version()
+        if version is None:
             return self.spark.createDataFrame([], self.schema)
-        rows, version = found
         visible = F.when(F.col(IS_CURRENT), F.col("version") == version).otherwise(
             F.col("version") <= version
         )
-        return rows.where(visible).drop("version")
+        return self._rows().where(visible).drop("version")
 
     def update(self, batch: str, step: Callable[[DataFrame], DataFrame]) -> WriteMetrics | None:
         """Replace the open versions by ``step(open versions)``, once per batch.
