@@ -171,13 +171,17 @@ def agg_by_type_location(spark, sf_dir):
 @query
 def star_view(spark, sf_dir):
     entities = silver(spark, sf_dir)
-    return model.star_view(model.fact(entities), model.location_dim(entities), model.kind_dim(entities))
+    return model.star_view(
+        model.fact(entities), model.location_dim(entities), model.kind_dim(entities)
+    )
 
 
 @query
 def star_view_sk(spark, sf_dir):
     entities = silver(spark, sf_dir)
-    return model.star_view_sk(model.fact_sk(entities), model.location_dim_sk(entities), model.kind_dim_sk(entities))
+    return model.star_view_sk(
+        model.fact_sk(entities), model.location_dim_sk(entities), model.kind_dim_sk(entities)
+    )
 
 
 def _write_gold(spark, sf_dir, out: str) -> list[tables.WriteMetrics]:
@@ -361,7 +365,8 @@ def snapshot_pages(spark, sf_dir):
 def land_snapshot(spark, sf_dir):
     raw = snapshot.stamp(raw_entities(spark, sf_dir), ntz(T2))
     base = scratch_path(spark, "landed")
-    return snapshot.read_pages(spark, snapshot.land_snapshot(raw, base, RUN_1).path, raw.schema, multi_line=False)
+    landed = snapshot.land_snapshot(raw, base, RUN_1)
+    return snapshot.read_pages(spark, landed.path, raw.schema, multi_line=False)
 
 
 @query

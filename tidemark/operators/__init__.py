@@ -1,0 +1,17 @@
+from tidemark.operators.ordered import latest_per_key
+from tidemark.operators.scd2 import (
+    scd2_as_of,
+    scd2_check,
+    scd2_current,
+    scd2_extend,
+    scd2_from_history,
+    scd2_initial,
+    scd2_merge,
+    scd2_point_in_time,
+    snapshot_diff,
+)
+
+__all__ = [
+    "latest_per_key", "scd2_as_of", "scd2_check", "scd2_current", "scd2_extend",
+    "scd2_from_history", "scd2_initial", "scd2_merge", "scd2_point_in_time", "snapshot_diff",
+]
