@@ -271,7 +271,11 @@ def scd2_initial(spark, sf_dir):
 def _merged(spark, sf_dir, on_missing, steps=(T1, T2)) -> DataFrame:
     log = events(spark, sf_dir)
     history = _initial(spark, sf_dir)
-    for at in steps:
+    for n, at in enumerate(steps):
+        if n:
+            # A merge reads its table twice, so every step starts from a stored one.
+            written = tables.write_table(history, scratch_path(spark, "merged"))
+            history = tables.read_table(spark, written.path, schema=history.schema)
         history = scd2.scd2_merge(
             history, user_snapshot(log, at), ["user_id"], ["event_type"], ntz(at), on_missing
         )

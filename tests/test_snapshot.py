@@ -130,6 +130,15 @@ def test_latest_reads_the_whole_snapshot_of_many_files(spark, folder):
     assert read_latest(spark, folder, spark.range(1).schema).count() == 100
 
 
+def test_unfinished_runs_and_empty_days_are_passed_over(spark, folder):
+    land_snapshot(spark.createDataFrame([("done", 1)], SMALL), folder, datetime(2024, 1, 1))
+    land_snapshot(spark.createDataFrame([("half", 1)], SMALL), folder, datetime(2024, 1, 2))
+    os.remove(f"{folder}/year=2024/month=1/day=2/run=20240102_000000/_SUCCESS")
+    os.makedirs(f"{folder}/year=2024/month=2/day=1")
+    os.makedirs(f"{folder}/year=2025")
+    assert read_latest(spark, folder, SMALL).first().id == "done"
+
+
 def test_no_snapshot_is_an_error(spark, folder):
     with pytest.raises(FileNotFoundError):
         latest_snapshot(spark, folder)

@@ -107,8 +107,9 @@ def scd2_merge(
     ``same`` leaves the open row as it is, ``update`` closes it at ``at`` and
     opens a new one, ``insert`` opens one; a key that the snapshot lacks is
     closed or kept, as ``on_missing`` says. Closed history passes through
-    untouched and takes no part in the join. A second run with the same
-    snapshot changes nothing.
+    untouched and takes no part in the join, so ``current`` is read twice: store
+    the table between merges (``HistoryTable`` does). A second run with the
+    same snapshot changes nothing.
 
     The snapshot must hold a key at most once; give ``order`` to have the last
     row per key picked first. Closing a version at or before its start fails

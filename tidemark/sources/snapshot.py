@@ -8,6 +8,7 @@ file, ``.../day=D/<YYYYMMDD_HHMMSS>_<name>.json``, are found and read as well.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -84,48 +85,47 @@ class Snapshot:
     multi_line: bool
 
 
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in one folder, on whatever file system the path is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _newest_first(spark: SparkSession, path: str, part: str) -> list[tuple[int, str]]:
+    found = [re.fullmatch(rf"{part}=(\d+)", name) for name in _entries(spark, path)]
+    return sorted(((int(m[1]), f"{path}/{m[0]}") for m in found if m), reverse=True)
+
+
+def _runs_of_day(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """Run stamp, name and whether it is a single file, the newest first."""
+    runs = []
+    for name in _entries(spark, path):
+        stamp_of = re.match(r"(?:run=)?(\d{8}_\d{6})", name)
+        run = stamp_of[1] if stamp_of else name
+        if name.startswith("run="):
+            runs.append((run, name, False))
+        elif ".json" in name and name[0] not in "._":
+            runs.append((run, name, True))
+    return sorted(runs, reverse=True)
+
+
 def latest_snapshot(spark: SparkSession, base: str) -> Snapshot:
     """The newest snapshot below ``base`` by year, month, day and run, as numbers.
 
-    Only the file listing is looked at, no file is read, and one row comes back.
+    Only the folders on the way to it are listed, however many snapshots there
+    are. A landed run that is still being written, or whose writer died, is
+    passed over, and so are empty days.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json*")
-        .load(base)
-        .select("path")
-    )
-    day_folder = r"^(.*/year=(\d+)/month=(\d+)/day=(\d+))/"
-    rest = F.regexp_replace("path", day_folder, "")
-    in_run = rest.startswith("run=")
-    run = F.regexp_extract(rest, r"^(?:run=)?(\d{8}_\d{6})", 1)
-    newest = (
-        files.where(F.col("path").rlike(day_folder))
-        .select(
-            *[
-                F.regexp_extract("path", day_folder, i).cast("int").alias(part)
-                for i, part in ((2, "year"), (3, "month"), (4, "day"))
-            ],
-            F.when(run != "", run).otherwise(rest).alias("run"),
-            F.regexp_extract("path", day_folder, 1).alias("folder"),
-            (~in_run).alias("single_file"),
-            F.when(~in_run, rest).alias("file"),
-        )
-        .agg(
-            F.max(
-                F.struct("year", "month", "day", "run", "single_file", "folder", "file")
-            ).alias("newest")
-        )
-        .first()["newest"]
-    )
-    if newest is None:
-        raise FileNotFoundError(f"no snapshot below {base}")
-    name = newest.file if newest.single_file else f"run={newest.run}"
-    return Snapshot(
-        newest.year, newest.month, newest.day, newest.run,
-        f"{newest.folder}/{name}", newest.single_file,
-    )
+    base = base.rstrip("/")
+    for year, in_year in _newest_first(spark, base, "year"):
+        for month, in_month in _newest_first(spark, in_year, "month"):
+            for day, in_day in _newest_first(spark, in_month, "day"):
+                for run, name, single in _runs_of_day(spark, in_day):
+                    path = f"{in_day}/{name}"
+                    if single or "_SUCCESS" in _entries(spark, path):
+                        return Snapshot(year, month, day, run, path, single)
+    raise FileNotFoundError(f"no snapshot below {base}")
 
 
 def read_snapshot(
