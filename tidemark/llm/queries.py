@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing
+from tidemark.llm import chat, language, mixing
 from tidemark.llm.common import read_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,19 @@ def op6_chat_format(spark, sf_dir):
 def op8_mix_sources(spark, sf_dir):
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    """Learned from the labelled documents that are not held out."""
+    return language.train(docs.where(~held_out()).select("doc_id", "text", "lang"))
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    found = language.predict(docs, language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
