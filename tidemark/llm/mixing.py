@@ -18,7 +18,6 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import prefix_sums, stored, word_count
 
 WEIGHTS = (3, 1, 2)
-ROWS_PER_BUCKET = 50_000
 
 
 def targets(
@@ -79,7 +78,8 @@ def mix(
         ),
         "mix-sizes",
     )
-    digits = max(1, math.ceil(math.log(max(1, sized.count()) / ROWS_PER_BUCKET, 16)))
+    # About as many buckets as rows in a bucket: neither level outgrows a task.
+    digits = max(1, math.ceil(math.log(max(1, sized.count()), 16) / 2))
     source = ["_none", "_source"]
     placed = prefix_sums(
         sized.withColumn("_bucket", F.substring("key", 1, digits)),

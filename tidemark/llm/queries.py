@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language, mixing
+from tidemark.llm import chat, decontaminate, language, mixing
 from tidemark.llm.common import read_table, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op9_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     found = language.predict(docs, language_model(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_decontaminate(spark, sf_dir):
+    docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contaminated(docs, items)
