@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, language, mixing
+from tidemark.llm import chat, decontaminate, encoding, language, mixing, token_count, token_file
 from tidemark.llm.common import read_table, stored
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -55,3 +56,44 @@ def op9_language_id(spark, sf_dir):
 def op10_decontaminate(spark, sf_dir):
     docs, items = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.contaminated(docs, items)
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return encoding.content(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op1_token_file(spark, sf_dir):
+    path = scratch_path(spark, "token-ids")
+    token_file.write(read_table(spark, sf_dir, "documents"), path, tokenizer())
+    return token_file.checksums(token_file.read(spark, path))
+
+
+def revisions(text: str):
+    """Three edits that depend on the document: a phrase replaced, a line put first, the end cut."""
+    size = F.length(text)
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(size, F.lit(1)).cast("long"))
+
+    def edit(at, deleted, inserted):
+        return F.struct(
+            at.cast("int").alias("at"), F.lit(deleted).alias("deleted"), F.lit(inserted).alias("inserted")
+        )
+
+    return F.array(
+        edit(place, 25, " revised in 2025, "),
+        edit(F.lit(0), 0, "Second edition.\n"),
+        edit(size - F.lit(20), 40, ""),
+    )
+
+
+@query
+def op5_token_counts(spark, sf_dir):
+    content = tokenizer()
+    trees = token_count.build(read_table(spark, sf_dir, "documents"), content)
+    changed = token_count.edited(trees.withColumn("edits", revisions("text")), content)
+    return changed.select(
+        "doc_id", "n_tokens_before", "n_tokens", F.length("text").cast("long").alias("n_chars"),
+        F.size("leaf_tokens").cast("long").alias("n_leaves"), F.col("encoded").alias("chars_encoded"),
+    )
