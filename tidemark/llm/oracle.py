@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm import licenses
+
 ORACLE = {
     "op8_mix_sources": r"""
 WITH sized AS (
@@ -80,3 +82,42 @@ SELECT t.conv_id, CAST(n_turns AS BIGINT) AS n_turns, turns_sha256, CAST(length(
 FROM told t JOIN repeated r ON t.conv_id = r.conv_id
 """,
 }
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    text = f"lower(regexp_replace({text}, {_quoted(licenses.COPYRIGHT)}, '', 'g'))"
+    text = rf"regexp_replace({text}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    for spelling, usual in licenses.SPELLINGS.items():
+        text = rf"regexp_replace({text}, '\b{spelling}\b', '{usual}', 'g')"
+    return rf"regexp_replace({text}, ' ?\n ?', chr(10), 'g')"
+
+
+_ENTIRE = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
+_KNOWN = ", ".join(
+    f"({_quoted(name)}, {_quoted(text)})" for name, texts in licenses.KNOWN.items() for text in texts
+)
+ORACLE["op4_license_scan"] = rf"""
+WITH clean AS (SELECT doc_id, {_canonical("text")} AS clean FROM documents),
+units AS (
+  SELECT doc_id, 'text' AS scope, [clean] AS parts FROM clean
+  UNION ALL SELECT doc_id, 'block', regexp_split_to_array(clean, '\n\n+') FROM clean
+  UNION ALL SELECT doc_id, 'line', string_split(clean, chr(10)) FROM clean
+), numbered AS (
+  SELECT doc_id, scope, unnest(list_filter(parts, lambda p: trim(p, chr(10) || ' ') <> '')) AS part,
+         generate_subscripts(list_filter(parts, lambda p: trim(p, chr(10) || ' ') <> ''), 1) - 1 AS nth
+  FROM units
+), texts AS (
+  SELECT doc_id, scope, nth, {_ENTIRE.format("part")} AS text FROM numbered
+  WHERE scope <> 'block' OR contains(trim(part, chr(10)), chr(10))
+), known AS (
+  SELECT DISTINCT license, sha256({_ENTIRE.format(_canonical("text"))}) AS digest
+  FROM (VALUES {_KNOWN}) AS k(license, text)
+)
+SELECT doc_id, scope, CAST(nth AS BIGINT) AS nth, license
+FROM texts JOIN known ON sha256(text) = digest
+WHERE length(text) >= {licenses.SHORTEST}
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, encoding, language, mixing, token_count, token_file
+from tidemark.llm import chat, decontaminate, encoding, language, licenses, mixing, token_count, token_file
 from tidemark.llm.common import read_table, stored
 from tidemark.session import scratch_path
 
@@ -97,3 +97,8 @@ def op5_token_counts(spark, sf_dir):
         "doc_id", "n_tokens_before", "n_tokens", F.length("text").cast("long").alias("n_chars"),
         F.size("leaf_tokens").cast("long").alias("n_leaves"), F.col("encoded").alias("chars_encoded"),
     )
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(read_table(spark, sf_dir, "documents"), licenses.known_digests(spark))
