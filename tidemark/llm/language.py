@@ -24,6 +24,8 @@ ORDER = 3
 # Bounds of what is learned from: documents per language, bytes per document,
 # and contexts of the trees (the most frequent ones).
 DOCUMENTS, BYTES, CONTEXTS = 600, 65_536, 12_288
+# Parts of a language that are sampled apart, for a language may be most of the rows.
+SALTS = 24
 UNDETERMINED = "und"
 SLICE = 1 << 19
 PAD = b"\0" * ORDER
@@ -135,16 +137,17 @@ def train(
     """Trees from (doc_id, text, lang); rows without text or lang are left out.
 
     Learns from at most ``documents`` whole texts of at most ``size`` bytes per
-    language, those with the smallest hash of their doc_id, so what is counted
-    and gathered stays bounded. A table without labelled rows gives a model
+    language, those with the smallest hashes of their doc_ids in each of ``SALTS``
+    parts, so what is counted and gathered stays bounded. A table without labelled rows gives a model
     without languages.
     """
     fit = labelled.where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text").between(1, size))
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    chosen = fit.select("doc_id", "lang", "text").withColumn("_n", F.row_number().over(order))
-    grams = chosen.where(F.col("_n") <= documents).select("lang", "text").mapInArrow(
+    salt = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS))
+    order = Window.partitionBy("lang", "_salt").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    chosen = fit.select("doc_id", "lang", "text", salt.alias("_salt")).withColumn("_n", F.row_number().over(order))
+    grams = chosen.where(F.col("_n") <= max(1, documents // SALTS)).select("lang", "text").mapInArrow(
         _grams, "lang string, gram long, n long"
     )
     counts = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
