@@ -1,9 +1,9 @@
 """Benchmark decontamination by templates.
 
-Texts become tokens: words without outer punctuation in lower case, with
-numbers, names and units replaced by typed placeholders. A number is a word
+Texts become tokens: words without outer punctuation in lower case (ASCII and
+Latin-1 letters), with numbers, names and units replaced by typed placeholders. A number is a word
 with a digit; a unit is one of ``UNITS`` right after a number; a name is a
-capitalised word that does not begin a sentence. Windows of tokens are hashed and
+capitalised word, not all in capitals, that does not begin a sentence. Windows of tokens are hashed and
 joined with the windows of the benchmark items. A re-parameterised question
 has the same template and other slot values, so along one alignment of document
 and item every slot value must stand for one and the same value; windows that
@@ -59,9 +59,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _hashes(data: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """A hash of each of the byte ranges, letters in lower case."""
+    """A hash of each of the byte ranges."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_WORTH[_LOWER[data]] * _powers(_BASE, len(data) + 1)[:-1], out=sums[1:])
+    np.cumsum(_WORTH[data] * _powers(_BASE, len(data) + 1)[:-1], out=sums[1:])
     return _mixed((sums[after] - sums[first]) * _powers(_BACK, len(data) + 1)[first])
 
 
@@ -82,6 +82,9 @@ class Tokens:
     def __init__(self, texts: list[bytes]):
         joined = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         self.data = joined
+        self.lower = _LOWER[joined]
+        accented = np.flatnonzero((joined[:-1] == 0xC3) & (joined[1:] >= 0x80) & (joined[1:] <= 0x9E)) + 1
+        self.lower[accented] += np.where(joined[accented] == 0x97, 0, 32).astype(np.uint8)
         self.bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
         parts = [self._part(a, b) for a, b in self._slices()]
         columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 5
@@ -129,12 +132,18 @@ class Tokens:
         if len(opens) and low:
             opens[0] |= bool(_ENDS[self.data[low - 1]]) or self.data[low - 1] == 10
             opens[0] |= low > 1 and bool(_ENDS[self.data[low - 2]])
-        head, second = data[first], data[np.minimum(first + 1, len(data) - 1)]
-        capital = _UPPER[head] | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-        return first + low, after + low, _hashes(data, first, after), opens, capital
+        head, lower = data[first], self.lower[low:high]
+        changed = lower[first] != head
+        changed |= (head == 0xC3) & (lower[np.minimum(first + 1, len(data) - 1)] != data[np.minimum(first + 1, len(data) - 1)])
+        rest = np.minimum(first + 1 + (head == 0xC3), len(data) - 1)
+        # Words in capitals are no names: their second letter would be small.
+        small = (rest < after) & (lower[rest] == data[rest]) & (data[rest] != 0xC3)
+        small |= (rest + 1 < after) & (data[rest] == 0xC3) & (data[np.minimum(rest + 1, len(data) - 1)] >= 0xA0)
+        capital = changed & small
+        return first + low, after + low, _hashes(lower, first, after), opens, capital
 
     def word(self, k: int) -> str:
-        return _LOWER[self.data[self.first[k] : self.after[k]]].tobytes().decode("utf-8", "replace")
+        return self.lower[self.first[k] : self.after[k]].tobytes().decode("utf-8", "replace")
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, length and hash of every window; a text with fewer tokens is one window."""
