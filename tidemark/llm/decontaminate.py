@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.hashing import BASE, LOWER, UPPER, mixed, range_hashes, slices, words
+
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
 # Benchmark windows up to this number are sent to the tasks as a filter (8 bytes
 # each); beyond it every window of the documents takes part in the join.
@@ -34,40 +36,16 @@ UNITS = (
 ).split()
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
-SLICE, ROWS = 1 << 20, 1024
+ROWS = 1024
 _byte = np.arange(256)
-_SPACE = (_byte == 32) | ((_byte >= 9) & (_byte <= 13))
 _DIGIT = (_byte >= 48) & (_byte <= 57)
-_UPPER = (_byte >= 65) & (_byte <= 90)
-_INNER = _DIGIT | _UPPER | ((_byte >= 97) & (_byte <= 122)) | (_byte >= 128)
-_LOWER = np.where(_UPPER, _byte + 32, _byte).astype(np.uint8)
+_INNER = _DIGIT | UPPER | ((_byte >= 97) & (_byte <= 122)) | (_byte >= 128)
 _ENDS = np.isin(_byte, list(b".!?:"))
-_WORTH = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 2**64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
-
-
-def _hashes(data: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """A hash of each of the byte ranges."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_WORTH[data] * _powers(_BASE, len(data) + 1)[:-1], out=sums[1:])
-    return _mixed((sums[after] - sums[first]) * _powers(_BACK, len(data) + 1)[first])
 
 
 def _hash_of(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
-    return int(_hashes(data, np.array([0]), np.array([len(data)]))[0])
+    return int(range_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
 _UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
@@ -82,11 +60,11 @@ class Tokens:
     def __init__(self, texts: list[bytes]):
         joined = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         self.data = joined
-        self.lower = _LOWER[joined]
+        self.lower = LOWER[joined]
         accented = np.flatnonzero((joined[:-1] == 0xC3) & (joined[1:] >= 0x80) & (joined[1:] <= 0x9E)) + 1
         self.lower[accented] += np.where(joined[accented] == 0x97, 0, 32).astype(np.uint8)
         self.bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        parts = [self._part(a, b) for a, b in self._slices()]
+        parts = [self._part(a, b) for a, b in slices(joined)]
         columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 5
         self.first, self.after, self.code, opens, capital = columns
         self.text = np.searchsorted(self.bounds, self.first, "right") - 1
@@ -101,24 +79,9 @@ class Tokens:
             self.code[self.kind == k] = _CODES[kind]
         self.begins = begins
 
-    def _slices(self):
-        low = 0
-        while low < len(self.data):
-            high = min(low + SLICE, len(self.data))
-            while high < len(self.data):  # never inside a word
-                gaps = np.flatnonzero(_SPACE[self.data[low:high]])
-                if len(gaps):
-                    high = low + int(gaps[-1]) + 1
-                    break
-                high = min(high + SLICE, len(self.data))
-            yield low, high
-            low = high
-
     def _part(self, low: int, high: int):
         data = self.data[low:high]
-        space = np.concatenate([[True], _SPACE[data], [True]])
-        start = np.flatnonzero(space[:-1] & ~space[1:])
-        stop = np.flatnonzero(~space[:-1] & space[1:])
+        start, stop = words(data)
         inner = _INNER[data]
         places = np.flatnonzero(inner)
         count = np.concatenate([[0], np.cumsum(inner)])
@@ -140,7 +103,7 @@ class Tokens:
         small = (rest < after) & (lower[rest] == data[rest]) & (data[rest] != 0xC3)
         small |= (rest + 1 < after) & (data[rest] == 0xC3) & (data[np.minimum(rest + 1, len(data) - 1)] >= 0xA0)
         capital = changed & small
-        return first + low, after + low, _hashes(lower, first, after), opens, capital
+        return first + low, after + low, range_hashes(lower, first, after), opens, capital
 
     def word(self, k: int) -> str:
         return self.lower[self.first[k] : self.after[k]].tobytes().decode("utf-8", "replace")
@@ -155,13 +118,13 @@ class Tokens:
         at = at[self.text[at] == self.text[at + width - 1]] if len(at) else at
         value = np.zeros(len(at), np.uint64)
         for j in range(width):
-            value = _mixed(value * np.uint64(_BASE) + self.code[at + j])
+            value = mixed(value * np.uint64(BASE) + self.code[at + j])
         more = (ends - length)[short]
         values = []
         for a, l in zip(more, length[short]):
             v = np.zeros(1, np.uint64)
             for j in range(l):
-                v = _mixed(v * np.uint64(_BASE) + self.code[a + j : a + j + 1])
+                v = mixed(v * np.uint64(BASE) + self.code[a + j : a + j + 1])
             values.append(v[0] ^ np.uint64(l))
         return (
             np.concatenate([at, more]).astype(np.int64),
@@ -232,7 +195,7 @@ def template_windows(
     kind = texts.schema["id"].dataType.simpleString()
     shared = None if wanted is None else texts.sparkSession.sparkContext.broadcast(wanted)
 
-    def filter_hashes():
+    def filterrange_hashes():
         return None if shared is None else shared.value
 
     return texts.mapInArrow(

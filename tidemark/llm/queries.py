@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, encoding, language, licenses, mixing, token_count, token_file
+from tidemark.llm import chat, decontaminate, encoding, language, licenses, mixing, near, token_count, token_file
 from tidemark.llm.common import read_table, stored
 from tidemark.session import scratch_path
 
@@ -102,3 +102,8 @@ def op5_token_counts(spark, sf_dir):
 @query
 def op4_license_scan(spark, sf_dir):
     return licenses.scan(read_table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+@query
+def op7_near_duplicates(spark, sf_dir):
+    return near.near_duplicates(read_table(spark, sf_dir, "documents"), similarity=0.85)
