@@ -23,8 +23,8 @@ PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s
 UNPLAIN = re.compile(
     "[^\t\n\r -~¡-±´-¸º»¿-ɏͰ-ԯ‐-‧€]"
 )
-SPACE = "\u0120"  # a space in the vocabulary of byte-level BPE
-SPACED = re.compile(r" \S+(?:[\n]\S+)*")
+# A space and a line end as tokens of byte-level BPE spell them.
+OPENING = ("\u0120", "\u010a")
 BESIDE = 2000
 # Texts of these characters alone are cut without the pattern, if no two of them
 # stand together that make the cuts unsafe (see ``_parts``).
@@ -33,7 +33,7 @@ CLASSES = bytes(
     ord("a") if c >= 128 or chr(c).isalnum() else c if chr(c) in " \n." else ord(".") if chr(c) == "," else ord("p")
     for c in range(256)
 )
-UNSAFE = (b"  ", b" \n", b"\n ", b" .", b"\n.", b"p.", b"..")
+UNSAFE = (b"  ", b" \n", b"\n ", b" .", b"\n.", b"p.", b"..", b"\n\n\n")
 # Parts whose ids a task keeps, about 200 bytes each.
 KEPT = 1_000_000
 
@@ -56,8 +56,9 @@ class Encoder:
         added = [re.escape(t["content"]) for t in rule.get("added_tokens", [])]
         self.whole = re.compile("|".join([UNPLAIN.pattern, *added])) if added else UNPLAIN
         self.known: dict[str, bytes] = {}
-        self.spaced = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
+        ids = self.tokenizer.get_vocab()
+        self.opening = np.zeros(max(ids.values()) + 1, bool)
+        self.opening[[i for t, i in ids.items() if t.startswith(OPENING)]] = True
 
     def exact_by_piece(self, text: str) -> bool:
         return self.by_piece and not self.whole.search(text)
@@ -66,42 +67,43 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        """As ``_encode``, for parts that keep their ids whatever stands around them.
+    def learn(self, parts) -> None:
+        """Encode the parts that are not known, each once.
 
-        Those of one space, at the front, are encoded side by side in long
-        texts; an id whose token begins with a space begins a part.
+        Those that begin with white space and have none behind it or at the end
+        keep their ids side by side in a long text: an id whose token begins
+        with white space begins a part.
         """
-        alone = [p for p in parts if not SPACED.fullmatch(p)]
-        ids = dict(zip(alone, self._encode(alone)))
-        beside = [p for p in parts if p not in ids]
+        known = self.known
+        new = [p for p in dict.fromkeys(parts) if p not in known]
+        if len(known) + len(new) > KEPT:
+            known = self.known = {p: known[p] for p in parts if p in known}
+        beside = [p for p in new if p[0] <= " " < p[-1] and p[1] > " "]
+        if len(beside) < len(new):
+            alone = list(set(new).difference(beside))
+            known.update(zip(alone, self._encode(alone)))
         for low in range(0, len(beside), BESIDE):
             some = beside[low : low + BESIDE]
             found = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.uint32)
-            starts = np.flatnonzero(self.spaced[found])
-            data, ends = found.tobytes(), [*(starts[1:] * 4).tolist(), len(found) * 4]
-            ids.update((p, data[x:y]) for p, x, y in zip(some, (starts * 4).tolist(), ends, strict=True))
-        return [ids[p] for p in parts]
-
-    def learn(self, parts: set[str]) -> None:
-        new = list(parts.difference(self.known))
-        if len(self.known) + len(new) > KEPT:
-            self.known = {p: self.known[p] for p in parts if p in self.known}
-        self.known.update(zip(new, self._encode_parts(new)))
+            starts = np.flatnonzero(self.opening[found]) * 4
+            data, begins = found.tobytes(), starts.tolist()
+            known.update(zip(some, map(data.__getitem__, map(slice, begins, [*begins[1:], None])), strict=True))
 
     def _parts(self, text: str) -> list[str]:
         """Parts of a text that are encoded apart.
 
-        Where spaces stand alone, a pre-token ends before each of them, and also
-        before a comma or full stop that follows a letter or digit; cutting
-        there is faster than the pattern, and a part may hold several pre-tokens.
+        Where spaces stand alone and line ends are no more than two in a row, a
+        pre-token ends before each of them, and also before a comma or full stop
+        that follows a letter or digit; cutting there is faster than the
+        pattern, and a part may hold several pre-tokens.
         """
-        if EASY.search(text):
+        if not text or EASY.search(text):
             return PIECE.findall(text)
         classes = text.encode().translate(CLASSES)
-        if classes.startswith(b".") or any(pair in classes for pair in UNSAFE):
+        if classes.startswith(b".") or classes.endswith(b"\n\n") or any(pair in classes for pair in UNSAFE):
             return PIECE.findall(text)
-        return text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").split("\0")
+        cut = text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n")
+        return cut.removeprefix("\0").split("\0")
 
     def _split(self, text: str) -> list[str] | None:
         return self._parts(text) if self.exact_by_piece(text) else None
@@ -112,7 +114,7 @@ class Encoder:
         whole = iter(self._encode([t for t, s in zip(texts, split) if s is None]))
         get = self.known.get
         found = [s and list(map(get, s)) for s in split]
-        self.learn({p for s, f in zip(split, found) if f and None in f for p, x in zip(s, f) if x is None})
+        self.learn([p for s, f in zip(split, found) if f and None in f for p, x in zip(s, f) if x is None])
         known = self.known
         return [
             next(whole) if s is None
@@ -122,7 +124,7 @@ class Encoder:
 
     def count(self, pieces: list[str]) -> list[int]:
         """Number of ids of each pre-token."""
-        self.learn(set(pieces))
+        self.learn(pieces)
         return [len(self.known[p]) // 4 for p in pieces]
 
 

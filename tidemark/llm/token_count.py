@@ -185,7 +185,7 @@ def build(docs: DataFrame, tokenizer: str) -> DataFrame:
                 part = batch.slice(low, ROWS)
                 texts = part["text"].to_pylist()
                 split = [PIECE.findall(t) if ids.exact_by_piece(t) else None for t in texts]
-                ids.learn(set().union(*(s for s in split if s)))
+                ids.learn([p for s in split if s for p in s])
                 leaves = [
                     _leaves(s, ids) if s is not None else [(t, len(ids.encode([t])[0]) // 4)]
                     for s, t in zip(split, texts)
