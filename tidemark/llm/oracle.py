@@ -121,3 +121,19 @@ SELECT doc_id, scope, CAST(nth AS BIGINT) AS nth, license
 FROM texts JOIN known ON sha256(text) = digest
 WHERE length(text) >= {licenses.SHORTEST}
 """
+ORACLE["op3_top_k"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""

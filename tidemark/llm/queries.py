@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, encoding, language, licenses, mixing, near, repeats, token_count, token_file
+from tidemark.llm import chat, decontaminate, encoding, language, licenses, mixing, near, repeats, token_count, token_file, topk
 from tidemark.llm.common import read_table, stored
 from tidemark.session import scratch_path
 
@@ -113,3 +113,8 @@ def op7_near_duplicates(spark, sf_dir):
 def op2_remove_repeats(spark, sf_dir):
     left = repeats.without_repeats(read_table(spark, sf_dir, "documents"))
     return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op3_top_k(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
