@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,6 +20,11 @@ from tidemark.llm.common import prefix_sums, stored, word_count
 WEIGHTS = (3, 1, 2)
 
 
+def random_key(seed: int) -> Column:
+    """A random-looking key that the document determines."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text")))
+
+
 def targets(
     sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0
 ) -> DataFrame:
@@ -48,7 +53,8 @@ def targets(
         "level", (F.col("whole") - full) / open_weight
     )
     fits = F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level"))
-    level = F.coalesce(F.min(fits).over(every), F.lit(math.inf))
+    # From the first source that isn't full on, levels only fall.
+    level = F.coalesce(F.max(fits).over(every), F.lit(math.inf))
     return levels.select(
         "source", "source_size",
         F.when(F.col("source_size") > 0, F.least(F.col("weight") * level, F.col("most")))
@@ -60,7 +66,7 @@ def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
     seed: int = 1,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every row of ``docs``.
+    """doc_id, key, source, size, source_size, target, copies, taken for every row of ``docs``.
 
     ``copies`` says how often the mix holds the document, ``taken`` how many
     words that is. The document at the cut goes in if at least half of it is
@@ -70,7 +76,7 @@ def mix(
     whole. Documents of no words take part and are ordered like the others. An
     empty table gives an empty result. Only doc_id, text and source are read.
     """
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text")))
+    key = random_key(seed)
     sized = stored(
         docs.select(
             "doc_id", "source", word_count("text").alias("size"), key.alias("key"),
@@ -98,9 +104,27 @@ def mix(
         .withColumn("epochs", whole)
         .withColumn("copies", (F.col("epochs") + F.when(within & (rest > 0), 1).otherwise(0)).cast("int"))
         .select(
-            "doc_id", "source", "size", "source_size", "target", "copies",
+            "doc_id", "key", "source", "size", "source_size", "target", "copies",
             (F.col("size") * F.col("copies")).alias("taken"),
         )
     )
 
 
+def mixed_documents(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix holds it.
+
+    Rows with one doc_id, source and text share their copies evenly, rounded up.
+    """
+    own = [F.col("source").isNull().alias("_none"), F.coalesce("source", F.lit("")).alias("_source")]
+    often = F.ceil(F.sum("copies") / F.count("*")).cast("int")
+    plan = (
+        mix(docs, seed=seed, **options)
+        .select("key", *own, "copies")
+        .groupBy("key", "_none", "_source")
+        .agg(often.alias("_copies"))
+        .where("_copies > 0")
+        .withColumnRenamed("key", "_key")
+    )
+    keyed = docs.select("*", random_key(seed).alias("_key"), *own).join(plan, ["_key", "_none", "_source"])
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return keyed.withColumn("_again", again).select(*[f"`{c}`" for c in docs.columns])

@@ -24,7 +24,7 @@ WITH sized AS (
   FROM sizes
 ), aimed AS (
   SELECT source, source_size,
-         CASE WHEN source_size > 0 THEN least(weight * min(level) FILTER (level <= most / weight) OVER (), most)
+         CASE WHEN source_size > 0 THEN least(weight * max(level) FILTER (level <= most / weight) OVER (), most)
               ELSE 0 END AS target
   FROM levels
 ), placed AS (
