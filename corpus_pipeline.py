@@ -2,12 +2,66 @@
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, language, mixing, near, queries, token_file
+from tidemark.llm.common import read_table, stored
+from tidemark.session import scratch_path
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Documents whose doc_id (null counts as one) is not among the rejected ones."""
+    other = rejected.select(F.col("doc_id").alias("_doc")).distinct()
+    return docs.join(other, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
+
+
+def identify_language(spark, docs, sf_dir):
+    """Documents without a recognisable language go; a missing lang is filled in."""
+    found = language.predict(docs, queries.language_model(docs), COLUMNS)
+    known = found.where(F.col("lang_pred") != language.UNDETERMINED)
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    return _without(docs, near.near_duplicates(docs).where("NOT kept"))
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents that hold a benchmark item go."""
+    return _without(docs, decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Every document as often as the mix of sources holds it."""
+    return mixing.mixed_documents(docs)
+
+
+def write_tokens(spark, docs, sf_dir):
+    """Token ids of all that is left, written and read back: a row per document of the file."""
+    path = scratch_path(spark, "corpus-tokens")
+    token_file.write(docs, path, queries.tokenizer())
+    return token_file.checksums(token_file.read(spark, path))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_file", write_tokens),
+]
+
+# SQL has neither the trees of the first stage nor the tokenizer of the last;
+# tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"corpus-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

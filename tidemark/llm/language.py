@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 ORDER = 3
@@ -154,8 +155,8 @@ def train(
     return build(counts, sorted(set(counts["lang"].to_pylist())), contexts)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score for every row of ``docs``; reads doc_id and text only.
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns to ``keep``, lang_pred and score for every row of ``docs``; reads these and text only.
 
     ``und`` with score 0 if the text is null or without letters, or if the
     model knows no language. Else ``score`` is the share of the best language
@@ -163,15 +164,14 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     number of languages at least; ties go to the first language in order. A row
     gives a row, whatever else is in the table.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         names = np.array([*known.languages, UNDETERMINED], object)
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch["text"].to_pylist()]
-            lettered = batch["lettered"].to_numpy(zero_copy_only=False).astype(bool)
+            texts = [t.encode() if t else b"" for t in batch["_text"].to_pylist()]
+            lettered = batch["_lettered"].to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
             if known.languages and len(texts):
                 bits = known.bits(texts)
@@ -179,12 +179,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 share = 1 / np.exp2(np.maximum(least - bits, -256_000) / 256).sum(1)
                 best = np.where(lettered, bits.argmin(1), best)
                 score = np.where(lettered, share, 0.0)
+            found = {c: batch[c] for c in keep}
             yield pa.record_batch(
-                {"doc_id": batch["doc_id"], "lang_pred": pa.array(names[best], pa.string()), "score": score}
+                found | {"lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score, pa.float64())}
             )
 
+    kept = docs.select(*keep)
+    schema = StructType([*kept.schema.fields]).add("lang_pred", "string").add("score", "double")
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lettered.alias("lettered")).mapInArrow(
-        scored, f"doc_id {kind}, lang_pred string, score double"
-    )
+    rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"), lettered.alias("_lettered"))
+    return rows.mapInArrow(scored, schema)
