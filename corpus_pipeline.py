@@ -14,8 +14,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Documents whose doc_id (null counts as one) is not among the rejected ones."""
-    other = rejected.select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(other, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
+    other = rejected.select("doc_id").distinct()
+    return docs.join(other, docs["doc_id"].eqNullSafe(other["doc_id"]), "left_anti")
 
 
 def identify_language(spark, docs, sf_dir):

@@ -1,0 +1,205 @@
+"""Near duplicates, repeated strings and top-k search against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tidemark.llm import components, near, repeats, suffix, topk
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sets_of(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if 0 < len(words) < 5:
+        return frozenset([tuple(words)])
+    return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+
+
+def plain_components(rows, percent):
+    sets = [(i, sets_of(t)) for i, t in rows]
+    root = list(range(len(sets)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, (_, s) in enumerate(sets):
+        for b, (_, t) in enumerate(sets[:a]):
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
+                root[find(a)] = find(b)
+    named = {}
+    for k, (i, _) in enumerate(sets):
+        if i is not None:
+            named[find(k)] = min(named.get(find(k), i), i)
+    return sorted(
+        (str(i), len(s), str(named.get(find(k)) if s else i)) for k, (i, s) in enumerate(sets)
+    )
+
+
+def family(rnd, n, length):
+    base = [f"w{rnd.randint(0, 999)}" for _ in range(length)]
+    out = []
+    for _ in range(n):
+        copy = list(rnd.choice(out).split()) if out and rnd.random() < 0.3 else list(base)
+        for _ in range(rnd.randint(0, 4)):
+            copy[rnd.randrange(length)] = f"new{rnd.randint(0, 9999)}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_components_equal_brute_force(documents, percent):
+    rnd = random.Random(percent)
+    texts = [t for k in range(8) for t in family(rnd, 12, (60, 120, 300)[k % 3])] + family(rnd, 60, 150)
+    texts += [None, "", " \t\n", "a b", "A  B", "b a", "one", "ONE", texts[0].upper(), texts[0], "w " * 3000]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (None, texts[1]), (None, "only without id"), (None, None)]
+    docs = documents([(i, t, "en", "s") for i, t in rows])
+    got = near.near_duplicates(docs, similarity=percent / 100).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == plain_components(rows, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_large_groups_are_cut_into_tiles(documents, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_SETS", 7)
+    monkeypatch.setattr(near, "DENSE", 5)
+    rnd = random.Random(3)
+    rows = list(enumerate(family(rnd, 90, 200)))
+    got = near.near_duplicates(documents([(i, t, "en", "s") for i, t in rows]), similarity=0.85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == plain_components(rows, 85)
+
+
+def test_near_duplicates_of_nothing(documents):
+    assert near.near_duplicates(documents([])).count() == 0
+    got = near.near_duplicates(documents([(1, None, None, None)])).collect()
+    assert [tuple(r) for r in got] == [(1, 0, 1, True)]
+
+
+def test_components_of_chains_and_stars(spark):
+    rnd = random.Random(1)
+    links = [(f"{k:05}", f"{k + 1:05}") for k in range(300)] + [("hub", f"leaf{k}") for k in range(200)]
+    links += [("x", "x"), ("y", "z"), ("z", "y")]
+    rnd.shuffle(links)
+    got = dict(map(tuple, components.components(spark.createDataFrame(links, "a string, b string").repartition(7)).collect()))
+    assert {got[f"{k:05}"] for k in range(301)} == {"00000"}
+    assert {got[f"leaf{k}"] for k in range(200)} | {got["hub"]} == {"hub"}
+    assert got["y"] == got["z"] == "y" and "x" not in got
+
+
+def plain_repeats(rows, width=50):
+    rank = lambda i: -(2**63) if i is None else i
+    first = {}
+    for i, t in rows:
+        for p in range(len(t) - width + 1):
+            first[t[p : p + width]] = min(first.get(t[p : p + width], 2**63), rank(i))
+    out = []
+    for i, t in rows:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - width + 1):
+            if first[t[p : p + width]] < rank(i):
+                gone[p : p + width] = True
+        spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(t) else 0
+        kept = bytes(c for c, g in zip(t, gone) if not g)
+        out.append((str(i), len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def repeated_texts(rnd):
+    passages = ["".join(rnd.choices("abcdé\n ", k=n)) for n in (49, 50, 51, 70, 200, 900)] + ["=" * 300, "ab" * 90]
+    texts = [None, "", "short", "x" * 50, "x" * 120]
+    for _ in range(120):
+        parts = [rnd.choice(passages) if rnd.random() < 0.4 else "".join(rnd.choices("abcdefé", k=rnd.randint(0, 90))) for _ in range(5)]
+        texts.append("".join(parts))
+    return texts + texts[10:14] + [passages[5] * 40]
+
+
+@pytest.mark.parametrize("block", [2_000, 1 << 22])
+def test_repeats_equal_brute_force(documents, block):
+    texts = repeated_texts(random.Random(6))
+    rows = list(enumerate(texts)) + [(20, texts[20]), (21, texts[22]), (None, texts[30])]
+    docs = documents([(i, t, "en", "s") for i, t in rows])
+    got = repeats.without_repeats(docs, block).selectExpr("*", "sha2(kept, 256) AS digest").collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.digest) for r in got) == plain_repeats(
+        [(i, (t or "").encode()) for i, t in rows]
+    )
+
+
+def test_repeats_of_nothing(documents):
+    assert repeats.without_repeats(documents([])).count() == 0
+    got = repeats.without_repeats(documents([(1, None, None, None)])).collect()
+    assert [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got] == [(1, 0, 0, 0, b"")]
+
+
+def test_suffixes_sort_like_strings():
+    rnd = np.random.default_rng(1)
+    for _ in range(150):
+        width = int(rnd.integers(1, 20))
+        texts = [bytes(rnd.choice([0, 1, 97, 98, 255], rnd.integers(0, 40)).astype(np.uint8)) for _ in range(rnd.integers(1, 6))]
+        texts.append(b"a" * int(rnd.integers(0, 60)))
+        data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+        lengths = np.array([len(t) for t in texts])
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        window = {b + i: t[i : i + width] for b, t in zip(begins, texts) for i in range(len(t) - width + 1)}
+        order = suffix.sorted_windows(data, lengths, width)
+        assert sorted(order) == sorted(window)
+        assert [window[p] for p in order] == sorted(window.values())
+
+
+VECTORS = T.StructType(
+    [T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType()))]
+)
+
+
+def plain_top(rows, k=20, every=20):
+    use = [(i, [int(np.floor(64 * float(x))) for x in e]) for i, e in rows if i is not None and e is not None and None not in e and np.isfinite(e).all()]
+    out = []
+    for q, v in use:
+        if q % every == 0:
+            found = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in use if i != q)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,shard,spread", [(1, 64, 0.15), (2, 16_384, 0.02), (3, 50, 30.0), (4, 64, 2000.0)])
+def test_top_k_equals_brute_force(spark, seed, shard, spread):
+    rnd = np.random.default_rng(seed)
+    centers = rnd.normal(0, spread, (6, 24))
+    rows = [(k, (centers[k % 6] + rnd.normal(0, spread / 6, 24)).astype(np.float32).tolist()) for k in range(400)]
+    rows += [(500 + k, rows[0][1]) for k in range(40)]
+    rows += [(900, None), (901, []), (902, [0.1, None]), (903, [float("nan")] * 24), (904, [float("inf")] * 24)]
+    rows += [(None, rows[1][1]), (905, rows[3][1][:5])]
+    df = spark.createDataFrame(rows, VECTORS).selectExpr("*", "'x' AS v", "1 AS shard", "2 AS score")
+    got = sorted(tuple(r) for r in topk.top_k(df, shard=shard).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == plain_top(rows)
+
+
+def test_top_k_with_few_vectors_and_repeats(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (20, [0.5, 0.5])]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, VECTORS)).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == plain_top(rows)
+    assert topk.top_k(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_search_stops_on_proof():
+    rnd = np.random.default_rng(5)
+    vectors = np.rint(rnd.normal(0, 3, (3000, 16))).astype(np.int64)
+    vectors[:30] = np.array([40, -35] * 8) + rnd.integers(-2, 3, (30, 16))
+    seen = []
+    segments = [(s, r) for s, r in topk._segments(vectors)]
+
+    class Counted(list):
+        def __iter__(self):
+            for s in super().__iter__():
+                seen.append(1)
+                yield s
+
+    queries, ids = vectors[:2], np.arange(3000)
+    rows, columns, scores = topk.search_shard(queries, ids[:2], vectors, ids, 20, Counted(segments))
+    want = [(q, n) for q in (0, 1) for n in np.lexsort((ids, -(vectors @ queries[q]))) if n != q][:20]
+    assert [c for r, c in zip(rows, columns) if r == 0] == [n for q, n in want if q == 0]
+    assert len(seen) < len(segments)

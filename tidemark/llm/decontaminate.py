@@ -75,6 +75,7 @@ class Tokens:
         unit = follows & ~number & np.isin(self.code, _UNIT_HASHES)
         name = capital & ~opens & ~begins & ~number & ~unit
         self.kind = np.where(number, 1, np.where(name, 2, np.where(unit, 3, 0)))
+        self.words = self.code.copy()
         for k, kind in enumerate(self.KINDS[1:], 1):
             self.code[self.kind == k] = _CODES[kind]
         self.begins = begins
@@ -136,8 +137,8 @@ class Tokens:
 def _windows(width: int, literals: int, wanted, both: bool):
     """Batches of (id, text) to batches of windows; ``wanted()`` gives sorted hashes or None.
 
-    ``both``: an additional window with a name for the first word of a text, for
-    the case that this word stands within a sentence elsewhere.
+    ``both``: also windows as the text may look elsewhere, with a name for its
+    first word (within a sentence), and with words for its names (in capitals).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,14 +151,21 @@ def _windows(width: int, literals: int, wanted, both: bool):
                 part = batch.slice(low, ROWS)
                 texts = [(t or "").encode() for t in part["text"].to_pylist()]
                 tokens = Tokens(texts)
-                for variant in (False, True) if both else (False,):
-                    if variant:
-                        tokens.kind = np.where(tokens.begins & (tokens.kind == 0), 2, tokens.kind)
-                        tokens.code = np.where(tokens.begins & (tokens.kind == 2), _CODES[NAME], tokens.code)
+                usual = tokens.kind, tokens.code
+                for variant in ("usual", "within", "capitals") if both else ("usual",):
+                    tokens.kind, tokens.code = usual
+                    if variant == "within":
+                        first = tokens.begins & (tokens.kind == 0)
+                        tokens.kind = np.where(first, 2, tokens.kind)
+                        tokens.code = np.where(first, _CODES[NAME], tokens.code)
+                    if variant == "capitals":
+                        name = tokens.kind == 2
+                        tokens.kind = np.where(name, 0, tokens.kind)
+                        tokens.code = np.where(name, tokens.words, tokens.code)
                     at, length, value = tokens.windows(width)
                     plain = np.concatenate([[0], np.cumsum(tokens.kind == 0)])
                     good = plain[at + length] - plain[at] >= np.minimum(literals, (length + 1) // 2)
-                    if variant:
+                    if variant == "within":
                         good &= tokens.begins[at]
                     if keep is not None:
                         good &= bits[value & np.uint64((1 << 22) - 1)]

@@ -118,7 +118,7 @@ def build(counts: pa.Table, languages: list[str], contexts: int = CONTEXTS) -> M
                 found = np.log2((total + kinds) / count)
             table[ids[depth]] = np.where(count > 0, found, escape + shorter)
     fixed = np.minimum(np.rint(lengths * 256), 65_535).astype(np.uint16)
-    return Model(languages, steps, fixed.reshape(len(languages), -1))
+    return Model(languages, steps, fixed.reshape(len(languages), size * 256))
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,8 +170,8 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
         known = shared.value
         names = np.array([*known.languages, UNDETERMINED], object)
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch["_text"].to_pylist()]
-            lettered = batch["_lettered"].to_numpy(zero_copy_only=False).astype(bool)
+            texts = [t.encode() if t else b"" for t in batch["text"].to_pylist()]
+            lettered = batch["lettered"].to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
             if known.languages and len(texts):
                 bits = known.bits(texts)
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 share = 1 / np.exp2(np.maximum(least - bits, -256_000) / 256).sum(1)
                 best = np.where(lettered, bits.argmin(1), best)
                 score = np.where(lettered, share, 0.0)
-            found = {c: batch[c] for c in keep}
+            found = dict(zip(keep, batch["kept"].flatten()))
             yield pa.record_batch(
                 found | {"lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score, pa.float64())}
             )
@@ -187,5 +187,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     kept = docs.select(*keep)
     schema = StructType([*kept.schema.fields]).add("lang_pred", "string").add("score", "double")
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"), lettered.alias("_lettered"))
+    rows = docs.select(
+        F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"), lettered.alias("lettered")
+    )
     return rows.mapInArrow(scored, schema)

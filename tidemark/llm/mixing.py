@@ -121,10 +121,10 @@ def mixed_documents(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
         mix(docs, seed=seed, **options)
         .select("key", *own, "copies")
         .groupBy("key", "_none", "_source")
-        .agg(often.alias("_copies"))
-        .where("_copies > 0")
-        .withColumnRenamed("key", "_key")
+        .agg(often.alias("copies"))
+        .where("copies > 0")
     )
-    keyed = docs.select("*", random_key(seed).alias("_key"), *own).join(plan, ["_key", "_none", "_source"])
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return keyed.withColumn("_again", again).select(*[f"`{c}`" for c in docs.columns])
+    # The row travels as one column, so its names can't clash with those of the plan.
+    keyed = docs.select(F.struct("*").alias("row"), random_key(seed).alias("key"), *own)
+    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return keyed.join(plan, ["key", "_none", "_source"]).select("row", again).select("row.*")

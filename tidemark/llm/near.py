@@ -226,7 +226,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
     named = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = roots.select("key", "root").join(named, "root").select("key", "component_id")
     own = classes.select("key", F.col("doc_id").alias("_own")).join(linked, "key", "left")
-    ids = own.select("key", F.coalesce("component_id", "_own").alias("component_id"))
+    # Stored, so that the join below is one of two plain shuffles and a hot class can be split.
+    ids = stored(own.select("key", F.coalesce("component_id", "_own").alias("component_id")), "components")
     found = sketched.drop("signature").join(ids, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(
