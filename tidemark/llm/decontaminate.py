@@ -36,7 +36,7 @@ UNITS = (
 ).split()
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
-ROWS = 1024
+ROWS = 512
 _byte = np.arange(256)
 _DIGIT = (_byte >= 48) & (_byte <= 57)
 _INNER = _DIGIT | UPPER | ((_byte >= 97) & (_byte <= 122)) | (_byte >= 128)

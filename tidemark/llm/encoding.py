@@ -34,8 +34,9 @@ CLASSES = bytes(
     for c in range(256)
 )
 UNSAFE = (b"  ", b" \n", b"\n ", b" .", b"\n.", b"p.", b"..", b"\n\n\n")
-# Parts whose ids a task keeps, about 200 bytes each.
-KEPT = 1_000_000
+# Parts whose ids a Python worker keeps, about 250 bytes each; workers outlive
+# their tasks, so this memory is theirs for good.
+KEPT = 400_000
 
 
 class Encoder:
@@ -128,7 +129,7 @@ class Encoder:
         return [len(self.known[p]) // 4 for p in pieces]
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def encoder(content: str) -> Encoder:
     """One encoder per Python worker: what it has seen serves its later tasks."""
     return Encoder(content)

@@ -28,7 +28,8 @@ DOCUMENTS, BYTES, CONTEXTS = 600, 65_536, 12_288
 # Parts of a language that are sampled apart, for a language may be most of the rows.
 SALTS = 24
 UNDETERMINED = "und"
-SLICE = 1 << 19
+# Bytes and rows that are scored at a time.
+SLICE, ROWS = 1 << 18, 1024
 PAD = b"\0" * ORDER
 
 
@@ -169,7 +170,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         names = np.array([*known.languages, UNDETERMINED], object)
-        for batch in batches:
+        for batch in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
             texts = [t.encode() if t else b"" for t in batch["text"].to_pylist()]
             lettered = batch["lettered"].to_numpy(zero_copy_only=False).astype(bool)
             best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
