@@ -1,13 +1,9 @@
-"""The catalogue's results in plain SQL, for the checking engine.
-
-A query without an entry here has no SQL counterpart: ``run_metrics`` holds
-elapsed time.
-"""
+"""The catalogue's results in plain SQL, for the checking engine."""
 
 from __future__ import annotations
 
 from catalogue.inputs import LEFT, RAW_ENTITIES, T0, T1, T2
-from catalogue.queries import PHONE_PATTERN
+from catalogue.queries import PHONE_PATTERN, RUN_1, RUN_2, RUN_3
 
 RAW = RAW_ENTITIES.format(orders="orders", customer="customer", nation="nation", region="region")
 
@@ -217,6 +213,46 @@ PAGES = f"""
     FROM ({RAW}) r
 """
 
+GOLD = (
+    ("dim_location", DIM_LOCATION),
+    ("dim_entity_type", DIM_TYPE),
+    ("fact_entities", FACT),
+    ("agg_entities_by_type_location", AGG),
+)
+
+# Three runs: without some entities; without others and with other names; whole.
+_RUNS = (
+    (RUN_1, f"SELECT * FROM ({RAW}) r WHERE CAST(id AS BIGINT) % 5 <> 1"),
+    (
+        RUN_2,
+        f"SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN upper(name) ELSE name END AS name)"
+        f" FROM ({RAW}) r WHERE CAST(id AS BIGINT) % 11 <> 0",
+    ),
+    (RUN_3, RAW),
+)
+_STATES = " UNION ALL ".join(
+    f"SELECT {n} AS run, TIMESTAMP '{at}' AS taken, s.* FROM (SELECT {SILVER_COLUMNS} FROM ({rows}) r) s"
+    for n, (at, rows) in enumerate(_RUNS)
+)
+# A version begins with a run that shows an entity for the first time, again, or
+# under another name, and ends with the next run that does so or lacks it.
+RUNS_HISTORY = f"""
+    WITH states AS ({_STATES}),
+    marked AS (
+        SELECT *, lag(name) OVER w IS NOT DISTINCT FROM name AND lag(run) OVER w = run - 1 AS same
+        FROM states WINDOW w AS (PARTITION BY id ORDER BY run)
+    ),
+    numbered AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY run) AS version
+                 FROM marked),
+    ended AS (SELECT id, version, max(run) + 1 AS until FROM numbered GROUP BY ALL)
+    SELECT n.* EXCLUDE (run, taken, same, version, valid_from, valid_to, is_current), n.taken AS valid_from,
+           CASE e.until WHEN 1 THEN TIMESTAMP '{RUN_2}' WHEN 2 THEN TIMESTAMP '{RUN_3}' END AS valid_to,
+           e.until = 3 AS is_current
+    FROM numbered n JOIN ended e ON n.id = e.id AND n.version = e.version
+    WHERE NOT n.same
+"""
+RUNS_STAR = STAR_SK.replace(f"({SILVER}) s", f"(SELECT * FROM ({RUNS_HISTORY}) h WHERE is_current) s")
+
 ORACLE: dict[str, str] = {
     "fill_first_non_null": f"SELECT id, {STATE} AS state FROM ({RAW}) r",
     "fill_default": f"SELECT id, {COUNTRY} AS country FROM ({RAW}) r",
@@ -255,13 +291,7 @@ ORACLE: dict[str, str] = {
     """,
     "quality_report": _quality(),
     "table_counts": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({sql}) t"
-        for name, sql in (
-            ("dim_location", DIM_LOCATION),
-            ("dim_entity_type", DIM_TYPE),
-            ("fact_entities", FACT),
-            ("agg_entities_by_type_location", AGG),
-        )
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({sql}) t" for name, sql in GOLD
     ),
     "dim_location": DIM_LOCATION,
     "dim_type": DIM_TYPE,
@@ -325,9 +355,25 @@ ORACLE: dict[str, str] = {
         FROM ({SILVER}) s
     """,
     "stream_silver": f"""
-        SELECT {SILVER_COLUMNS} FROM ({_stamped(T1)}) a
+        SELECT * REPLACE (false AS is_current) FROM (SELECT {SILVER_COLUMNS} FROM ({_stamped(T1)}) a) o
         UNION ALL SELECT {SILVER_COLUMNS} FROM ({_stamped(T2)}) b
     """,
+    "stream_silver_fact": FACT.replace(f"({SILVER}) s", f"(SELECT {SILVER_COLUMNS} FROM ({_stamped(T2)}) r) s"),
+    "stream_scd2_close": _merged("close"),
+    "runs_to_star_history": RUNS_HISTORY,
+    "runs_to_star_view": RUNS_STAR,
+    "run_metrics": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS timed FROM ({sql}) t"
+        for name, sql in (("silver", SILVER), *GOLD)
+    ),
+    "snapshot_arrays": RAW,
+    "scd2_check_cut": VIOLATIONS,
+    "scd2_point_in_time_cut": f"""
+        SELECT e.event_id, e.user_id, e.day, e.event_type, h.event_type AS known_state, h.valid_from
+        FROM (SELECT *, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM events) e
+        LEFT JOIN ({DAILY_HISTORY}) h ON e.user_id = h.user_id
+            AND h.valid_from <= e.day AND (h.valid_to IS NULL OR e.day < h.valid_to)
+    """,
     "stream_scd2": DAILY_HISTORY,
     "snapshot_to_star": STAR,
 }

@@ -142,7 +142,10 @@ def quality_report(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    return quality.table_counts(gold.gold_tables(silver(spark, sf_dir)))
+    """Counts of stored tables, which come from file footers."""
+    out = _stored_gold(spark, sf_dir)
+    names = gold.gold_tables(silver(spark, sf_dir))
+    return quality.table_counts({n: tables.read_table(spark, f"{out}/{n}") for n in names})
 
 
 # Dimensions, fact, rollup, views
@@ -168,20 +171,26 @@ def agg_by_type_location(spark, sf_dir):
     return model.type_location_agg(silver(spark, sf_dir))
 
 
+def _stored(spark, df: DataFrame, name: str) -> DataFrame:
+    """Written and read again, so that Spark knows its size."""
+    written = tables.write_table(df, scratch_path(spark, name))
+    return tables.read_table(spark, written.path, schema=df.schema)
+
+
 @query
 def star_view(spark, sf_dir):
-    entities = silver(spark, sf_dir)
-    return model.star_view(
-        model.fact(entities), model.location_dim(entities), model.kind_dim(entities)
-    )
+    entities = _stored(spark, silver(spark, sf_dir), "silver")
+    locations = _stored(spark, model.location_dim(entities), "locations")
+    kinds = _stored(spark, model.kind_dim(entities), "kinds")
+    return model.star_view(model.fact(entities), locations, kinds)
 
 
 @query
 def star_view_sk(spark, sf_dir):
-    entities = silver(spark, sf_dir)
-    return model.star_view_sk(
-        model.fact_sk(entities), model.location_dim_sk(entities), model.kind_dim_sk(entities)
-    )
+    entities = _stored(spark, silver(spark, sf_dir), "silver")
+    locations = _stored(spark, model.location_dim_sk(entities), "locations")
+    kinds = _stored(spark, model.kind_dim_sk(entities), "kinds")
+    return model.star_view_sk(model.fact_sk(entities), locations, kinds)
 
 
 def _write_gold(spark, sf_dir, out: str) -> list[tables.WriteMetrics]:
@@ -197,8 +206,11 @@ def _stored_gold(spark, sf_dir) -> str:
 
 @query
 def run_metrics(spark, sf_dir):
+    """What the writes counted; elapsed time only as whether there is some."""
     metrics = _write_gold(spark, sf_dir, scratch_path(spark, "gold"))
-    return tables.metrics_frame(spark, metrics)
+    return tables.metrics_frame(spark, metrics).select(
+        "table_name", F.col("rows").alias("row_count"), (F.col("seconds") >= 0).alias("timed")
+    )
 
 
 @query
@@ -330,11 +342,34 @@ def scd2_point_in_time(spark, sf_dir):
     )
 
 
+@query
+def scd2_point_in_time_cut(spark, sf_dir):
+    """Facts and versions by day, so that keys are cut on few instants."""
+    log = events(spark, sf_dir)
+    versions = scd2.scd2_from_history(
+        daily_states(log), ["user_id"], ["event_type"], "known_at", parts=64, min_rows=4
+    ).withColumnRenamed("event_type", "known_state")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    facts = log.select("event_id", "user_id", day.alias("day"), "event_type")
+    return scd2.scd2_point_in_time(
+        facts, versions, ["user_id"], "day", ["known_state", VALID_FROM], parts=64, min_rows=4
+    )
+
+
+@query
+def scd2_check_cut(spark, sf_dir):
+    return scd2.scd2_check(_broken(spark, sf_dir), ["user_id"], parts=64, min_rows=4)
+
+
 @query
 def scd2_check(spark, sf_dir):
+    return scd2.scd2_check(_broken(spark, sf_dir), ["user_id"])
+
+
+def _broken(spark, sf_dir) -> DataFrame:
     """A log read as versions in the wrong way, so that every rule is broken somewhere."""
     log = events(spark, sf_dir)
-    broken = log.select(
+    return log.select(
         "user_id",
         F.col("ts").alias(VALID_FROM),
         F.when(F.col("event_type") == "signup", F.col("ts"))
@@ -342,7 +377,6 @@ def scd2_check(spark, sf_dir):
         .alias(VALID_TO),
         F.col("event_type").isin("view", "click").alias(IS_CURRENT),
     )
-    return scd2.scd2_check(broken, ["user_id"])
 
 
 # Landing, tables, streams
@@ -365,6 +399,22 @@ def snapshot_pages(spark, sf_dir):
     return snapshot.read_pages(spark, path, raw.schema, multi_line=False)
 
 
+@query
+def snapshot_arrays(spark, sf_dir):
+    """Pages of up to 500 rows, each a file with one JSON array over several lines."""
+    raw = raw_entities(spark, sf_dir)
+    page = F.floor(F.col("id").cast("long") / 500)
+    fields = [
+        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c) if c == DEFAULT_SPEC.stamp else c
+        for c in raw.columns
+    ]
+    rows = F.collect_list(F.struct(*fields))
+    bodies = raw.groupBy(page.alias("page")).agg(F.to_json(rows, {"pretty": "true"}).alias("value"))
+    path = scratch_path(spark, "pages")
+    bodies.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return snapshot.read_pages(spark, path, raw.schema, multi_line=True)
+
+
 @query
 def land_snapshot(spark, sf_dir):
     raw = snapshot.stamp(raw_entities(spark, sf_dir), ntz(T2))
@@ -415,8 +465,7 @@ def dynamic_overwrite(spark, sf_dir):
     return tables.read_table(spark, path, schema=entities.schema)
 
 
-@query
-def stream_silver(spark, sf_dir):
+def _streamed_silver(spark, sf_dir) -> DataFrame:
     """Two snapshots picked up by two runs of the stream."""
     raw = raw_entities(spark, sf_dir)
     base, out = scratch_path(spark, "landed"), scratch_path(spark, "silver")
@@ -424,7 +473,24 @@ def stream_silver(spark, sf_dir):
     for run, at in ((RUN_1, T1), (RUN_2, T2)):
         snapshot.land_snapshot(snapshot.stamp(raw, ntz(at)), base, run)
         jobs.stream_silver(spark, base, out, checkpoint, raw.schema).awaitTermination()
-    return tables.read_table(spark, out)
+    return jobs.read_silver(spark, out, raw.schema).drop("run")
+
+
+@query
+def stream_silver(spark, sf_dir):
+    return _streamed_silver(spark, sf_dir)
+
+
+@query
+def stream_silver_fact(spark, sf_dir):
+    """One fact row per entity, however many snapshots came."""
+    return model.fact(_streamed_silver(spark, sf_dir))
+
+
+def _history_table(spark) -> HistoryTable:
+    return HistoryTable(
+        spark, scratch_path(spark, "history"), STATE_COLUMNS, ("user_id",), T.TimestampNTZType()
+    )
 
 
 @query
@@ -432,9 +498,7 @@ def stream_scd2(spark, sf_dir):
     """Daily states landed in two portions, carried into one history."""
     states = daily_states(events(spark, sf_dir))
     base, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "stream")
-    history = HistoryTable(
-        spark, scratch_path(spark, "history"), STATE_COLUMNS, T.TimestampNTZType()
-    )
+    history = _history_table(spark)
     first = F.col("known_at") <= ntz(T1)
     for run, portion in ((RUN_1, first), (RUN_2, ~first)):
         snapshot.land_snapshot(states.where(portion), base, run)
@@ -445,24 +509,70 @@ def stream_scd2(spark, sf_dir):
     return history.read()
 
 
+@query
+def stream_scd2_close(spark, sf_dir):
+    """Three whole snapshots, the last two picked up by one run of the stream."""
+    log = events(spark, sf_dir)
+    base, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "stream")
+    history = _history_table(spark)
+    for run, at, start in ((RUN_1, T0, True), (RUN_2, T1, False), (RUN_3, T2, True)):
+        taken = user_snapshot(log, at).withColumn("taken_at", ntz(at))
+        snapshot.land_snapshot(taken, base, run)
+        if start:
+            jobs.stream_scd2(
+                spark, base, history, checkpoint, ["user_id"], ["event_type"], "taken_at",
+                taken.schema, on_missing="close",
+            ).awaitTermination()
+    return history.read()
+
+
 @query
 def scd2_history_table(spark, sf_dir):
     """Three snapshots merged into a stored history, the second one twice."""
     log = events(spark, sf_dir)
-    history = HistoryTable(
-        spark, scratch_path(spark, "history"), STATE_COLUMNS, T.TimestampNTZType()
-    )
+    history = _history_table(spark)
     for at in (T0, T1, T1, T2):
         taken = user_snapshot(log, at)
         history.update(
             f"{at:%Y%m%d}",
             lambda opened, taken=taken, at=at: scd2.scd2_merge(
-                opened, taken, ["user_id"], ["event_type"], ntz(at), "close"
+                opened, taken, ["user_id"], ["event_type"], ntz(at), "close", changes_only=True
             ),
         )
     return history.read()
 
 
+def _three_runs(spark, sf_dir) -> tuple[str, HistoryTable]:
+    """Entities that change, go and come back over three runs, carried into gold."""
+    raw = raw_entities(spark, sf_dir)
+    number = F.col("id").cast("long")
+    renamed = F.when(number % 7 == 0, F.upper("name")).otherwise(F.col("name"))
+    base, out = scratch_path(spark, "landed"), scratch_path(spark, "tables")
+    runs = (
+        (RUN_1, raw.where(number % 5 != 1)),
+        (RUN_2, raw.where(number % 11 != 0).withColumn("name", renamed)),
+        (RUN_3, raw),
+    )
+    for run, rows in runs[:1]:
+        snapshot.land_snapshot(rows, base, run)
+    gold.runs_to_star(spark, base, out, schema=raw.schema)
+    for run, rows in runs[1:]:
+        snapshot.land_snapshot(rows, base, run)
+    return out, gold.runs_to_star(spark, base, out, schema=raw.schema)
+
+
+@query
+def runs_to_star_history(spark, sf_dir):
+    _, table = _three_runs(spark, sf_dir)
+    return table.read()
+
+
+@query
+def runs_to_star_view(spark, sf_dir):
+    out, _ = _three_runs(spark, sf_dir)
+    return gold.read_star(spark, out)
+
+
 @query
 def snapshot_to_star(spark, sf_dir):
     raw = raw_entities(spark, sf_dir)

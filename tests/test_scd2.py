@@ -105,6 +105,38 @@ def test_merge_refuses_late_snapshots_and_null_keys(spark, current, snapshot):
         scd2_merge(current, broken, ["k"], ["v"], S2).collect()
 
 
+def test_merge_refuses_duplicate_keys_and_a_null_time(spark, current):
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        scd2_merge(current, twice, ["k"], ["v"], S0 + timedelta(days=9)).collect()
+    once = twice.where("k = 2")
+    with pytest.raises(ValueError, match="time of the snapshot"):
+        scd2_merge(current, once, ["k"], ["v"], None)
+    with pytest.raises(Exception, match="time of the snapshot"):
+        scd2_merge(current, once, ["k"], ["v"], F.lit(None).cast("timestamp")).collect()
+
+
+@pytest.mark.parametrize("instants", [1, 3, 30])
+def test_hot_key_with_few_instants_is_cut(spark, instants):
+    """All rows of a hot key on few dates, or on one: no range keeps most of them, results stay."""
+    from tidemark.operators.ordered import RANGE, split_hot_keys
+
+    days = [S0 + timedelta(days=d) for d in range(instants)]
+    facts = spark.createDataFrame(
+        [(1, days[n % instants], n) for n in range(6000)] + [(2, days[0], -1), (None, days[0], -2)],
+        "k int, at timestamp, n int",
+    )
+    versions = [(1, "before", S0 - timedelta(days=5), days[0]), (1, "on", days[0], None), (2, "x", days[-1], None)]
+    versions = spark.createDataFrame(versions, "k int, v string, valid_from timestamp, valid_to timestamp")
+    dealt, ranges = split_hot_keys(facts, ["k"], "at", 8, 100, spread=F.xxhash64("n"))
+    assert ranges is not None
+    largest = dealt.where("k = 1").groupBy(RANGE).count().agg(F.max("count")).first()[0]
+    assert largest <= 6000 / 8 * 2 + 6000 / instants * (instants > 8)
+    got = scd2_point_in_time(facts, versions, ["k"], "at", ["v"], parts=8, min_rows=100)
+    want = {(n, "on") for n in range(6000)} | {(-1, "x" if instants == 1 else None), (-2, None)}
+    assert {(r.n, r.v) for r in got.collect()} == want
+
+
 def test_merge_does_not_shuffle_closed_history(spark, current, snapshot, folder):
     current.write.parquet(f"{folder}/t")
     stored = spark.read.parquet(f"{folder}/t")

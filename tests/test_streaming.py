@@ -1,15 +1,18 @@
+import os
 from datetime import datetime
+from glob import glob
 
 import pytest
 from pyspark.sql import types as T
 
 from conftest import as_set, same_rows
+from tidemark.operators.model import fact
 from tidemark.operators.scd2 import scd2_check, scd2_from_history
 from tidemark.plans.conform import conform
-from tidemark.schema import ENTITY_SCHEMA
+from tidemark.schema import ENTITY_SCHEMA, IS_CURRENT
 from tidemark.sources.history import HistoryTable
-from tidemark.sources.snapshot import land_snapshot
-from tidemark.streaming.jobs import stream_scd2, stream_silver
+from tidemark.sources.snapshot import finished_runs, land_snapshot, run_path
+from tidemark.streaming.jobs import read_silver, stream_scd2, stream_silver
 
 DAY = [datetime(2024, 1, d) for d in range(1, 8)]
 COLUMNS = T.StructType().add("k", T.IntegerType()).add("v", T.StringType())
@@ -29,24 +32,28 @@ def run(spark, folder, table, **options):
 
 @pytest.fixture
 def table(spark, folder):
-    return HistoryTable(spark, f"{folder}/history", COLUMNS)
+    return HistoryTable(spark, f"{folder}/history", COLUMNS, ("k",))
 
 
-def test_each_file_is_conformed_once(spark, folder):
+def test_each_run_is_conformed_once_and_the_latest_is_current(spark, folder):
     def entities(ids, city):
         rows = [tuple({"id": i, "city": city, "phone": "+1 5"}.get(f) for f in ENTITY_SCHEMA.names) for i in ids]
         return spark.createDataFrame(rows, ENTITY_SCHEMA)
 
     def run_once():
         stream_silver(spark, f"{folder}/in", f"{folder}/out", f"{folder}/ckpt").awaitTermination()
-        return spark.read.parquet(f"{folder}/out")
+        return read_silver(spark, f"{folder}/out").drop("run")
 
-    first, second = entities("abc", "São Paulo"), entities("de", "München")
+    assert run_once().isEmpty()
+    first, second = entities("abc", "São Paulo"), entities("bcd", "München")
     land_snapshot(first.repartition(2), f"{folder}/in", DAY[0])
     assert same_rows(run_once(), conform(first))
     land_snapshot(second, f"{folder}/in", DAY[1])
-    assert same_rows(run_once(), conform(first).unionByName(conform(second)))
-    assert run_once().count() == 5
+    got = run_once()
+    assert same_rows(got.where(IS_CURRENT), conform(second))
+    assert same_rows(got.where(f"NOT {IS_CURRENT}").drop(IS_CURRENT), conform(first).drop(IS_CURRENT))
+    assert run_once().count() == 6
+    assert sorted(r.entity_id for r in fact(run_once()).collect()) == ["b", "c", "d"]
 
 
 def test_history_follows_the_stream(spark, folder, table):
@@ -59,20 +66,74 @@ def test_history_follows_the_stream(spark, folder, table):
     assert scd2_check(table.read(), ["k"]).isEmpty()
 
 
-def test_a_snapshot_split_over_batches_gives_the_same(spark, folder, table):
-    land(spark, f"{folder}/in", [(k, "a", DAY[0]) for k in range(9)], DAY[0])
-    run(spark, folder, table, files_per_batch=1)
-    assert table.version() > 0
+@pytest.mark.parametrize("on_missing", ["keep", "close"])
+def test_a_run_in_several_files_is_one_step(spark, folder, table, on_missing):
+    for d in (0, 1):
+        land(spark, f"{folder}/in", [(k, "a", DAY[d]) for k in range(9)], DAY[d])
+        run(spark, folder, table, on_missing=on_missing)
+    assert len(glob(f"{run_path(f'{folder}/in', DAY[0])}/part-*")) > 1
     assert as_set(table.read()) == {(k, "a", DAY[0], None, True) for k in range(9)}
 
 
+@pytest.mark.parametrize("count", [2, 5])
+def test_all_runs_since_the_last_start_are_taken_in_order(spark, folder, table, count):
+    land(spark, f"{folder}/in", [(1, "v0", DAY[0]), (2, "x", DAY[0])], DAY[0])
+    run(spark, folder, table, on_missing="close")
+    for d in range(count, 0, -1):  # landed in another order
+        land(spark, f"{folder}/in", [(1, f"v{d}", DAY[d])], DAY[d])
+    run(spark, folder, table, on_missing="close")
+    want = {(1, f"v{d}", DAY[d], DAY[d + 1], False) for d in range(count)}
+    want |= {(1, f"v{count}", DAY[count], None, True), (2, "x", DAY[0], DAY[1], False)}
+    assert as_set(table.read()) == want
+    assert scd2_check(table.read(), ["k"]).isEmpty()
+
+
+def test_an_unfinished_run_waits(spark, folder, table):
+    land(spark, f"{folder}/in", [(1, "a", DAY[0]), (2, "b", DAY[0])], DAY[0])
+    land(spark, f"{folder}/in", [(1, "a", DAY[1])], DAY[1])
+    marker = f"{run_path(f'{folder}/in', DAY[1])}/_SUCCESS"
+    os.rename(marker, f"{folder}/held")
+    assert [r.run for r in finished_runs(spark, f"{folder}/in")] == ["20240101_000000"]
+    run(spark, folder, table, on_missing="close")
+    assert as_set(table.read()) == {(1, "a", DAY[0], None, True), (2, "b", DAY[0], None, True)}
+    os.rename(f"{folder}/held", marker)
+    land(spark, f"{folder}/in", [(1, "c", DAY[2])], DAY[2])
+    run(spark, folder, table, on_missing="close")
+    assert as_set(table.read()) == {
+        (1, "a", DAY[0], DAY[2], False), (1, "c", DAY[2], None, True), (2, "b", DAY[0], DAY[1], False),
+    }
+
+
+def test_an_empty_run_is_an_error_unless_allowed(spark, folder, table):
+    land(spark, f"{folder}/in", [(1, "a", DAY[0])], DAY[0])
+    run(spark, folder, table, on_missing="close")
+    land(spark, f"{folder}/in", [], DAY[1])
+    for _ in range(2):
+        with pytest.raises(Exception, match="finished but empty"):
+            run(spark, folder, table, on_missing="close")
+    run(spark, folder, table, on_missing="close", allow_empty=True)
+    assert as_set(table.read()) == {(1, "a", DAY[0], None, True)}
+
+
+def test_a_restart_after_a_failure_goes_on(spark, folder, table):
+    land(spark, f"{folder}/in", [(1, "a", DAY[0])], DAY[0])
+    land(spark, f"{folder}/in", [(1, "b", DAY[1]), (1, "c", DAY[2])], DAY[1])
+    land(spark, f"{folder}/in", [(1, "d", DAY[3])], DAY[3])
+    with pytest.raises(Exception, match="single time per run"):
+        run(spark, folder, table, on_missing="close")
+    assert as_set(table.read()) == {(1, "a", DAY[0], None, True)}
+    land(spark, f"{folder}/in", [(1, "b", DAY[1])], DAY[1])  # landed again, right this time
+    run(spark, folder, table, on_missing="close")
+    assert as_set(table.read()) == {
+        (1, "a", DAY[0], DAY[1], False), (1, "b", DAY[1], DAY[3], False), (1, "d", DAY[3], None, True),
+    }
+
+
 def test_a_replayed_batch_changes_nothing(spark, folder, table):
     land(spark, f"{folder}/in", [(1, "a", DAY[0]), (2, "b", DAY[0])], DAY[0])
     run(spark, folder, table)
     before, version = as_set(table.read()), table.version()
-    # The batch was committed to the table, but the stream does not know it.
-    import os
-    from glob import glob
+    # The run was committed to the table, but the stream does not know it.
     for path in glob(f"{folder}/ckpt/commits/*") + glob(f"{folder}/ckpt/commits/.*crc"):
         os.remove(path)
     run(spark, folder, table)
@@ -85,10 +146,3 @@ def test_absence_closes_only_on_request(spark, folder, table):
     land(spark, f"{folder}/in", [(1, "a", DAY[1])], DAY[1])
     run(spark, folder, table, on_missing="close")
     assert as_set(table.read()) == {(1, "a", DAY[0], None, True), (2, "b", DAY[0], DAY[1], False)}
-
-
-def test_closing_refuses_batches_of_several_snapshots(spark, folder, table):
-    land(spark, f"{folder}/in", [(1, "a", DAY[0]), (1, "b", DAY[1])], DAY[1])
-    with pytest.raises(Exception, match="one whole snapshot"):
-        run(spark, folder, table, on_missing="close")
-    assert table.version() is None

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.scd2 import scd2_current
@@ -119,9 +119,9 @@ def surrogate_key(df: DataFrame, columns: Sequence[str]) -> Column:
             value = value + F.lit(0.0)  # minus zero and zero are one value
         value = value.cast("string")
         values.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("-")))
-    # Never null, and told so: joins on the key need no null filter, which would
-    # compute it a second time.
-    return F.coalesce(F.sha2(F.concat(*values), 256), F.lit(""))
+    # As bytes: half the width of the hexadecimal text. Never null, and told so:
+    # joins on the key need no null filter, which would compute it a second time.
+    return F.coalesce(F.unhex(F.sha2(F.concat(*values), 256)), F.lit(b""))
 
 
 def _location_columns(spec: EntitySpec) -> list[str]:
@@ -174,10 +174,11 @@ def star_view_sk(
     )
 
 
-def publish_view(df: DataFrame, name: str) -> None:
-    """A temporary view: it lives as long as the session.
+def publish_view(spark: SparkSession, text: str, name: str, persistent: bool = False) -> None:
+    """A view over stored tables, given by its SQL text.
 
-    For a view that outlives it, register the stored tables in a metastore and
-    create the view there.
+    A temporary one lives as long as the session. A persistent one goes into
+    the session's catalog, and outlives the session where that is a metastore.
     """
-    df.createOrReplaceTempView(name)
+    kind = "VIEW" if persistent else "TEMPORARY VIEW"
+    spark.sql(f"CREATE OR REPLACE {kind} `{name}` AS {text}")

@@ -46,30 +46,36 @@ def quality_report(
 ) -> DataFrame:
     """One row per column: null, blank, default-filled, out-of-range and distinct counts.
 
-    Equal values are counted together first, with partial sums before the
-    shuffle, so a value that fills a third of a column travels as one row per
-    task and exact distinct counts come for free.
+    All counts but the distinct one come from one plain aggregation, a row per
+    task before the shuffle. Only the exact distinct counts expand the columns;
+    equal values meet in their task first, so a value that fills a third of a
+    column travels as one row per task.
     """
-    per_value = value_distribution_sets(df, columns)
-    value, n = F.col("value"), F.col("row_count")
-
-    def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
-
-    outside = F.lit(False)
-    for column, (low, high) in (bounds or {}).items():
-        number = value.try_cast("double")
-        outside = outside | (
-            (F.col("column_name") == column) & value.isNotNull() & ~number.between(low, high)
+    bounds = bounds or {}
+
+    def counts(c: str) -> Column:
+        value = F.col(c).cast("string")
+        outside = F.lit(False)
+        if c in bounds:
+            low, high = bounds[c]
+            outside = value.isNotNull() & ~F.coalesce(value.try_cast("double").between(low, high), F.lit(True))
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(value.isNull()).alias("null_count"),
+            F.count_if(F.trim(value) == "").alias("blank_count"),
+            F.count_if(value.isin(*defaults)).alias("default_count"),
+            F.count_if(outside).alias("out_of_range_count"),
         )
-    return per_value.groupBy("column_name").agg(
-        F.sum(n).alias("row_count"),
-        rows_where(value.isNull()).alias("null_count"),
-        rows_where(F.trim(value) == "").alias("blank_count"),
-        rows_where(value.isin(*defaults)).alias("default_count"),
-        rows_where(outside).alias("out_of_range_count"),
-        F.count(value).alias("distinct_count"),
+
+    linear = df.agg(F.array(*[counts(c) for c in columns]).alias("_counts")).select(F.inline("_counts"))
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column_name", "value"
+    )
+    distinct = long.where("value IS NOT NULL").distinct().groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("distinct_count")
     )
+    return linear.join(distinct, "column_name", "left").fillna(0, ["distinct_count"])
 
 
 def coordinate_bounds(spec: EntitySpec = DEFAULT_SPEC) -> dict[str, tuple[float, float]]:

@@ -58,13 +58,29 @@ def scd2_as_of(df: DataFrame, at) -> DataFrame:
     )
 
 
-def _pair(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Old and new row per key as two structs; a struct is null if the side has no row."""
+def _pair(old: DataFrame, new: DataFrame, keys: Sequence[str], single: bool = False) -> DataFrame:
+    """Old and new row per key as two structs; a struct is null if the side has no row.
+
+    ``single`` adds ``_once``, which fails if ``new`` holds the key twice.
+    """
     left = old.select(*[_required(k) for k in keys], F.struct(*old.columns).alias("_old"))
     right = new.select(*[_required(k) for k in keys], F.struct(*new.columns).alias("_new"))
+    if single:
+        right = _single(right, keys)
     return left.join(right, list(keys), "full_outer")
 
 
+def _single(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with a failing column ``_once`` if a key comes twice, counted per key.
+
+    The count shuffles by key, as a join on the keys does, which then needs no
+    further exchange.
+    """
+    times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    twice = F.raise_error(F.lit("snapshot holds an entity key more than once"))
+    return rows.withColumn("_once", F.when(times > 1, twice).otherwise(F.lit(True)))
+
+
 def _action(tracked: Sequence[str]) -> Column:
     old = F.struct(*[F.col("_old")[c] for c in tracked])
     new = F.struct(*[F.col("_new")[c] for c in tracked])
@@ -101,6 +117,7 @@ def scd2_merge(
     at,
     on_missing: str = "close",
     order: Sequence[str] | None = None,
+    changes_only: bool = False,
 ) -> DataFrame:
     """The history table after a full snapshot taken at ``at``.
 
@@ -109,22 +126,27 @@ def scd2_merge(
     closed or kept, as ``on_missing`` says. Closed history passes through
     untouched and takes no part in the join, so ``current`` is read twice: store
     the table between merges (``HistoryTable`` does). A second run with the
-    same snapshot changes nothing.
+    same snapshot changes nothing. ``changes_only`` gives the versions that the
+    merge closes and opens, nothing else.
 
-    The snapshot must hold a key at most once; give ``order`` to have the last
-    row per key picked first. Closing a version at or before its start fails
-    the job: rebuild such tables with ``scd2_from_history``.
+    The snapshot must hold a key at most once, else the job fails; give
+    ``order`` to have the last row per key picked first. Closing a version at or
+    before its start fails the job as well, and so does a null ``at``: rebuild
+    such tables with ``scd2_from_history``.
     """
     if on_missing not in ("close", "keep"):
         raise ValueError("on_missing is 'close' or 'keep'")
+    if at is None:
+        raise ValueError("a merge needs the time of the snapshot")
     if order:
         snapshot = latest_per_key(snapshot, keys, order)
     payload = [c for c in current.columns if c not in SCD2_COLUMNS]
     start = current.schema[VALID_FROM].dataType
     at = at if isinstance(at, Column) else F.lit(at)
     at = at.cast(start)
+    at = F.when(at.isNull(), F.raise_error(F.lit("a merge needs the time of the snapshot"))).otherwise(at)
 
-    joined = _pair(scd2_current(current), snapshot.select(*payload), keys)
+    joined = _pair(scd2_current(current), snapshot.select(*payload), keys, single=True)
     old, new = F.col("_old"), F.col("_new")
     late = F.raise_error(F.lit("snapshot is not later than the version it would close"))
     close_at = F.when(old[VALID_FROM] >= at, late).otherwise(at)
@@ -142,13 +164,18 @@ def scd2_merge(
         F.lit(None).cast(start).alias(VALID_TO),
         F.lit(True).alias(IS_CURRENT),
     )
+    none = F.slice(F.array(kept), 1, 0)
+    same = none if changes_only else F.array(kept)
     versions = (
-        F.when(F.col("_action") == "same", F.array(kept))
+        F.when(~F.coalesce("_once", F.lit(True)), none)
+        .when(F.col("_action") == "same", same)
         .when(F.col("_action") == "insert", F.array(opened))
         .when(F.col("_action") == "update", F.array(closed, opened))
-        .otherwise(F.array(closed if on_missing == "close" else kept))
+        .otherwise(F.array(closed) if on_missing == "close" else same)
     )
     merged = joined.withColumn("_action", _action(tracked)).select(F.inline(versions))
+    if changes_only:
+        return merged
     history = current.where(~F.col(IS_CURRENT))
     return history.unionByName(merged)
 
@@ -224,6 +251,7 @@ def scd2_extend(
     tracked: Sequence[str],
     at: str,
     tie_break: Sequence[str] = (),
+    changes_only: bool = False,
 ) -> DataFrame:
     """Open versions carried on through newer log rows, in one pass.
 
@@ -231,8 +259,12 @@ def scd2_extend(
     ``on_missing="keep"``. Returns the versions of all keys of ``opened`` and
     ``log``: those closed on the way and those open now. Log rows older than the
     open version of their key fail the job; rows seen before change nothing.
+    ``changes_only`` works on the keys of ``log`` alone and leaves out versions
+    that were open before and still are.
     """
     tie_break = list(tie_break) or list(tracked)
+    if changes_only:
+        opened = opened.join(log.select(*keys).distinct(), list(keys), "left_semi")
     starts = opened.select(*keys, F.col(VALID_FROM).alias("_start"))
     late = F.raise_error(F.lit("log row is older than the open version of its key"))
     fresh = log.join(starts, list(keys), "left").withColumn(
@@ -246,7 +278,11 @@ def scd2_extend(
         *[F.lit(None).cast(log.schema[c].dataType).alias(c) for c in extra],
     )
     both = seeds.unionByName(fresh.select(*keys, *_unique([*tracked, at, *extra])))
-    return scd2_from_history(both, keys, tracked, at, tie_break)
+    versions = scd2_from_history(both, keys, tracked, at, tie_break)
+    if not changes_only:
+        return versions
+    still = F.col(IS_CURRENT) & F.col(VALID_FROM).eqNullSafe(F.col("_start"))
+    return versions.join(starts, list(keys), "left").where(~still).drop("_start")
 
 
 def scd2_point_in_time(
@@ -279,7 +315,9 @@ def scd2_point_in_time(
         *keys, F.col(VALID_FROM).alias("_at"), F.lit(0).alias("_side"), version_type.alias("_version")
     )
     both = left.unionByName(right, allowMissingColumns=True)
-    rows, ranges = split_hot_keys(both, keys, "_at", parts, min_rows, weigh)
+    # Facts of one instant see the same version and may be spread.
+    dealt = F.when(F.col("_side") == 1, F.xxhash64("_fact"))
+    rows, ranges = split_hot_keys(both, keys, "_at", parts, min_rows, weigh, dealt)
     # Facts without a key match nothing; spread them instead of sorting them together.
     null_key = F.lit(False)
     for k in keys:

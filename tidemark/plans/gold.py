@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.model import fact, kind_dim, location_dim, publish_view, type_location_agg
+from tidemark.operators.model import (
+    fact,
+    fact_sk,
+    kind_dim,
+    kind_dim_sk,
+    location_dim,
+    location_dim_sk,
+    publish_view,
+    star_view_sk,
+    type_location_agg,
+)
+from tidemark.operators.scd2 import scd2_merge
 from tidemark.plans.conform import conform
-from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, EntitySpec
-from tidemark.sources.snapshot import read_latest
+from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, SCD2_COLUMNS, EntitySpec
+from tidemark.sources.history import HistoryTable
+from tidemark.sources.snapshot import RUN_FORMAT, finished_runs, read_latest, read_snapshot
 from tidemark.sources.tables import WriteMetrics, read_table, verify_write, write_table
 
 
@@ -51,11 +64,15 @@ def agg_view_text(gold: str, spec: EntitySpec = DEFAULT_SPEC, fmt: str = "parque
 
 
 def publish_gold_views(
-    spark: SparkSession, gold: str, spec: EntitySpec = DEFAULT_SPEC, fmt: str = "parquet"
+    spark: SparkSession,
+    gold: str,
+    spec: EntitySpec = DEFAULT_SPEC,
+    fmt: str = "parquet",
+    persistent: bool = False,
 ) -> None:
-    """The two views over stored gold tables, for the lifetime of the session."""
-    publish_view(spark.sql(star_view_text(gold, spec, fmt)), spec.star_view)
-    publish_view(spark.sql(agg_view_text(gold, spec, fmt)), spec.agg_view)
+    """The two views over stored gold tables; ``persistent`` ones are kept in the session's catalog."""
+    publish_view(spark, star_view_text(gold, spec, fmt), spec.star_view, persistent)
+    publish_view(spark, agg_view_text(gold, spec, fmt), spec.agg_view, persistent)
 
 
 def snapshot_to_star(
@@ -80,3 +97,60 @@ def snapshot_to_star(
     metrics = [written, *write_gold(silver, f"{out}/gold", spec, fmt)]
     publish_gold_views(spark, f"{out}/gold", spec, fmt)
     return metrics
+
+
+def history_table(
+    spark: SparkSession, out: str, spec: EntitySpec = DEFAULT_SPEC, schema: T.StructType = ENTITY_SCHEMA
+) -> HistoryTable:
+    """The stored history of conformed entities below ``out``."""
+    conformed = conform(spark.createDataFrame([], schema), spec).schema
+    columns = T.StructType([f for f in conformed if f.name not in SCD2_COLUMNS])
+    return HistoryTable(spark, f"{out}/history", columns, (spec.id,), conformed[SCD2_COLUMNS[0]].dataType)
+
+
+def runs_to_star(
+    spark: SparkSession,
+    base: str,
+    out: str,
+    spec: EntitySpec = DEFAULT_SPEC,
+    schema: T.StructType = ENTITY_SCHEMA,
+    on_missing: str = "close",
+    fmt: str = "parquet",
+) -> HistoryTable:
+    """Every finished run that is new into the history, then gold from its current rows.
+
+    Each run is conformed and merged at the time of its stamp: changed entities
+    get a new version, absent ones are closed or kept as ``on_missing`` says. A
+    changed ingest time alone is no change. Running it again changes nothing. The
+    star view has a row per entity; ``star_view_text`` gives the fan-out one.
+    """
+    table = history_table(spark, out, spec, schema)
+    payload = table.columns.names
+    tracked = [c for c in payload if c not in (spec.id, "updated_at", "updated_date")]
+    for run in finished_runs(spark, base, table.last_batch()):
+        at = datetime.strptime(run.run, RUN_FORMAT)
+        rows = conform(read_snapshot(spark, run, schema), spec).select(*payload)
+        table.update(
+            run.run,
+            lambda opened, rows=rows, at=at: scd2_merge(
+                opened, rows, [spec.id], tracked, at, on_missing, changes_only=True
+            ),
+        )
+        if table.grown():
+            table.compact()
+    # Written first: the gold tables each read it, and its size is known.
+    current = write_table(table.opened(), f"{out}/silver", fmt=fmt)
+    silver = read_table(spark, current.path, fmt, table.schema)
+    write_gold(silver, f"{out}/gold", spec, fmt)
+    for name, df in (("fact_sk", fact_sk(silver, spec)), ("location_sk", location_dim_sk(silver, spec)),
+                     ("kind_sk", kind_dim_sk(silver, spec))):
+        write_table(df, f"{out}/gold/{name}", fmt=fmt)
+    return table
+
+
+def read_star(
+    spark: SparkSession, out: str, spec: EntitySpec = DEFAULT_SPEC, fmt: str = "parquet"
+) -> DataFrame:
+    """The star view over what ``runs_to_star`` stored, one row per current entity."""
+    tables = (read_table(spark, f"{out}/gold/{name}", fmt) for name in ("fact_sk", "location_sk", "kind_sk"))
+    return star_view_sk(*tables, spec)

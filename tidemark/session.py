@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         return base
     if spark.sparkContext.master.startswith("local"):
         base = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
         return base
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

@@ -1,11 +1,15 @@
 """A version history kept in Parquet, updated without touching what is being read.
 
 Each update writes one folder, ``rows/version=N``, with the versions it closed
-and all versions open after it, and then adds a line to ``commits``. Readers go
-by the highest committed version: the open rows of that version and the closed
-rows of all versions up to it. Closed history is never rewritten, an update
-that died half-way is invisible and overwritten by its repetition, and a batch
-that was committed before is skipped.
+and those it opened, and then adds a line to ``commits``; rows written follow
+the number of changes. Readers go by the highest committed version. The open
+rows are those opened since the base, a version that holds all open rows,
+without those closed since. ``compact`` makes a new base, ``remove_superseded``
+deletes what no reader of the newest version needs. Closed history is never
+rewritten, an update that died half-way is invisible and overwritten by its
+repetition, and a batch that was committed before is skipped.
+
+One writer at a time: a second one that commits meanwhile makes the update fail.
 """
 
 from __future__ import annotations
@@ -13,24 +17,26 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import IS_CURRENT, VALID_FROM, VALID_TO
+from tidemark.sources.files import entries, exists, remove
 from tidemark.sources.tables import WriteMetrics, write_table
 
-_COMMIT = "version long, batch string, row_count long, seconds double"
+_COMMIT = "version long, base long, batch string, row_count long, seconds double"
+_COMPACTED = "compacted"
 
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """``columns`` are the entity columns; the three version columns are added."""
+    """``columns`` are the entity columns, ``keys`` name the entity; the three version columns are added."""
 
     spark: SparkSession
     path: str
     columns: T.StructType
+    keys: tuple[str, ...]
     time_type: T.DataType = T.TimestampType()
 
     @property
@@ -43,61 +49,112 @@ class HistoryTable:
         )
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        path = f"{self.path}/commits"
+        return self.spark.read.schema(_COMMIT).json(path) if exists(self.spark, path) else None
+
+    def _state(self, batch: str = "") -> tuple[int | None, int, bool]:
+        """Highest committed version, its base, and whether ``batch`` is committed; one scan."""
+        commits = self._commits()
+        if commits is None:
+            return None, 0, False
+        newest = F.max(F.struct("version", "base")).alias("newest")
+        row = commits.agg(newest, F.max(F.col("batch") == batch).alias("known")).first()
+        return row.newest.version, row.newest.base, bool(row.known)
 
     def version(self) -> int | None:
         """The highest committed version."""
-        commits = self._commits()
-        return None if commits is None else commits.agg(F.max("version")).first()[0]
+        return self._state()[0]
 
-    def committed(self, batch: str) -> bool:
+    def last_batch(self) -> str | None:
+        """The greatest committed batch name."""
         commits = self._commits()
-        return commits is not None and not commits.where(F.col("batch") == batch).isEmpty()
+        return None if commits is None else commits.where(F.col("batch") != _COMPACTED).agg(F.max("batch")).first()[0]
 
-    def _rows(self, folder: str = "") -> DataFrame:
+    def _rows(self) -> DataFrame:
         stored = T.StructType(list(self.schema)).add("version", T.LongType())
-        rows = f"{self.path}/rows"
-        return self.spark.read.schema(stored).option("basePath", rows).parquet(rows + folder)
+        return self.spark.read.schema(stored).parquet(f"{self.path}/rows")
+
+    def _opened(self, version: int, base: int) -> DataFrame:
+        rows = self._rows().where(F.col("version").between(base, version))
+        closed = rows.where(~F.col(IS_CURRENT) & (F.col("version") > base))
+        opened = rows.where(IS_CURRENT).drop("version")
+        if version == base:
+            return opened
+        return opened.join(closed.select(*self.keys, VALID_FROM), [*self.keys, VALID_FROM], "left_anti").select(
+            *self.schema.names
+        )
 
     def opened(self) -> DataFrame:
-        """The open versions; lists and reads the last version's folder only."""
-        version = self.version()
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self._rows(f"/version={version}").where(F.col(IS_CURRENT)).drop("version")
+        """The open versions; reads the base and what was written since."""
+        version, base, _ = self._state()
+        return self.spark.createDataFrame([], self.schema) if version is None else self._opened(version, base)
 
     def read(self) -> DataFrame:
-        """All versions; the filter prunes folders, superseded open rows are not read."""
-        version = self.version()
+        """All versions."""
+        version, base, _ = self._state()
         if version is None:
             return self.spark.createDataFrame([], self.schema)
-        visible = F.when(F.col(IS_CURRENT), F.col("version") == version).otherwise(
-            F.col("version") <= version
-        )
-        return self._rows().where(visible).drop("version")
-
-    def update(self, batch: str, step: Callable[[DataFrame], DataFrame]) -> WriteMetrics | None:
-        """Replace the open versions by ``step(open versions)``, once per batch.
+        closed = self._rows().where(~F.col(IS_CURRENT) & (F.col("version") <= version)).drop("version")
+        return closed.unionByName(self._opened(version, base))
 
-        ``step`` returns the versions it closed and all that are open now. None
-        if the batch was committed before.
-        """
-        if self.committed(batch):
-            return None
+    def _alone(self, target: int) -> None:
         version = self.version()
-        target = 0 if version is None else version + 1
+        if version is not None and version >= target:
+            raise RuntimeError(f"{self.path}: another writer committed version {target}")
+
+    def _commit(self, target: int, base: int, batch: str, rows: DataFrame) -> WriteMetrics:
+        self._alone(target)
         written = write_table(
-            step(self.opened()).select(*self.schema.names),
+            rows.select(*self.schema.names),
             f"{self.path}/rows/version={target}",
             partition_by=[IS_CURRENT],
             gather=False,
         )
+        self._alone(target)
         self.spark.createDataFrame(
-            [(target, batch, written.rows, written.seconds)], _COMMIT
+            [(target, base, batch, written.rows, written.seconds)], _COMMIT
         ).coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return written
+
+    def update(self, batch: str, step: Callable[[DataFrame], DataFrame]) -> WriteMetrics | None:
+        """Add ``step(open versions)``, the versions that were closed and opened, once per batch.
+
+        A version of ``step`` that was open before, unchanged, must not be
+        among them. None if the batch was committed before.
+        """
+        version, base, known = self._state(batch)
+        if known:
+            return None
+        if version is None:
+            return self._commit(0, 0, batch, step(self.opened()))
+        return self._commit(version + 1, base, batch, step(self._opened(version, base)))
+
+    def grown(self) -> bool:
+        """Whether more was written since the base than the base holds."""
+        version, base, _ = self._state()
+        if version is None or version == base:
+            return False
+        rows = F.col("row_count")
+        sums = self._commits().agg(
+            F.sum(F.when(F.col("version") == base, rows)), F.sum(F.when(F.col("version") > base, rows))
+        )
+        held, since = sums.first()
+        return (since or 0) > (held or 0)
+
+    def compact(self) -> WriteMetrics | None:
+        """Write all open versions as the new base; None if they are one already."""
+        version, base, _ = self._state()
+        if version is None or version == base:
+            return None
+        return self._commit(version + 1, version + 1, _COMPACTED, self._opened(version, base))
+
+    def remove_superseded(self) -> int:
+        """Delete the open rows of versions before the base; number of folders.
+
+        Readers that started on an older base fail, so call it when there are none.
+        """
+        _, base, _ = self._state()
+        numbers = [int(n.split("=")[1]) for n in entries(self.spark, f"{self.path}/rows") if n.startswith("version=")]
+        return sum(
+            remove(self.spark, f"{self.path}/rows/version={n}/{IS_CURRENT}=true") for n in numbers if n < base
+        )

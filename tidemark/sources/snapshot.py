@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, EntitySpec
+from tidemark.sources.files import entries, exists
 from tidemark.sources.tables import WriteMetrics, write_table
 
 # Time stamps keep their microseconds in JSON.
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 STAMP_FORMAT_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 RUN_FORMAT = "%Y%m%d_%H%M%S"
+# Folder below the base that gets a line for every finished run, and its columns.
+FINISHED = "finished"
+RUN_COLUMNS = "run string, path string, row_count long"
 
 
 def stamp(df: DataFrame, at, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
@@ -63,14 +67,22 @@ def run_path(base: str, at: datetime) -> str:
 
 
 def land_snapshot(df: DataFrame, base: str, at: datetime) -> WriteMetrics:
-    """Write a snapshot as JSON lines below ``base``; returns path, rows and seconds."""
-    return write_table(
+    """Write a snapshot as JSON lines below ``base`` and announce it; returns path, rows and seconds."""
+    written = write_table(
         df,
         run_path(base, at),
         fmt="json",
         timestampFormat=STAMP_FORMAT,
         timestampNTZFormat=STAMP_FORMAT_NTZ,
     )
+    announce_run(df.sparkSession, base, at.strftime(RUN_FORMAT), written.path, written.rows)
+    return written
+
+
+def announce_run(spark: SparkSession, base: str, run: str, path: str, rows: int) -> None:
+    """Tell streams below ``base`` that a run is complete; for runs that other tools landed, too."""
+    line = spark.createDataFrame([(run, path, rows)], RUN_COLUMNS)
+    line.coalesce(1).write.mode("append").json(f"{base.rstrip('/')}/{FINISHED}")
 
 
 @dataclass(frozen=True)
@@ -85,22 +97,15 @@ class Snapshot:
     multi_line: bool
 
 
-def _entries(spark: SparkSession, path: str) -> list[str]:
-    """Names in one folder, on whatever file system the path is."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
-
-
 def _newest_first(spark: SparkSession, path: str, part: str) -> list[tuple[int, str]]:
-    found = [re.fullmatch(rf"{part}=(\d+)", name) for name in _entries(spark, path)]
+    found = [re.fullmatch(rf"{part}=(\d+)", name) for name in entries(spark, path)]
     return sorted(((int(m[1]), f"{path}/{m[0]}") for m in found if m), reverse=True)
 
 
 def _runs_of_day(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
     """Run stamp, name and whether it is a single file, the newest first."""
     runs = []
-    for name in _entries(spark, path):
+    for name in entries(spark, path):
         stamp_of = re.match(r"(?:run=)?(\d{8}_\d{6})", name)
         run = stamp_of[1] if stamp_of else name
         if name.startswith("run="):
@@ -123,11 +128,35 @@ def latest_snapshot(spark: SparkSession, base: str) -> Snapshot:
             for day, in_day in _newest_first(spark, in_month, "day"):
                 for run, name, single in _runs_of_day(spark, in_day):
                     path = f"{in_day}/{name}"
-                    if single or "_SUCCESS" in _entries(spark, path):
+                    if single or exists(spark, f"{path}/_SUCCESS"):
                         return Snapshot(year, month, day, run, path, single)
     raise FileNotFoundError(f"no snapshot below {base}")
 
 
+def finished_runs(spark: SparkSession, base: str, after: str | None = None) -> list[Snapshot]:
+    """Finished runs below ``base`` in run order, those later than ``after``.
+
+    Folders of days before ``after`` are not listed. A run without its success
+    marker is passed over, also where later ones are finished.
+    """
+    base, found = base.rstrip("/"), []
+    since = (int(after[:4]), int(after[4:6]), int(after[6:8])) if after else (0, 0, 0)
+    for year, in_year in _newest_first(spark, base, "year"):
+        if year < since[0]:
+            break
+        for month, in_month in _newest_first(spark, in_year, "month"):
+            if (year, month) < since[:2]:
+                break
+            for day, in_day in _newest_first(spark, in_month, "day"):
+                if (year, month, day) < since:
+                    break
+                for run, name, single in _runs_of_day(spark, in_day):
+                    path = f"{in_day}/{name}"
+                    if run > (after or "") and (single or exists(spark, f"{path}/_SUCCESS")):
+                        found.append(Snapshot(year, month, day, run, path, single))
+    return sorted(found, key=lambda s: s.run)
+
+
 def read_snapshot(
     spark: SparkSession, snapshot: Snapshot, schema: T.StructType = ENTITY_SCHEMA
 ) -> DataFrame:

@@ -69,9 +69,9 @@ def write_table(
     """
     started = time.monotonic()
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by and gather:
-        counted = counted.hint("rebalance", *partition_by)
+    # Counted behind the exchange: map tasks that run again don't count twice.
+    gathered = df.hint("rebalance", *partition_by) if partition_by and gather else df
+    counted = gathered.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,8 +1,16 @@
-"""Snapshots picked up as they land, with Structured Streaming."""
+"""Finished snapshots picked up as they are announced, with Structured Streaming.
+
+The unit of both streams is a finished run, never a file: the streamed lines say
+that a run is complete, and the step for a line takes every finished run that
+is not done yet, in run order and one at a time. What is done is read from the
+output, so a replayed batch, a restart and any number of runs since the last
+start give the same result. A run that finishes after a later one was taken is
+passed over.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,28 +20,44 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.ordered import latest_per_key
 from tidemark.operators.scd2 import scd2_extend, scd2_merge
 from tidemark.plans.conform import conform
-from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, EntitySpec
+from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, IS_CURRENT, EntitySpec
+from tidemark.sources.files import entries, exists
 from tidemark.sources.history import HistoryTable
+from tidemark.sources.snapshot import (
+    FINISHED,
+    RUN_COLUMNS,
+    Snapshot,
+    finished_runs,
+    read_snapshot,
+)
+from tidemark.sources.tables import write_table
 
 
-def landed_stream(
+def follow_runs(
     spark: SparkSession,
     base: str,
-    schema: T.StructType = ENTITY_SCHEMA,
-    multi_line: bool = False,
-    files_per_batch: int | None = None,
-) -> DataFrame:
-    """New snapshot files below ``base``; the folder columns are not part of the rows."""
-    reader = (
-        spark.readStream.schema(schema)
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json*")
+    checkpoint: str,
+    done: Callable[[], str | None],
+    take: Callable[[Snapshot], None],
+) -> StreamingQuery:
+    """``take`` every finished run after the one that ``done`` names, then stop."""
+    # The stream needs the folder to be there, runs or not.
+    if not exists(spark, f"{base}/{FINISHED}"):
+        spark.createDataFrame([], RUN_COLUMNS).write.mode("append").json(f"{base}/{FINISHED}")
+
+    def apply(lines: DataFrame, batch_id: int) -> None:
+        if not lines.isEmpty():
+            for run in finished_runs(spark, base, done()):
+                take(run)
+
+    return (
+        spark.readStream.schema(RUN_COLUMNS)
+        .json(f"{base}/{FINISHED}")
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(base)
 
 
 def stream_silver(
@@ -43,18 +67,36 @@ def stream_silver(
     checkpoint: str,
     schema: T.StructType = ENTITY_SCHEMA,
     spec: EntitySpec = DEFAULT_SPEC,
-    multi_line: bool = False,
 ) -> StreamingQuery:
-    """Conform every file that landed since the last run, exactly once, then stop."""
-    return (
-        conform(landed_stream(spark, base, schema, multi_line), spec)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Conform every run that finished since the last start, each into a folder of its own.
+
+    Read the result with ``read_silver``: only the latest run's rows are current.
+    """
+
+    def taken() -> list[str]:
+        return sorted(n for n in entries(spark, out) if n.startswith("run=") and exists(spark, f"{out}/{n}/_SUCCESS"))
+
+    def done() -> str | None:
+        runs = taken()
+        return runs[-1].removeprefix("run=") if runs else None
+
+    def take(run: Snapshot) -> None:
+        write_table(conform(read_snapshot(spark, run, schema), spec), f"{out}/run={run.run}")
+
+    return follow_runs(spark, base, checkpoint, done, take)
+
+
+def read_silver(
+    spark: SparkSession, out: str, schema: T.StructType = ENTITY_SCHEMA, spec: EntitySpec = DEFAULT_SPEC
+) -> DataFrame:
+    """All conformed runs with their ``run``; rows of the latest one are current, no others."""
+    conformed = conform(spark.createDataFrame([], schema), spec).schema
+    runs = sorted(n for n in entries(spark, out) if n.startswith("run=") and exists(spark, f"{out}/{n}/_SUCCESS"))
+    kept = T.StructType(list(conformed)).add("run", T.StringType())
+    if not runs:
+        return spark.createDataFrame([], kept)
+    rows = spark.read.schema(kept).option("basePath", out).parquet(*[f"{out}/{n}" for n in runs])
+    return rows.withColumn(IS_CURRENT, F.col("run") == runs[-1].removeprefix("run="))
 
 
 def stream_scd2(
@@ -68,38 +110,41 @@ def stream_scd2(
     schema: T.StructType,
     order: Sequence[str] = (),
     on_missing: str = "keep",
-    multi_line: bool = False,
-    files_per_batch: int | None = None,
+    allow_empty: bool = False,
 ) -> StreamingQuery:
-    """Carry the history on with every file that landed since the last run, then stop.
-
-    With ``on_missing="keep"`` a batch may hold parts of a snapshot or several
-    snapshots: its rows extend the open versions in time order, all at once.
-    ``"close"`` reads absence as deletion, so there each batch must be exactly
-    one whole snapshot with a single ``at``. The batch id is recorded with the
-    result; a replayed batch changes nothing.
+    """Carry the history on with every run that finished since the last start, then stop.
+
+    With ``on_missing="keep"`` a run may hold a part of a snapshot, or rows of
+    several instants: they extend the open versions in time order. ``"close"``
+    reads absence as deletion: each run is one whole snapshot with a single
+    ``at``. An empty run would close everything and is an error, unless
+    ``allow_empty`` has it passed over. The run's stamp is recorded with the
+    result, and only changes are written; when they outweigh the open rows they
+    are compacted.
     """
     order = list(order) or list(tracked)
 
-    def extend(batch: DataFrame, opened: DataFrame) -> DataFrame:
-        return scd2_extend(opened, batch, keys, tracked, at, order)
+    def extend(rows: DataFrame, opened: DataFrame) -> DataFrame:
+        return scd2_extend(opened, rows, keys, tracked, at, order, changes_only=True)
 
-    def merge(batch: DataFrame, opened: DataFrame) -> DataFrame:
-        taken = batch.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
-        if taken.first != taken.last:
-            raise ValueError("on_missing='close' needs one whole snapshot per batch")
-        rows = latest_per_key(batch, keys, order).select(*keys, *tracked)
-        return scd2_merge(opened, rows, keys, tracked, taken.last, on_missing)
+    def merge(rows: DataFrame, opened: DataFrame) -> DataFrame:
+        instant = rows.agg(F.min(at).alias("first"), F.max(at).alias("last")).first()
+        if instant.first is None or instant.first != instant.last:
+            raise ValueError("on_missing='close' needs one whole snapshot with a single time per run")
+        states = latest_per_key(rows, keys, order).select(*keys, *tracked)
+        return scd2_merge(opened, states, keys, tracked, instant.last, on_missing, changes_only=True)
 
     step = extend if on_missing == "keep" else merge
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        table.update(f"{checkpoint}#{batch_id}", lambda opened: step(batch, opened))
-
-    return (
-        landed_stream(spark, base, schema, multi_line, files_per_batch)
-        .writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def take(run: Snapshot) -> None:
+        rows = read_snapshot(spark, run, schema)
+        if rows.isEmpty():
+            if not allow_empty:
+                raise ValueError(f"run {run.run} is finished but empty")
+            table.update(run.run, lambda opened: opened.limit(0))
+            return
+        table.update(run.run, lambda opened: step(rows, opened))
+        if table.grown():
+            table.compact()
+
+    return follow_runs(spark, base, checkpoint, table.last_batch, take)
