@@ -27,7 +27,8 @@ from tidemark.operators.quality import (
     value_distribution_sets,
 )
 from tidemark.plans.conform import conform
-from tidemark.plans.gold import publish_gold_views, snapshot_to_star, write_gold
+from tidemark.operators.scd2 import scd2_check
+from tidemark.plans.gold import publish_gold_views, read_star, runs_to_star, snapshot_to_star, write_gold
 from tidemark.schema import ENTITY_SCHEMA, EntitySpec, entity_schema
 from tidemark.sources.snapshot import land_snapshot
 
@@ -172,6 +173,61 @@ def test_snapshot_to_star(spark, folder):
     assert snapshot_to_star(spark, f"{folder}/in", f"{folder}/out")[0].rows == 4
 
 
+def test_runs_to_star_keeps_history(spark, folder):
+    """Change, removal and return over three runs; running it again changes nothing."""
+    day = [datetime(2024, m, 1) for m in (9, 10, 11)]
+
+    def land(ids, run, **other):
+        rows = [{"id": i, "entity_type": "t", "name": f"n{i}", "ingested_date": run, **other.get(f"_{i}", {})} for i in ids]
+        land_snapshot(raw(spark, rows), f"{folder}/in", run)
+
+    def again():
+        table = runs_to_star(spark, f"{folder}/in", f"{folder}/out", schema=ENTITY_SCHEMA)
+        got = {(r.id, r.name, r.valid_from, r.valid_to, r.is_current) for r in table.read().collect()}
+        star = {(r.entity_id, r.entity_name) for r in read_star(spark, f"{folder}/out").collect()}
+        assert scd2_check(table.read(), ["id"]).isEmpty()
+        return got, star
+
+    land("123", day[0])
+    assert again()[1] == {("1", "n1"), ("2", "n2"), ("3", "n3")}
+    land("13", day[1], _3={"name": "new"})
+    land("123", day[2], _3={"name": "new"})
+    got, star = again()
+    assert got == {
+        ("1", "n1", day[0], None, True), ("2", "n2", day[0], day[1], False), ("2", "n2", day[2], None, True),
+        ("3", "n3", day[0], day[1], False), ("3", "new", day[1], None, True),
+    }
+    assert star == {("1", "n1"), ("2", "n2"), ("3", "new")}
+    assert again() == (got, star)
+
+
+def test_small_stored_dimensions_spare_the_fact_a_shuffle(spark, silver, folder):
+    def stored(df, name):
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    entities = stored(silver, "silver")
+    views = (
+        star_view(fact(entities), stored(location_dim(entities), "l"), stored(kind_dim(entities), "k")),
+        star_view_sk(fact_sk(entities), stored(location_dim_sk(entities), "ls"), stored(kind_dim_sk(entities), "ks")),
+    )
+    for view in views:
+        plan = view._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+
+
+def test_views_can_be_kept_in_the_catalog(spark, silver, folder):
+    write_gold(silver, folder)
+    publish_gold_views(spark, folder, persistent=True)
+    try:
+        kept = {t.name for t in spark.catalog.listTables() if not t.isTemporary}
+        assert {"entities_star_schema", "entities_aggregated"} <= kept
+        assert spark.sql("SELECT * FROM default.entities_aggregated").count() > 0
+    finally:
+        for name in ("entities_star_schema", "entities_aggregated"):
+            spark.sql(f"DROP VIEW IF EXISTS default.{name}")
+
+
 def test_hot_join_keys_are_split_by_adaptive_execution(spark, folder):
     """Half of the facts share a location; the join splits that partition."""
     n = 60_000

@@ -107,6 +107,7 @@ def entity_schema(
     ``coordinates=StringType()`` for sources that quote their coordinates; the
     cleaning functions accept either.
     """
+    # The fields of a raw snapshot, in its order.
     text = (
         spec.id, spec.name, spec.kind, spec.address_1, spec.address_2,
         spec.address_3, spec.city, spec.state_fallback, spec.postal_code, spec.country,
