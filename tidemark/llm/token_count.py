@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,11 +159,29 @@ class Tree:
             node = node.above
 
 
+def _sums(pieces: list[str], ids: Encoder) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and tokens of the leaves that the pre-tokens fill."""
+    found = list(map(ids.known.get, pieces))
+    if None in found:
+        ids.learn([p for p, f in zip(pieces, found) if f is None])
+        found = [ids.known[p] if f is None else f for p, f in zip(pieces, found)]
+    cuts = np.arange(0, len(pieces), LEAF)
+    if not len(cuts):
+        return cuts, cuts
+    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    size = np.fromiter(map(len, found), np.int64, len(pieces))
+    return np.add.reduceat(chars, cuts), np.add.reduceat(size, cuts) // 4
+
+
 def _leaves(pieces: list[str], ids: Encoder) -> list[tuple[str, int]]:
-    counts = ids.count(pieces)
-    return [
-        ("".join(pieces[k : k + LEAF]), sum(counts[k : k + LEAF])) for k in range(0, len(pieces), LEAF)
-    ]
+    _, tokens = _sums(pieces, ids)
+    return [("".join(pieces[k * LEAF : (k + 1) * LEAF]), n) for k, n in enumerate(tokens.tolist())]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    bounds = np.cumsum([0, *map(len, arrays)])
+    values = np.concatenate([np.zeros(0, np.int64), *arrays]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
 
 
 TREE = "leaf_chars array<int>, leaf_tokens array<int>"
@@ -183,21 +202,21 @@ def build(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
-                texts = part["text"].to_pylist()
-                split = [PIECE.findall(t) if ids.exact_by_piece(t) else None for t in texts]
-                ids.learn([p for s in split if s for p in s])
-                leaves = [
-                    _leaves(s, ids) if s is not None else [(t, len(ids.encode([t])[0]) // 4)]
-                    for s, t in zip(split, texts)
-                ]
+                sums = []
+                for text in part["text"].to_pylist():
+                    if ids.exact_by_piece(text):
+                        sums.append(_sums(PIECE.findall(text), ids))
+                    else:
+                        sums.append((np.array([len(text)]), np.array([len(ids.encode([text])[0]) // 4])))
                 yield pa.record_batch(
                     {
-                        "doc_id": part["doc_id"], "text": part["text"],
-                        "leaf_chars": pa.array([[len(t) for t, _ in x] for x in leaves], pa.list_(pa.int32())),
-                        "leaf_tokens": pa.array([[n for _, n in x] for x in leaves], pa.list_(pa.int32())),
-                        "n_tokens": pa.array([sum(n for _, n in x) for x in leaves], pa.int64()),
+                        "doc_id": part["doc_id"],
+                        "text": part["text"],
+                        "leaf_chars": _lists([c for c, _ in sums]),
+                        "leaf_tokens": _lists([n for _, n in sums]),
+                        "n_tokens": pa.array([int(n.sum()) for _, n in sums], pa.int64()),
                     }
-                )
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
