@@ -8,6 +8,7 @@ outside ``PLAIN``, added tokens in the text), a text is encoded as a whole.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import gc
 import json
@@ -34,9 +35,8 @@ CLASSES = bytes(
     for c in range(256)
 )
 UNSAFE = (b"  ", b" \n", b"\n ", b" .", b"\n.", b"p.", b"..", b"\n\n\n")
-# Parts whose ids a Python worker keeps, about 250 bytes each; workers outlive
-# their tasks, so this memory is theirs for good.
-KEPT = 400_000
+# Parts whose ids a task keeps, about 250 bytes each.
+KEPT = 600_000
 
 
 class Encoder:
@@ -130,11 +130,20 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(content: str) -> Encoder:
-    """One encoder per Python worker: what it has seen serves its later tasks."""
+def _encoder(content: str) -> Encoder:
     return Encoder(content)
 
 
+@contextlib.contextmanager
+def encoder(content: str):
+    """The Python worker's encoder, for one task: a worker outlives its tasks, what they keep doesn't."""
+    held = _encoder(content)
+    try:
+        yield held
+    finally:
+        held.known = {}
+
+
 def content(path: str) -> str:
     """The tokenizer's file, read by the driver and sent along with the tasks."""
     with open(path, encoding="utf-8") as file:

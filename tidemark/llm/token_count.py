@@ -198,10 +198,8 @@ def build(docs: DataFrame, tokenizer: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(shared.value)
-        for batch in batches:
-            for low in range(0, batch.num_rows, ROWS):
-                part = batch.slice(low, ROWS)
+        with encoder(shared.value) as ids:
+            for part in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
                 sums = []
                 for text in part["text"].to_pylist():
                     if ids.exact_by_piece(text):
@@ -235,10 +233,8 @@ def edited(trees: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
     shared = trees.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(shared.value)
-        for batch in batches:
-            for low in range(0, batch.num_rows, ROWS):
-                part = batch.slice(low, ROWS)
+        with encoder(shared.value) as ids:
+            for part in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
                 done = [_edited(row, ids) for row in part.to_pylist()]
                 texts, leaves, encoded = zip(*done)
                 yield pa.record_batch(

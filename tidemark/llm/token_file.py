@@ -35,10 +35,9 @@ OPTIONS = {
 
 def _encode(shared, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, last, start = encoder(shared.value), np.uint32(end).tobytes(), 0
-        for batch in batches:
-            for low in range(0, batch.num_rows, ROWS):
-                part = batch.slice(low, ROWS)
+        last, start = np.uint32(end).tobytes(), 0
+        with encoder(shared.value) as ids:
+            for part in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
                 found = ids.encode(part["text"].to_pylist())
                 n = np.array([len(x) // 4 + 1 for x in found], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(n)])
