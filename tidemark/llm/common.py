@@ -10,6 +10,7 @@ from tidemark.session import scratch_path
 
 # A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def stored(df: DataFrame, name: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -20,6 +21,17 @@ def stored(df: DataFrame, name: str, fmt: str = "parquet", **options) -> DataFra
     return spark.read.schema(df.schema).format(fmt).load(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold few rows, as rows with whole texts ask for.
+
+    The setting stays as it is where it was changed from Spark's default.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_ROWS) == "10000":
+        conf.set(BATCH_ROWS, "1000")
+    return df
+
+
 def word_count(text: str) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
 from tidemark.llm.hashing import BASE, LOWER, UPPER, mixed, range_hashes, slices, words
 
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
@@ -206,7 +207,7 @@ def template_windows(
     def filter_hashes():
         return None if shared is None else shared.value
 
-    return texts.mapInArrow(
+    return small_batches(texts).mapInArrow(
         _windows(width, literals, filter_hashes, both),
         f"id {kind}, at long, hash long, template string, slots array<string>",
     )

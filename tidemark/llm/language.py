@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from tidemark.llm.common import small_batches
+
 ORDER = 3
 # Bounds of what is learned from: documents per language, bytes per document,
 # and contexts of the trees (the most frequent ones).
@@ -148,7 +150,7 @@ def train(
     )
     salt = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS))
     order = Window.partitionBy("lang", "_salt").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    chosen = fit.select("doc_id", "lang", "text", salt.alias("_salt")).withColumn("_n", F.row_number().over(order))
+    chosen = small_batches(fit).select("doc_id", "lang", "text", salt.alias("_salt")).withColumn("_n", F.row_number().over(order))
     grams = chosen.where(F.col("_n") <= max(1, documents // SALTS)).select("lang", "text").mapInArrow(
         _grams, "lang string, gram long, n long"
     )
@@ -188,7 +190,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     kept = docs.select(*keep)
     schema = StructType([*kept.schema.fields]).add("lang_pred", "string").add("score", "double")
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"), lettered.alias("lettered")
     )
     return rows.mapInArrow(scored, schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import small_batches, stored
 from tidemark.llm.components import components, forest
 from tidemark.llm.hashing import BASE, mixed, word_hashes
 
@@ -94,7 +94,7 @@ def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_shingles long, key string, signature binary"
     )
 
@@ -242,7 +242,7 @@ def _confirmed(docs: DataFrame, members: DataFrame, percent: int, width: int) ->
     placed = members.join(sizes.select("group", blocks.cast("int").alias("blocks")), "group").withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks").cast("long")).cast("int")
     )
-    texts = docs.select(F.col("doc_id").alias("_doc"), "text").join(
+    texts = small_batches(docs).select(F.col("doc_id").alias("_doc"), "text").join(
         placed, F.col("_doc").eqNullSafe(F.col("doc_id"))
     )
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
 from tidemark.llm.encoding import PIECE, Encoder, encoder
 
 LEAF = 48
@@ -217,7 +218,7 @@ def build(docs: DataFrame, tokenizer: str) -> DataFrame:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+    return small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         run, f"doc_id {kind}, text string, {TREE}, n_tokens long"
     )
 
@@ -249,7 +250,7 @@ def edited(trees: DataFrame, tokenizer: str, edits: str = "edits") -> DataFrame:
                 )
 
     kind = trees.schema["doc_id"].dataType.simpleString()
-    return trees.select(
+    return small_batches(trees).select(
         "doc_id", "text", "leaf_chars", "leaf_tokens", "n_tokens", F.col(edits).alias("edits")
     ).mapInArrow(run, f"doc_id {kind}, text string, {TREE}, n_tokens_before long, n_tokens long, encoded long")
 

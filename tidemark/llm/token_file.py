@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.common import small_batches
 from tidemark.llm.encoding import encoder
 
 END = 0
@@ -72,7 +73,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, partitions
     shared = spark.sparkContext.broadcast(tokenizer)
     kind = docs.schema["doc_id"].dataType.simpleString()
     ordered = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        small_batches(docs)
+        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .repartitionByRange(count, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
         .withColumn("block", F.spark_partition_id())
@@ -115,4 +117,4 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def checksums(read_back: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and the crc32 of the ids as 32-bit integers."""
     kind = read_back.schema["doc_id"].dataType.simpleString()
-    return read_back.mapInArrow(_checksums, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return small_batches(read_back).mapInArrow(_checksums, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
