@@ -74,6 +74,20 @@ def test_large_groups_are_cut_into_tiles(documents, monkeypatch):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == plain_components(rows, 85)
 
 
+def test_pairs_in_dense_regions_are_all_found(documents, monkeypatch):
+    monkeypatch.setattr(near, "DENSE", 1)
+    rnd = random.Random(12)
+    template, rows = [f"t{k}" for k in range(40)], []
+    for pair in range(400):
+        own = [f"p{pair}w{k}" for k in range(60)]
+        rows += [(2 * pair + c, " ".join(template + own + [f"c{c}p{pair}w{k}" for k in range(11)])) for c in range(2)]
+    rnd.shuffle(rows)
+    sets = {i: sets_of(t) for i, t in rows}
+    assert 5 * len(sets[0] & sets[1]) >= 4 * len(sets[0] | sets[1])
+    got = near.near_duplicates(documents([(i, t, "en", "s") for i, t in rows]), similarity=0.8).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_near_duplicates_of_nothing(documents):
     assert near.near_duplicates(documents([])).count() == 0
     got = near.near_duplicates(documents([(1, None, None, None)])).collect()

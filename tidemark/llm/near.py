@@ -4,7 +4,9 @@ Documents with equal sets form a class; classes are what is compared. Every
 class has ``TREES`` signatures of ``DEPTH`` MinHash values. A tree is the sorted order
 of one signature: classes whose signatures share a long prefix lie next to each
 other. Neighbours are candidates if their common prefix is long enough: ``SHORT``
-values, and more where the region is dense. Candidates that hang together are
+values, and more where the region is dense. What that may part, the classes of
+dense regions, meets again in ``MORE`` trees of its own, where equal signatures
+are candidates however many they are. Candidates that hang together are
 compared, every pair, in tiles of bounded size on their whole sets; a tile
 reports a spanning forest of the links it finds.
 """
@@ -24,6 +26,8 @@ from tidemark.llm.hashing import BASE, mixed, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, DEPTH, SHORT = 20, 8, 4
+# Trees of dense regions: with TREES, (1 - J ** DEPTH) ** (TREES + MORE) is not above (1 - J ** SHORT) ** TREES from J = 0.8 on.
+MORE = 38
 # Neighbours this many rows apart with a common prefix make a region dense.
 DENSE = 64
 # Size of the blocks that tiles compare: sets and shingles.
@@ -32,6 +36,8 @@ ROWS = 512
 _RANDOM = np.random.Generator(np.random.PCG64(11))
 _FACTORS = _RANDOM.integers(1, 2**63, TREES * DEPTH, np.uint64) | np.uint64(1)
 _TERMS = _RANDOM.integers(0, 2**63, TREES * DEPTH, np.uint64)
+_MORE_FACTORS = _RANDOM.integers(1, 2**63, MORE * DEPTH, np.uint64) | np.uint64(1)
+_MORE_TERMS = _RANDOM.integers(0, 2**63, MORE * DEPTH, np.uint64)
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
@@ -56,11 +62,11 @@ def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
     return sets
 
 
-def signature(shingles: np.ndarray) -> bytes:
+def signature(shingles: np.ndarray, factors: np.ndarray = _FACTORS, terms: np.ndarray = _TERMS) -> bytes:
     """16 bits of each MinHash value, big-endian, so that trees sort as bytes."""
-    least = np.full(TREES * DEPTH, np.uint64(2**64 - 1))
+    least = np.full(len(factors), np.uint64(2**64 - 1))
     for low in range(0, len(shingles), 4096):
-        spread = shingles[low : low + 4096, None] * _FACTORS + _TERMS
+        spread = shingles[low : low + 4096, None] * factors + terms
         least = np.minimum(least, (spread >> np.uint64(20)).min(0))
     return mixed(least).astype(">u2").tobytes()
 
@@ -105,45 +111,57 @@ def _prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(same.sum(1) - 1, 0)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (tree, sorted, key) to links of neighbours, and the ends of the partition."""
-    rows, keys, first = np.zeros((0, DEPTH + 1), np.uint16), np.zeros(0, object), True
+def _neighbours(short: int):
+    """Sorted rows (tree, sorted, key) to links of neighbours, the ends of the partition, and keys of dense regions.
 
-    def out(a, b, region):
-        return pa.record_batch(
-            {"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "region": pa.array(region, pa.string())}
-        )
+    Regions that begin or end a partition may be dense in the next one, so their keys count as dense.
+    """
+
+    def out(a, b, region, dense):
+        columns = {"a": a, "b": b, "region": region, "dense": dense}
+        return pa.record_batch({c: pa.array(v, pa.string()) for c, v in columns.items()})
 
     def region(row):
-        return "-".join(map(str, row[: SHORT + 1]))
+        return "-".join(map(str, row[: short + 1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, keys, first = np.zeros((0, DEPTH + 1), np.uint16), np.zeros(0, object), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            value = np.frombuffer(b"".join(batch["sorted"].to_pylist()), ">u2").reshape(-1, DEPTH)
+            new = np.column_stack([batch["tree"].to_numpy().astype(np.uint16), value.astype(np.uint16)])
+            if first is None:
+                first = new[0, : short + 1]
+                yield out([batch["key"][0].as_py()], [None], [region(new[0])], [None])
+            old = len(rows)
+            rows = np.concatenate([rows, new])
+            keys = np.concatenate([keys, batch["key"].to_numpy(zero_copy_only=False)])
+            at = np.arange(max(1, old), len(rows))
+            common = _prefix(rows[at], rows[at - 1])
+            back = at - DENSE
+            far = np.where(back >= 0, _prefix(rows[at], rows[np.maximum(back, 0)]), 0)
+            # Within a dense region, neighbours share two values more than the region does.
+            wanted = np.where(far >= short, np.minimum(far + 2, DEPTH), short)
+            chosen = at[common >= wanted]
+            node, root = forest(keys[chosen], keys[chosen - 1])
+            yield out(node, root, [None] * len(node), [None] * len(node))
+            # A region turns dense DENSE rows after its first row, which is still held.
+            nth = np.cumsum(np.concatenate([[True], (rows[1:, : short + 1] != rows[:-1, : short + 1]).any(1)]))
+            dense = np.isin(nth, nth[at[far >= short]]) | (rows[:, : short + 1] == first).all(1)
+            found = np.unique(keys[dense])
+            yield out([None] * len(found), [None] * len(found), [None] * len(found), found)
+            rows, keys = rows[-DENSE:], keys[-DENSE:]
+        if first is not None:
+            yield out([keys[-1]], [None], [region(rows[-1])], [None])
+            found = keys[(rows[:, : short + 1] == rows[-1, : short + 1]).all(1)]
+            yield out([None] * len(found), [None] * len(found), [None] * len(found), found)
+
+    return run
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        value = np.frombuffer(b"".join(batch["sorted"].to_pylist()), ">u2").reshape(-1, DEPTH)
-        new = np.column_stack([batch["tree"].to_numpy().astype(np.uint16), value.astype(np.uint16)])
-        if first:
-            yield out([batch["key"][0].as_py()], [None], [region(new[0])])
-            first = False
-        old = len(rows)
-        rows = np.concatenate([rows, new])
-        keys = np.concatenate([keys, batch["key"].to_numpy(zero_copy_only=False)])
-        at = np.arange(max(1, old), len(rows))
-        common = _prefix(rows[at], rows[at - 1])
-        back = at - DENSE
-        far = np.where(back >= 0, _prefix(rows[at], rows[np.maximum(back, 0)]), 0)
-        # Within a dense region, neighbours share two values more than the region does.
-        wanted = np.where(far >= SHORT, np.minimum(far + 2, DEPTH), SHORT)
-        chosen = at[common >= wanted]
-        node, root = forest(keys[chosen], keys[chosen - 1])
-        yield out(node, root, [None] * len(node))
-        rows, keys = rows[-DENSE:], keys[-DENSE:]
-    if not first:
-        yield out([keys[-1]], [None], [region(rows[-1])])
-
-
-def candidates(classes: DataFrame) -> DataFrame:
-    """Links (a, b) between keys of classes (key, signature) that are neighbours in some tree.
+
+def candidates(classes: DataFrame, trees: int = TREES, short: int = SHORT) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between keys of classes (key, signature) that are neighbours in some tree; keys of dense regions.
 
     The rows of a tree are range-partitioned in sorted order, so a region may
     lie in several partitions. Where it does, it is the first or the last of
@@ -152,19 +170,20 @@ def candidates(classes: DataFrame) -> DataFrame:
     spark = classes.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     trees = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.struct(t.alias("tree"), F.substr("signature", t * 2 * DEPTH + 1, F.lit(2 * DEPTH)).alias("sorted")),
     )
     rows = classes.select("key", F.explode(trees).alias("t")).select("t.tree", "t.sorted", "key")
     found = stored(
         rows.repartitionByRange(count, "tree", "sorted", "key")
         .sortWithinPartitions("tree", "sorted", "key")
-        .mapInArrow(_neighbours, "a string, b string, region string"),
+        .mapInArrow(_neighbours(short), "a string, b string, region string, dense string"),
         "neighbours",
     )
     ends = found.where("region IS NOT NULL").select("region", "a")
     least = ends.groupBy("region").agg(F.min("a").alias("b"))
-    return found.where("region IS NULL").select("a", "b").union(ends.join(least, "region").select("a", "b"))
+    links = found.where("b IS NOT NULL").select("a", "b").union(ends.join(least, "region").select("a", "b"))
+    return links, found.where("dense IS NOT NULL").select(F.col("dense").alias("key")).distinct()
 
 
 def tile_links(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int):
@@ -208,7 +227,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
     are read.
 
     A group of equal sets, of whatever size, is one class. Hot regions of the
-    trees are spread over partitions, large candidate groups over tiles.
+    trees are spread over partitions, large candidate groups over tiles. Classes
+    of dense regions are read a second time for the signatures of their own trees.
     """
     percent = round(similarity * 100)
     sketched = stored(sketches(docs, width), "sketches")
@@ -219,7 +239,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
         .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n")),
         "classes",
     )
-    groups = components(candidates(classes)).withColumnRenamed("node", "key").withColumnRenamed("root", "group")
+    links, dense = candidates(classes)
+    again = stored(classes.join(dense, "key", "left_semi").select("key", "doc_id"), "dense")
+    more, _ = candidates(stored(_signed_again(docs, again, width), "signatures"), MORE, DEPTH)
+    groups = components(links.union(more)).withColumnRenamed("node", "key").withColumnRenamed("root", "group")
     members = stored(groups.join(classes.select("key", "doc_id", "n"), "key"), "members")
     links = components(_confirmed(docs, members, percent, width))
     roots = links.withColumnRenamed("node", "key").join(classes.select("key", "doc_id"), "key")
@@ -235,6 +258,32 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
     )
 
 
+def _with_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Classes with the texts of their doc_id, of which ``_own_sets`` takes the right ones."""
+    return small_batches(docs).select(F.col("doc_id").alias("_doc"), "text").join(
+        classes, F.col("_doc").eqNullSafe(F.col("doc_id"))
+    )
+
+
+def _own_sets(batches: Iterator[pa.RecordBatch], width: int):
+    """Rows whose text has the set that their key names, with the sets."""
+    for part, texts in _parts(batches):
+        sets = shingle_sets(texts, width)
+        right = [k for k, (s, key) in enumerate(zip(sets, part["key"].to_pylist())) if len(s) and _key(s) == key]
+        yield part.take(pa.array(right, pa.int64())), [sets[k] for k in right]
+
+
+def _signed_again(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """key and the signature of ``MORE`` trees for the classes (key, doc_id)."""
+
+    def run(batches):
+        for taken, sets in _own_sets(batches, width):
+            signed = pa.array([signature(s, _MORE_FACTORS, _MORE_TERMS) for s in sets], pa.binary())
+            yield pa.record_batch({"key": taken["key"], "signature": signed})
+
+    return _with_texts(docs, classes).select("key", "text").mapInArrow(run, "key string, signature binary")
+
+
 def _confirmed(docs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) of keys, found in tiles of the members' whole sets."""
     sizes = members.groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
@@ -242,21 +291,15 @@ def _confirmed(docs: DataFrame, members: DataFrame, percent: int, width: int) ->
     placed = members.join(sizes.select("group", blocks.cast("int").alias("blocks")), "group").withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks").cast("long")).cast("int")
     )
-    texts = small_batches(docs).select(F.col("doc_id").alias("_doc"), "text").join(
-        placed, F.col("_doc").eqNullSafe(F.col("doc_id"))
-    )
 
     def run(batches):
-        for part, found in _parts(batches):
-            sets = shingle_sets(found, width)
-            right = [k for k, (s, key) in enumerate(zip(sets, part["key"].to_pylist())) if len(s) and _key(s) == key]
-            taken = part.take(pa.array(right, pa.int64()))
+        for taken, sets in _own_sets(batches, width):
             yield pa.record_batch(
                 {c: taken[c] for c in ("group", "key", "block", "blocks")}
-                | {"set": pa.array([sets[k].tobytes() for k in right], pa.binary())}
+                | {"set": pa.array([s.tobytes() for s in sets], pa.binary())}
             )
 
-    sets = texts.select("group", "key", "block", "blocks", "text").mapInArrow(
+    sets = _with_texts(docs, placed).select("group", "key", "block", "blocks", "text").mapInArrow(
         run, "group string, key string, block int, blocks int, set binary"
     )
     # A tile compares block x with block y >= x; a block takes part in as many tiles as there are blocks.
