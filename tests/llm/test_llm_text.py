@@ -126,6 +126,15 @@ def test_decontamination_without_the_filter_and_without_rows(documents, benchmar
     assert not found(documents, benchmark.where("false"), docs)
 
 
+def test_decontamination_finds_copies_with_few_literals(documents, spark):
+    items = [(1, "Compute 12 + 34 - 56 * 78 / 9 + 10 + 11 + 12 - 13 + 14"), (2, "The Old Man And The Sea By Ernest Hemingway Of Oak Park")]
+    items += [(3, "every one of these plain words is a literal in the item as it stands here")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = [f"Please do this. {t} And more." for _, t in items] + [f"see {items[1][1].lower()} now", f"see {items[2][1].title()} now"]
+    docs += ["Compute 11 + 34 - 55 * 78 / 8 + 10 + 12 + 12 - 14 + 14"]
+    assert set(found(documents, benchmark, docs)) == {(0, 1), (1, 2), (2, 3), (3, 2), (4, 3)}
+
+
 def test_tokens_do_not_depend_on_slices(monkeypatch):
     text = ("It's 5 km to Paris. Ünder Él, 'quoted' (12) kg!\n" * 30).encode()
     whole = decontaminate.Tokens([text, b"", text])

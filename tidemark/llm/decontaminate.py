@@ -4,7 +4,8 @@ Texts become tokens: words without outer punctuation in lower case (ASCII and
 Latin-1 letters), with numbers, names and units replaced by typed placeholders. A number is a word
 with a digit; a unit is one of ``UNITS`` right after a number; a name is a
 capitalised word, not all in capitals, that does not begin a sentence. Windows of tokens are hashed and
-joined with the windows of the benchmark items. A re-parameterised question
+joined with the windows of the benchmark items; windows of a document with few
+literal words are joined by their actual words, with every window of an item. A re-parameterised question
 has the same template and other slot values, so along one alignment of document
 and item every slot value must stand for one and the same value; windows that
 break this do not count.
@@ -50,6 +51,8 @@ def _hash_of(word: str) -> int:
 
 
 _UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
+# Told from hashes of templates: those of actual words.
+_ACTUAL = np.uint64(_hash_of("<actual>"))
 _CODES = {kind: np.uint64(_hash_of(kind)) for kind in (NUMBER, NAME, UNIT)}
 
 
@@ -138,8 +141,10 @@ class Tokens:
 def _windows(width: int, literals: int, wanted, both: bool):
     """Batches of (id, text) to batches of windows; ``wanted()`` gives sorted hashes or None.
 
+    Windows with fewer than ``literals`` literal words are of their actual words.
     ``both``: also windows as the text may look elsewhere, with a name for its
-    first word (within a sentence), and with words for its names (in capitals).
+    first word (within a sentence), with words for its names (in capitals), and
+    all windows of actual words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +158,9 @@ def _windows(width: int, literals: int, wanted, both: bool):
                 texts = [(t or "").encode() for t in part["text"].to_pylist()]
                 tokens = Tokens(texts)
                 usual = tokens.kind, tokens.code
-                for variant in ("usual", "within", "capitals") if both else ("usual",):
+                tokens.code = tokens.words
+                actual = tokens.windows(width)[2] ^ _ACTUAL
+                for variant in ("usual", "within", "capitals", "actual") if both else ("usual",):
                     tokens.kind, tokens.code = usual
                     if variant == "within":
                         first = tokens.begins & (tokens.kind == 0)
@@ -165,25 +172,29 @@ def _windows(width: int, literals: int, wanted, both: bool):
                         tokens.code = np.where(name, tokens.words, tokens.code)
                     at, length, value = tokens.windows(width)
                     plain = np.concatenate([[0], np.cumsum(tokens.kind == 0)])
-                    good = plain[at + length] - plain[at] >= np.minimum(literals, (length + 1) // 2)
+                    rich = plain[at + length] - plain[at] >= np.minimum(literals, (length + 1) // 2)
+                    rich &= variant != "actual"
+                    value = np.where(rich, value, actual)
+                    # An item's windows of actual words come once, as the last variant.
+                    good = rich if both and variant != "actual" else np.ones(len(at), bool)
                     if variant == "within":
-                        good &= tokens.begins[at]
+                        good = good & tokens.begins[at]
                     if keep is not None:
                         good &= bits[value & np.uint64((1 << 22) - 1)]
                         near = np.flatnonzero(good)
                         good[near] = np.isin(value[near], keep)
                     chosen = np.flatnonzero(good)
-                    yield _rows(part["id"], tokens, at[chosen], length[chosen], value[chosen])
+                    yield _rows(part["id"], tokens, at[chosen], length[chosen], value[chosen], rich[chosen])
 
     return run
 
 
-def _rows(ids, tokens: Tokens, at, length, value) -> pa.RecordBatch:
+def _rows(ids, tokens: Tokens, at, length, value, rich) -> pa.RecordBatch:
     text = tokens.text[at] if len(at) else np.zeros(0, np.int64)
     begin = np.searchsorted(tokens.text, text)
     templates, slots = [], []
-    for a, l in zip(at, length):
-        kinds = tokens.kind[a : a + l]
+    for a, l, typed in zip(at, length, rich):
+        kinds = tokens.kind[a : a + l] * typed
         templates.append(" ".join(Tokens.KINDS[k] or tokens.word(a + j) for j, k in enumerate(kinds)))
         slots.append([tokens.word(a + j) for j in np.flatnonzero(kinds)])
     return pa.record_batch(
@@ -193,6 +204,7 @@ def _rows(ids, tokens: Tokens, at, length, value) -> pa.RecordBatch:
             "hash": pa.array(value.view(np.int64), pa.int64()),
             "template": pa.array(templates, pa.string()),
             "slots": pa.array(slots, pa.list_(pa.string())),
+            "rich": pa.array(rich, pa.bool_()),
         }
     )
 
@@ -200,7 +212,7 @@ def _rows(ids, tokens: Tokens, at, length, value) -> pa.RecordBatch:
 def template_windows(
     texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, wanted=None, both: bool = False
 ) -> DataFrame:
-    """id, at, hash, template, slots of the windows of (id, text)."""
+    """id, at, hash, template, slots, rich (in literal words) of the windows of (id, text)."""
     kind = texts.schema["id"].dataType.simpleString()
     shared = None if wanted is None else texts.sparkSession.sparkContext.broadcast(wanted)
 
@@ -209,7 +221,7 @@ def template_windows(
 
     return small_batches(texts).mapInArrow(
         _windows(width, literals, filter_hashes, both),
-        f"id {kind}, at long, hash long, template string, slots array<string>",
+        f"id {kind}, at long, hash long, template string, slots array<string>, rich boolean",
     )
 
 
@@ -220,10 +232,10 @@ def contaminated(
     """doc_id, item_id, windows, matched, changed: pairs of a document and an item it holds.
 
     ``windows``: windows of the item; ``matched``: those found in the document at
-    consistent slots, at least ``coverage`` of them; ``changed``: slot values
-    that differ. An item with fewer than ``width`` tokens is one window and
-    matches only a document of these tokens. Windows need ``literals`` words
-    (short ones half of theirs). Null and empty texts have no windows, rows
+    consistent slots, at least ``coverage`` of them or of those whose template is
+    enough; ``changed``: slot values that differ. An item with fewer than ``width`` tokens is one window and
+    matches only a document of these tokens. Windows of fewer than ``literals``
+    literal words (short ones half of theirs) match word by word. Null and empty texts have no windows, rows
     that share an id (null included) count as one document or item, repeated
     rows change nothing, other columns are not read.
     """
@@ -232,16 +244,17 @@ def contaminated(
     ).dropDuplicates(["id", "at", "hash"])
     items = items.select(
         F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "template",
-        F.col("slots").alias("item_slots"),
+        F.col("slots").alias("item_slots"), "rich",
     ).persist()
     wanted = None
     if items.count() <= filtered:
         found = items.select("hash").distinct().toArrow()["hash"].to_numpy()
         wanted = np.sort(found.astype(np.int64).view(np.uint64))
     found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, wanted)
-    pairs = found.withColumnRenamed("id", "doc_id").join(items, ["hash", "template"])
+    pairs = found.withColumnRenamed("id", "doc_id").join(items, ["hash", "template", "rich"])
     aligned = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set("item_at").alias("places"),
+        F.collect_set(F.when(F.col("rich"), F.col("item_at"))).alias("typed"),
         F.array_distinct(
             F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))))
         ).alias("values"),
@@ -249,12 +262,16 @@ def contaminated(
     one_to_one = (F.size("values") == F.size(F.array_distinct("values.i"))) & (
         F.size("values") == F.size(F.array_distinct("values.d"))
     )
-    counts = items.groupBy("item_id").agg(F.count_distinct("item_at").alias("windows"))
+    counts = items.groupBy("item_id").agg(
+        F.count_distinct("item_at").alias("windows"),
+        F.count_distinct(F.when(F.col("rich"), F.col("item_at"))).alias("templates"),
+    )
     held = (
         aligned.where(one_to_one)
         .groupBy("doc_id", "item_id")
         .agg(
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("typed")))).alias("typed"),
             F.max(F.size(F.filter("values", lambda v: v["i"] != v["d"]))).cast("long").alias("changed"),
         )
         .withColumn("matched", F.size("places").cast("long"))
@@ -262,6 +279,9 @@ def contaminated(
     same = held["item_id"].eqNullSafe(counts["item_id"])
     return (
         held.join(counts, same)
-        .where(F.col("matched") >= coverage * F.col("windows"))
+        .where(
+            (F.col("matched") >= coverage * F.col("windows"))
+            | ((F.col("typed") > 0) & (F.col("typed") >= coverage * F.col("templates")))
+        )
         .select("doc_id", held["item_id"], "windows", "matched", "changed")
     )
