@@ -126,6 +126,18 @@ def test_decontamination_without_the_filter_and_without_rows(documents, benchmar
     assert not found(documents, benchmark.where("false"), docs)
 
 
+def test_decontamination_drops_only_conflicting_windows(documents, spark):
+    item = "We bought 5 apples on a sunny market day and later sold them to 5 friends who were very glad to have them"
+    other = "In 3 hours the slow boat goes down the long river and then it takes 4 days to come back home again"
+    benchmark = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = found(documents, benchmark, [
+        f"So {item.replace('5 friends', '6 friends')}.", f"So {item.replace('5 apples', '3 apples').replace('5 friends', '7 friends')}.",
+        f"So {other.replace('3', '9').replace('4', '9')}.",
+    ])
+    assert set(got) == {(0, 1), (1, 1), (2, 2)}
+    assert [got[k].windows - got[k].matched for k in ((0, 1), (1, 1), (2, 2))] == [0, 3, 0]
+
+
 def test_decontamination_finds_copies_with_few_literals(documents, spark):
     items = [(1, "Compute 12 + 34 - 56 * 78 / 9 + 10 + 11 + 12 - 13 + 14"), (2, "The Old Man And The Sea By Ernest Hemingway Of Oak Park")]
     items += [(3, "every one of these plain words is a literal in the item as it stands here")]

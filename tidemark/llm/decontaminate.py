@@ -7,8 +7,8 @@ capitalised word, not all in capitals, that does not begin a sentence. Windows o
 joined with the windows of the benchmark items; windows of a document with few
 literal words are joined by their actual words, with every window of an item. A re-parameterised question
 has the same template and other slot values, so along one alignment of document
-and item every slot value must stand for one and the same value; windows that
-break this do not count.
+and item every slot value stands for the value that most windows give it; windows
+that break this do not count, unless their slots are the item's own.
 """
 
 from __future__ import annotations
@@ -225,6 +225,32 @@ def template_windows(
     )
 
 
+def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alignments to the places of their windows that agree on slots, and the number of values that differ."""
+    for batch in batches:
+        places, typed, changed = [], [], []
+        for windows in batch["found"].to_pylist():
+            votes: dict[str, dict[str, set[int]]] = {}
+            for w in windows:
+                for i, d in zip(w["i"], w["d"]):
+                    votes.setdefault(i, {}).setdefault(d, set()).add(w["item_at"])
+            # Ties go to the item's own value, then to the smallest.
+            stands = {i: min(v, key=lambda d: (-len(v[d]), d != i, d)) for i, v in votes.items()}
+            kept = [w for w in windows if w["i"] == w["d"] or all(stands[i] == d for i, d in zip(w["i"], w["d"]))]
+            places.append(sorted({w["item_at"] for w in kept}))
+            typed.append(sorted({w["item_at"] for w in kept if w["rich"]}))
+            changed.append(len({(i, d) for w in kept for i, d in zip(w["i"], w["d"]) if i != d}))
+        yield pa.record_batch(
+            {
+                "doc_id": batch["doc_id"],
+                "item_id": batch["item_id"],
+                "places": pa.array(places, pa.list_(pa.int64())),
+                "typed": pa.array(typed, pa.list_(pa.int64())),
+                "changed": pa.array(changed, pa.int64()),
+            }
+        )
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS,
     coverage: float = COVERAGE, filtered: int = FILTERED,
@@ -252,27 +278,24 @@ def contaminated(
         wanted = np.sort(found.astype(np.int64).view(np.uint64))
     found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, wanted)
     pairs = found.withColumnRenamed("id", "doc_id").join(items, ["hash", "template", "rich"])
-    aligned = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("places"),
-        F.collect_set(F.when(F.col("rich"), F.col("item_at"))).alias("typed"),
-        F.array_distinct(
-            F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))))
-        ).alias("values"),
+    windows = F.struct(
+        "item_at", "rich", F.col("item_slots").alias("i"), F.col("slots").alias("d")
     )
-    one_to_one = (F.size("values") == F.size(F.array_distinct("values.i"))) & (
-        F.size("values") == F.size(F.array_distinct("values.d"))
+    aligned = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.collect_set(windows).alias("found")
     )
+    kinds = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in ("doc_id", "item_id"))
+    agreed = aligned.mapInArrow(_agreed, f"{kinds}, places array<long>, typed array<long>, changed long")
     counts = items.groupBy("item_id").agg(
         F.count_distinct("item_at").alias("windows"),
         F.count_distinct(F.when(F.col("rich"), F.col("item_at"))).alias("templates"),
     )
     held = (
-        aligned.where(one_to_one)
-        .groupBy("doc_id", "item_id")
+        agreed.groupBy("doc_id", "item_id")
         .agg(
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
             F.size(F.array_distinct(F.flatten(F.collect_list("typed")))).alias("typed"),
-            F.max(F.size(F.filter("values", lambda v: v["i"] != v["d"]))).cast("long").alias("changed"),
+            F.max("changed").alias("changed"),
         )
         .withColumn("matched", F.size("places").cast("long"))
     )
