@@ -138,6 +138,18 @@ def test_decontamination_drops_only_conflicting_windows(documents, spark):
     assert [got[k].windows - got[k].matched for k in ((0, 1), (1, 1), (2, 2))] == [0, 3, 0]
 
 
+def test_decontamination_finds_short_items_and_short_quotes(documents, spark):
+    long = " ".join(f"{a}{b}" for a in "abcdefgh" for b in ("lo", "mi", "na", "re", "su", "ta", "vo", "xu"))
+    items = [(1, "what grows under the old bridge"), (2, long), (3, "just four plain words"), (4, "Solve 7 + 8 - 19 = 21 now")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    part = lambda n: " ".join(long.split()[20 : 20 + n])
+    got = found(documents, benchmark, [
+        f"In a long text, {items[0][1]}, they asked us all again.", f"so it says {part(13)} and no more", f"so it says {part(12)} and no more",
+        "There are just four plain words in it that count.", "what grows under the new bridge", f"Please do this. {items[3][1]} or else",
+    ])
+    assert set(got) == {(0, 1), (1, 2), (3, 3), (5, 4)}
+
+
 def test_decontamination_finds_copies_with_few_literals(documents, spark):
     items = [(1, "Compute 12 + 34 - 56 * 78 / 9 + 10 + 11 + 12 - 13 + 14"), (2, "The Old Man And The Sea By Ernest Hemingway Of Oak Park")]
     items += [(3, "every one of these plain words is a literal in the item as it stands here")]

@@ -13,6 +13,7 @@ that break this do not count, unless their slots are the item's own.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ from tidemark.llm.common import small_batches
 from tidemark.llm.hashing import BASE, LOWER, UPPER, mixed, range_hashes, slices, words
 
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
+# Words of an item in one unbroken run that are enough, whatever its length; words of the shortest item looked for within documents.
+RUN, SHORTEST = 13, 4
 # Benchmark windows up to this number are sent to the tasks as a filter (8 bytes
 # each); beyond it every window of the documents takes part in the join.
 FILTERED = 4_000_000
@@ -113,17 +116,22 @@ class Tokens:
     def word(self, k: int) -> str:
         return self.lower[self.first[k] : self.after[k]].tobytes().decode("utf-8", "replace")
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, length and hash of every window; a text with fewer tokens is one window."""
+    def windows(self, width: int, shorter: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and hash of every window, of shorter ones too; a text with fewer tokens is one window."""
         n = len(self.code)
         length = np.bincount(self.text, minlength=len(self.bounds) - 1) if n else np.zeros(0, np.int64)
         short = (length > 0) & (length < width)
         ends = np.cumsum(length)
-        at = np.arange(max(0, n - width + 1))
-        at = at[self.text[at] == self.text[at + width - 1]] if len(at) else at
-        value = np.zeros(len(at), np.uint64)
-        for j in range(width):
-            value = mixed(value * np.uint64(BASE) + self.code[at + j])
+        starts, sizes, hashes = [], [], []
+        for w in (width, *shorter):
+            at = np.arange(max(0, n - w + 1))
+            at = at[self.text[at] == self.text[at + w - 1]] if len(at) else at
+            value = np.zeros(len(at), np.uint64)
+            for j in range(w):
+                value = mixed(value * np.uint64(BASE) + self.code[at + j])
+            starts.append(at)
+            sizes.append(np.full(len(at), w))
+            hashes.append(value if w == width else value ^ np.uint64(w))
         more = (ends - length)[short]
         values = []
         for a, l in zip(more, length[short]):
@@ -132,13 +140,13 @@ class Tokens:
                 v = mixed(v * np.uint64(BASE) + self.code[a + j : a + j + 1])
             values.append(v[0] ^ np.uint64(l))
         return (
-            np.concatenate([at, more]).astype(np.int64),
-            np.concatenate([np.full(len(at), width), length[short]]).astype(np.int64),
-            np.concatenate([value, np.array(values, np.uint64)]),
+            np.concatenate([*starts, more]).astype(np.int64),
+            np.concatenate([*sizes, length[short]]).astype(np.int64),
+            np.concatenate([*hashes, np.array(values, np.uint64)]),
         )
 
 
-def _windows(width: int, literals: int, wanted, both: bool):
+def _windows(width: int, literals: int, wanted, both: bool, shorter: tuple[int, ...]):
     """Batches of (id, text) to batches of windows; ``wanted()`` gives sorted hashes or None.
 
     Windows with fewer than ``literals`` literal words are of their actual words.
@@ -159,7 +167,7 @@ def _windows(width: int, literals: int, wanted, both: bool):
                 tokens = Tokens(texts)
                 usual = tokens.kind, tokens.code
                 tokens.code = tokens.words
-                actual = tokens.windows(width)[2] ^ _ACTUAL
+                actual = tokens.windows(width, shorter)[2] ^ _ACTUAL
                 for variant in ("usual", "within", "capitals", "actual") if both else ("usual",):
                     tokens.kind, tokens.code = usual
                     if variant == "within":
@@ -170,7 +178,7 @@ def _windows(width: int, literals: int, wanted, both: bool):
                         name = tokens.kind == 2
                         tokens.kind = np.where(name, 0, tokens.kind)
                         tokens.code = np.where(name, tokens.words, tokens.code)
-                    at, length, value = tokens.windows(width)
+                    at, length, value = tokens.windows(width, shorter)
                     plain = np.concatenate([[0], np.cumsum(tokens.kind == 0)])
                     rich = plain[at + length] - plain[at] >= np.minimum(literals, (length + 1) // 2)
                     rich &= variant != "actual"
@@ -201,6 +209,7 @@ def _rows(ids, tokens: Tokens, at, length, value, rich) -> pa.RecordBatch:
         {
             "id": ids.take(pa.array(text, pa.int64())),
             "at": pa.array(at - begin, pa.int64()),
+            "length": pa.array(length, pa.int64()),
             "hash": pa.array(value.view(np.int64), pa.int64()),
             "template": pa.array(templates, pa.string()),
             "slots": pa.array(slots, pa.list_(pa.string())),
@@ -210,9 +219,10 @@ def _rows(ids, tokens: Tokens, at, length, value, rich) -> pa.RecordBatch:
 
 
 def template_windows(
-    texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, wanted=None, both: bool = False
-) -> DataFrame:
-    """id, at, hash, template, slots, rich (in literal words) of the windows of (id, text)."""
+    texts: DataFrame, width: int = WINDOW, literals: int = LITERALS, wanted=None, both: bool = False,
+    shorter: tuple[int, ...] = (),
+) -> DataFrame:
+    """id, at, length, hash, template, slots, rich (in literal words) of the windows of (id, text)."""
     kind = texts.schema["id"].dataType.simpleString()
     shared = None if wanted is None else texts.sparkSession.sparkContext.broadcast(wanted)
 
@@ -220,15 +230,15 @@ def template_windows(
         return None if shared is None else shared.value
 
     return small_batches(texts).mapInArrow(
-        _windows(width, literals, filter_hashes, both),
-        f"id {kind}, at long, hash long, template string, slots array<string>, rich boolean",
+        _windows(width, literals, filter_hashes, both, shorter),
+        f"id {kind}, at long, length long, hash long, template string, slots array<string>, rich boolean",
     )
 
 
 def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Alignments to the places of their windows that agree on slots, and the number of values that differ."""
+    """Alignments to the places of their windows that agree on slots, their longest run, and the number of values that differ."""
     for batch in batches:
-        places, typed, changed = [], [], []
+        places, typed, run, changed = [], [], [], []
         for windows in batch["found"].to_pylist():
             votes: dict[str, dict[str, set[int]]] = {}
             for w in windows:
@@ -239,6 +249,8 @@ def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = [w for w in windows if w["i"] == w["d"] or all(stands[i] == d for i, d in zip(w["i"], w["d"]))]
             places.append(sorted({w["item_at"] for w in kept}))
             typed.append(sorted({w["item_at"] for w in kept if w["rich"]}))
+            # Places less their rank are equal within an unbroken run.
+            run.append(max(Counter(p - k for k, p in enumerate(places[-1])).values(), default=0))
             changed.append(len({(i, d) for w in kept for i, d in zip(w["i"], w["d"]) if i != d}))
         yield pa.record_batch(
             {
@@ -246,6 +258,7 @@ def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "item_id": batch["item_id"],
                 "places": pa.array(places, pa.list_(pa.int64())),
                 "typed": pa.array(typed, pa.list_(pa.int64())),
+                "run": pa.array(run, pa.int64()),
                 "changed": pa.array(changed, pa.int64()),
             }
         )
@@ -259,8 +272,8 @@ def contaminated(
 
     ``windows``: windows of the item; ``matched``: those found in the document at
     consistent slots, at least ``coverage`` of them or of those whose template is
-    enough; ``changed``: slot values that differ. An item with fewer than ``width`` tokens is one window and
-    matches only a document of these tokens. Windows of fewer than ``literals``
+    enough, or an unbroken run of ``RUN`` words; ``changed``: slot values that differ. An item with fewer than ``width`` tokens is one window, found
+    anywhere in a document; with fewer than ``SHORTEST`` it matches only a document of these tokens. Windows of fewer than ``literals``
     literal words (short ones half of theirs) match word by word. Null and empty texts have no windows, rows
     that share an id (null included) count as one document or item, repeated
     rows change nothing, other columns are not read.
@@ -270,13 +283,17 @@ def contaminated(
     ).dropDuplicates(["id", "at", "hash"])
     items = items.select(
         F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "template",
-        F.col("slots").alias("item_slots"), "rich",
+        F.col("slots").alias("item_slots"), "rich", "length",
     ).persist()
     wanted = None
     if items.count() <= filtered:
         found = items.select("hash").distinct().toArrow()["hash"].to_numpy()
         wanted = np.sort(found.astype(np.int64).view(np.uint64))
-    found = template_windows(docs.select(F.col("doc_id").alias("id"), "text"), width, literals, wanted)
+    short = items.where((F.col("length") < width) & (F.col("length") >= SHORTEST)).select("length").distinct()
+    shorter = tuple(sorted(r.length for r in short.collect()))
+    found = template_windows(
+        docs.select(F.col("doc_id").alias("id"), "text"), width, literals, wanted, shorter=shorter
+    ).drop("length")
     pairs = found.withColumnRenamed("id", "doc_id").join(items, ["hash", "template", "rich"])
     windows = F.struct(
         "item_at", "rich", F.col("item_slots").alias("i"), F.col("slots").alias("d")
@@ -285,7 +302,7 @@ def contaminated(
         F.collect_set(windows).alias("found")
     )
     kinds = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in ("doc_id", "item_id"))
-    agreed = aligned.mapInArrow(_agreed, f"{kinds}, places array<long>, typed array<long>, changed long")
+    agreed = aligned.mapInArrow(_agreed, f"{kinds}, places array<long>, typed array<long>, run long, changed long")
     counts = items.groupBy("item_id").agg(
         F.count_distinct("item_at").alias("windows"),
         F.count_distinct(F.when(F.col("rich"), F.col("item_at"))).alias("templates"),
@@ -295,6 +312,7 @@ def contaminated(
         .agg(
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
             F.size(F.array_distinct(F.flatten(F.collect_list("typed")))).alias("typed"),
+            F.max("run").alias("run"),
             F.max("changed").alias("changed"),
         )
         .withColumn("matched", F.size("places").cast("long"))
@@ -304,6 +322,7 @@ def contaminated(
         held.join(counts, same)
         .where(
             (F.col("matched") >= coverage * F.col("windows"))
+            | (F.col("run") + width - 1 >= RUN)
             | ((F.col("typed") > 0) & (F.col("typed") >= coverage * F.col("templates")))
         )
         .select("doc_id", held["item_id"], "windows", "matched", "changed")
