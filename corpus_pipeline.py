@@ -12,10 +12,22 @@ from tidemark.session import scratch_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents whose doc_id (null counts as one) is not among the rejected ones."""
-    other = rejected.select("doc_id").distinct()
-    return docs.join(other, docs["doc_id"].eqNullSafe(other["doc_id"]), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents with a key that a row's content determines, in place of doc_id; rows without doc_id sort last.
+
+    ``_key`` has the parts missing, doc_id and digest (of the text). Only equal rows share it.
+    """
+    digest = F.coalesce(F.substr(F.unhex(F.sha2("text", 256)), F.lit(1), F.lit(16)), F.lit(b""))
+    return docs.withColumn(
+        "_key", F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", digest.alias("digest"))
+    )
+
+
+def _without(docs: DataFrame, rejected) -> DataFrame:
+    """Documents whose row is not among those that ``rejected`` gives for (doc_id, text), row keys as doc_id."""
+    keyed = _keyed(docs)
+    other = rejected(keyed.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(other, "_key", "left_anti").select(*docs.columns)
 
 
 def identify_language(spark, docs, sf_dir):
@@ -26,13 +38,14 @@ def identify_language(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
-    return _without(docs, near.near_duplicates(docs).where("NOT kept"))
+    """One document of each group of near duplicates stays, the one with the smallest doc_id; equal rows stay together."""
+    return _without(docs, lambda rows: near.near_duplicates(rows).where("NOT kept"))
 
 
 def drop_contaminated(spark, docs, sf_dir):
     """Documents that hold a benchmark item go."""
-    return _without(docs, decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark")))
+    items = read_table(spark, sf_dir, "benchmark")
+    return _without(docs, lambda rows: decontaminate.contaminated(rows, items))
 
 
 def mix_sources(spark, docs, sf_dir):

@@ -48,6 +48,21 @@ def test_pipeline_stages_take_effect(spark, folder):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
 
 
+def test_pipeline_drops_rows_not_ids(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    near = " ".join(f"w{k}" for k in range(200))
+    clean = [(i, f"clean{n} " + " ".join(f"c{n}x{k}" for k in range(50))) for n, i in enumerate((None, None, 7))]
+    rows = clean + [(None, near), (3, near + " end"), (7, near + " stop"), (None, item), (7, item + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    kept = sorted((str(r.doc_id), r.text) for r in left.collect())
+    assert len(kept) == 5 and ("3", near + " end") in kept and {(str(i), t) for i, t in clean} < set(kept)
+    kept = sorted((str(r.doc_id), r.text) for r in corpus_pipeline.drop_contaminated(spark, docs, SF_DIR).collect())
+    assert kept == sorted((str(i), t) for i, t in rows[:6])
+
+
 def test_pipeline_of_no_documents(spark, folder):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
