@@ -26,16 +26,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
-
-
-def as_set(df):
-    """Rows as tuples; fails on duplicates, which a set would hide."""
-    rows = [tuple(r) for r in df.collect()]
-    assert len(rows) == len(set(rows))
-    return set(rows)
-
-
-def same_rows(a, b):
-    """Equal as bags, by column name."""
-    b = b.select(*a.columns)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_set, same_rows
+from frames import as_set, same_rows
 from tidemark.operators.model import (
     build_dim,
     fact,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from conftest import as_set, same_rows
+from frames import as_set, same_rows
 from tidemark.operators.ordered import hot_keys, latest_per_key, split_hot_keys
 from tidemark.operators.scd2 import (
     scd2_as_of,

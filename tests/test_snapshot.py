@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import same_rows
+from frames import same_rows
 from tidemark.functions import valid_longitude
 from tidemark.plans.conform import conform
 from tidemark.schema import ENTITY_SCHEMA, EntitySpec, entity_schema

@@ -5,7 +5,7 @@ from glob import glob
 import pytest
 from pyspark.sql import types as T
 
-from conftest import as_set, same_rows
+from frames import as_set, same_rows
 from tidemark.operators.model import fact
 from tidemark.operators.scd2 import scd2_check, scd2_from_history
 from tidemark.plans.conform import conform

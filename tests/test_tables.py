@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import as_set, same_rows
+from frames import as_set, same_rows
 from tidemark.operators.scd2 import scd2_merge
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources.history import HistoryTable
