@@ -137,3 +137,76 @@ WITH usable AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+ORACLE["op12_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+                 FROM scored WHERE alike) s WHERE nth <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+         n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.alike
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+
+def _top_gram(width: int) -> str:
+    """Most code points in one run of so many words that comes twice or more."""
+    return f"""
+  SELECT rid, max(often * chars) AS most FROM (
+    SELECT rid, any_value(chars) AS chars, count(*) AS often FROM (
+      SELECT rid, array_to_string(w[i : i + {width - 1}], ' ') AS gram,
+             length(array_to_string(w[i : i + {width - 1}], '')) AS chars
+      FROM (SELECT rid, w, unnest(generate_series(1, len(w) - {width - 1})) AS i FROM cut WHERE len(w) >= {width}) p
+    ) g GROUP BY rid, gram HAVING count(*) > 1
+  ) c GROUP BY rid"""
+
+
+ORACLE["op13_quality_rules"] = rf"""
+WITH cut AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(w[i : i + 4], ' ')) AS often
+  FROM (SELECT rid, w, unnest(generate_series(1, len(w) - 4)) AS i FROM cut WHERE len(w) >= 5) p
+), repeats AS (
+  SELECT rid, count(DISTINCT i + d) AS n FROM windows, (SELECT unnest([0, 1, 2, 3, 4]) AS d) o WHERE often > 1 GROUP BY rid
+), pairs AS ({_top_gram(2)}), triples AS ({_top_gram(3)}), quadruples AS ({_top_gram(4)}),
+counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+         len(l) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_lettered,
+         length(regexp_replace(text, '\P{{L}}', '', 'g')) AS n_letters,
+         length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS n_upper,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullets,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipses,
+         coalesce(p.most, 0) AS top_pair, coalesce(t.most, 0) AS top_triple, coalesce(q.most, 0) AS top_quadruple
+  FROM cut c LEFT JOIN repeats r ON c.rid = r.rid LEFT JOIN pairs p ON c.rid = p.rid
+  LEFT JOIN triples t ON c.rid = t.rid LEFT JOIN quadruples q ON c.rid = q.rid
+), based AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 100 * n_symbols > 10 * n_words
+            OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_lettered < 70 * n_words OR 100 * n_upper > 50 * n_letters
+            OR 100 * n_bullets > 90 * n_lines OR 100 * n_ellipses > 30 * n_lines OR 100 * top_pair > 20 * word_chars
+            OR 100 * top_triple > 18 * word_chars OR 100 * top_quadruple > 16 * word_chars) AS kept
+FROM based
+"""

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, encoding, language, licenses, mixing, near, repeats, token_count, token_file, topk
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    encoding,
+    hard_negatives,
+    language,
+    licenses,
+    mixing,
+    near,
+    quality_rules,
+    repair,
+    repeats,
+    token_count,
+    token_file,
+    topk,
+)
 from tidemark.llm.common import read_table, stored
 from tidemark.session import scratch_path
 
@@ -118,3 +133,43 @@ def op2_remove_repeats(spark, sf_dir):
 @query
 def op3_top_k(spark, sf_dir):
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults: by a checksum of conversation and turn, rows go, lose text or stops, repeat or change role."""
+    space = F.lit(" ")
+    fate = F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])) % 20
+    role, text = (F.coalesce(c, space) for c in ("role", "text"))
+    rows = turns.where(fate != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fate == 3, 2).otherwise(1).alias("_times"),
+    )
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).drop("_times", "_copy")
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations")
+    told = repair.summary(damaged(turns)).withColumnRenamed("conv_id", "_conv")
+    all_ = turns.select("conv_id").distinct().join(told, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    return all_.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in repair.COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")))
+
+
+@query
+def op13_quality_rules(spark, sf_dir):
+    return quality_rules.judged(read_table(spark, sf_dir, "documents")).drop("rules_asked")
