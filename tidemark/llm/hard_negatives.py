@@ -7,7 +7,7 @@ way, ``LEVELS`` times. A code's inner product with an anchor, which is held in a
 bits per component, is a matter of popcounts. What it leaves out is a product with the
 rest of the vector, and by Cauchy-Schwarz not greater than the lengths of the
 rest and of the anchor's part across the last code. So every pair gets an
-interval that holds its score, narrower level by level. Pairs whose interval
+interval that holds its score, the narrower the more levels there are. Pairs whose interval
 cannot be among those asked for are dropped, the others are scored in integers.
 
 Anchors meet vectors in blocks and shards of bounded size; each such pair gives
@@ -27,9 +27,9 @@ from tidemark.llm.common import stored
 SCALE, EVERY, POSITIVES, NEGATIVES = 256, 50, 5, 3
 # A negative's score is in these per cent of the positive's.
 LEAST, MOST = 50, 95
-LEVELS, BITS, ROUNDS = 5, 8, 3
+LEVELS, BITS, ROUNDS = 8, 8, 3
 # Vectors and anchors that meet in a group, and pairs that are weighed at a time.
-SHARD, BLOCK, PAIRS = 8_192, 4_096, 1 << 19
+SHARD, BLOCK, PAIRS = 8_192, 4_096, 1 << 17
 WORD = 64
 LONG = 2**63 - 1
 
@@ -89,72 +89,80 @@ class Asked:
         self.error = np.sqrt(((turned - low[:, None] - self.step[:, None] * level) ** 2).sum(1))
         self.planes = [_words((level >> p & 1).astype(bool)) for p in range(BITS)]
 
-    def with_code(self, a: np.ndarray, signs: np.ndarray) -> np.ndarray:
-        """Inner products of anchors ``a`` with the unit code vectors ``signs``, but for ``error`` at most."""
-        ones = np.bitwise_count(signs).sum(1).astype(np.int64)
-        above = np.zeros(len(a), np.int64)
-        for p, plane in enumerate(self.planes):
-            above += np.bitwise_count(plane[a] & signs).sum(1).astype(np.int64) << p
-        # The level's sum where the sign is up, less that where it is down; the same for the offset.
-        product = self.step[a] * (2 * above - self.sum[a]) + self.low[a] * (2 * ones - self.size)
-        return product / np.sqrt(self.size)
+    def above(self, a: slice, signs: np.ndarray) -> np.ndarray:
+        """For anchors ``a`` and code vectors ``signs``: the sum of the anchor's levels where the sign is up."""
+        size = (self.planes[0][a].shape[0], len(signs))
+        total = np.zeros(size, np.uint16 if self.size << BITS <= 1 << 16 else np.int64)
+        held = np.empty(size, np.uint64)
+        # From the highest plane down: what is there doubles, and the next plane's count comes on top.
+        for plane in reversed(self.planes):
+            total <<= 1
+            for w in range(signs.shape[1]):
+                np.bitwise_and(plane[a, w][:, None], signs[:, w], out=held)
+                total += np.bitwise_count(held)
+        return total
 
 
 @np.errstate(all="ignore")
-def intervals(asked: Asked, codes: Codes, a: np.ndarray, b: np.ndarray, level: int, so_far: np.ndarray):
-    """``so_far`` with the level's share added, and the least and the greatest score that each pair can have."""
-    product = asked.with_code(a, codes.signs[level][b])
-    estimate = so_far + codes.alignment[level][b] * product
-    used = sum(codes.alignment[k][b] for k in range(level + 1))
-    # The rest is at right angles to the last code vector, so the anchor's part along that does not count.
-    along = np.maximum(np.abs(product) - asked.error[a], 0)
-    across = np.sqrt(np.maximum(asked.length[a] ** 2 - along**2, 0))
-    # The anchor's rounding error against all code vectors so far, what is left of the anchor against the rest.
-    reach = asked.error[a] * used + across * codes.left[level][b]
-    reach = reach * (1 + 1e-9) + 1e-9 * asked.length[a] * codes.length[b] + 1e-6
-    return estimate, estimate - reach, estimate + reach
-
+def intervals(asked: Asked, codes: Codes, a: slice, levels: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the greatest score that anchors ``a`` can have with each coded vector.
 
-def scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of whole numbers: as doubles where they are small enough, else as integers."""
-    most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
-    if most < 2**53:
-        return (left * right).sum(1).astype(np.int64)
-    return np.array([sum(int(x) * int(y) for x, y in zip(u, v)) for u, v in zip(left, right)], object)
-
-
-def _kth(values: np.ndarray, of: np.ndarray, n: int, k: int) -> np.ndarray:
-    """Per number below ``n`` the k-th greatest of the ``values`` that belong to it, else -inf."""
-    order = np.lexsort((-values, of))
-    begin = np.searchsorted(of[order], np.arange(n))
-    end = np.searchsorted(of[order], np.arange(n), "right")
-    out = np.full(n, -np.inf)
-    enough = end - begin >= k
-    out[enough] = values[order][begin[enough] + k - 1]
-    return out
+    A unit code vector has +-1 over the root of the size; an anchor is its lowest
+    component plus its levels times a step. So their product is that of the
+    levels, which ``above`` gives, and terms that depend on one of the two.
+    """
+    levels = len(codes.signs) if levels is None else levels
+    root = np.sqrt(asked.size)
+    step, low = asked.step[a, None] / root, asked.low[a, None] / root
+    used, offset, levelled = 0.0, 0.0, 0.0
+    for level in range(levels):
+        above = asked.above(a, codes.signs[level])
+        ups = 2 * np.bitwise_count(codes.signs[level]).sum(1).astype(np.float64) - asked.size
+        levelled = levelled + above * (2 * codes.alignment[level])
+        offset = offset + codes.alignment[level] * ups
+        used = used + codes.alignment[level]
+    estimate = step * levelled
+    estimate += low * offset
+    estimate -= step * asked.sum[a, None] * used
+    # The rest is at right angles to the last code vector, so the anchor's part along that does not count.
+    along = step * (2.0 * above) + (low * ups - step * asked.sum[a, None])
+    along = np.maximum(np.abs(along) - asked.error[a, None], 0)
+    reach = np.sqrt(np.maximum(asked.length[a, None] ** 2 - along * along, 0))
+    # What is left of the anchor against the rest, its rounding error against all code vectors.
+    reach *= codes.left[levels - 1]
+    reach += asked.error[a, None] * used + 1e-9 * asked.length[a, None] * codes.length + 1e-6
+    reach *= 1 + 1e-9
+    return estimate - reach, estimate + reach
 
 
-def survivors(asked: Asked, codes: Codes, a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray, best=0):
-    """Which of the pairs (a, b) may have a score in low..high (per pair), with their intervals.
+def beaten(least: np.ndarray, greatest: np.ndarray, row: np.ndarray, k: int, sure: np.ndarray) -> np.ndarray:
+    """Which of some pairs' intervals lie below those of ``k`` pairs of their row that are ``sure`` to count.
 
-    With ``best``, only pairs that may be among so many best of their anchor.
+    Pairs come row by row. Intervals that are no numbers are never beaten.
     """
-    place, estimate = np.arange(len(a)), np.zeros(len(a))
-    least = greatest = estimate
-    for level in range(len(codes.signs)):
-        estimate, least, greatest = intervals(asked, codes, a[place], b[place], level, estimate)
-        # Comparisons with NaN, from lengths beyond a double, drop nothing.
-        out = (greatest < low[place]) | (least > high[place])
-        if best:
-            out |= beaten(least, greatest, a[place], len(asked.length), best)
-        place, estimate, least, greatest = place[~out], estimate[~out], least[~out], greatest[~out]
-    return place, least, greatest
+    sure = np.flatnonzero(sure & np.isfinite(least))
+    order = sure[np.lexsort((-least[sure], row[sure]))]
+    nth = np.arange(len(order)) - np.searchsorted(row[order], row[order])
+    floor = np.full(int(row[-1]) + 1 if len(row) else 0, -np.inf)
+    last = order[nth == k - 1]
+    floor[row[last]] = least[last]
+    return greatest < floor[row]
 
 
-def beaten(least: np.ndarray, greatest: np.ndarray, group: np.ndarray, n: int, k: int, sure=True) -> np.ndarray:
-    """Which intervals lie below k others of their group that are ``sure`` to count."""
-    sure = np.isfinite(least) & sure
-    return greatest < _kth(least[sure], group[sure], n, k)[group]
+def scores(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Exact inner products of rows ``x`` and ``y`` (``x`` in order) of whole numbers.
+
+    As doubles, which add up whole numbers exactly, where they are small enough, else as integers.
+    """
+    most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
+    if not most < 2**53:
+        return np.array([sum(int(p) * int(q) for p, q in zip(left[i], right[j])) for i, j in zip(x, y)], object)
+    out = np.empty(len(x), np.int64)
+    cuts = np.searchsorted(x, np.arange(len(left) + 1))
+    for i in np.unique(x):
+        part = slice(cuts[i], cuts[i + 1])
+        out[part] = right[y[part]] @ left[i]
+    return out
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
@@ -182,22 +190,20 @@ def _clipped(score: np.ndarray) -> pa.Array:
 
 
 def _meet(find, out: tuple[str, ...]):
-    """A group's anchors and vectors, ``PAIRS`` at a time, through ``find``."""
+    """A group's anchors and vectors, about ``PAIRS`` at a time, through ``find``."""
 
     def run(table: pa.Table) -> pa.Table:
         asks = table["asks"].to_numpy().astype(bool)
-        vectors = _matrix(table["v"].combine_chunks())
-        ids = table["vec_id"].to_numpy()
-        labels = table["label"].to_numpy()
-        x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
+        sides = [table.filter(pa.array(mask)) for mask in (asks, ~asks)]
         found = {c: [] for c in out}
-        if len(x) and len(y):
-            asked, codes = Asked(vectors[x]), Codes(vectors[y])
-            step = max(1, PAIRS // (len(y) * asked.planes[0].shape[1]))
-            for low in range(0, len(x), step):
-                part = np.arange(low, min(low + step, len(x)))
-                a, b = np.repeat(part, len(y)), np.tile(np.arange(len(y)), len(part))
-                for c, values in find(table, asked, codes, x, y, a, b, ids, labels, vectors).items():
+        if all(side.num_rows for side in sides):
+            vectors = _matrix(table["v"].combine_chunks())
+            left, right = vectors[asks], vectors[~asks]
+            asked, codes = Asked(left), Codes(right)
+            step = max(1, PAIRS // len(right))
+            for low in range(0, len(left), step):
+                a = slice(low, min(low + step, len(left)))
+                for c, values in find(*sides, a, *intervals(asked, codes, a), left, right).items():
                     found[c].append(values)
         empty = pa.array([], pa.int64())
         parts = {c: [p for v in values for p in getattr(v, "chunks", [v])] for c, values in found.items()}
@@ -207,61 +213,69 @@ def _meet(find, out: tuple[str, ...]):
 
 
 def _positives(k: int):
-    def find(table, asked, codes, x, y, a, b, ids, labels, vectors):
-        alike = (labels[x[a]] == labels[y[b]]) & (ids[x[a]] != ids[y[b]])
-        a, b = a[alike], b[alike]
-        any_ = np.full(len(a), np.inf)
-        at, _, _ = survivors(asked, codes, a, b, -any_, any_, k)
-        a, b = a[at], b[at]
-        score = scores(vectors[x[a]], vectors[y[b]])
-        best = _best(score, ids[y[b]], a, k)
+    def find(anchors, others, a, least, greatest, left, right):
+        ids, labels = (others[c].to_numpy() for c in ("vec_id", "label"))
+        able = (anchors["label"].to_numpy()[a, None] == labels) & (anchors["vec_id"].to_numpy()[a, None] != ids)
+        x, y = np.nonzero(able)
+        least, greatest = least[x, y], greatest[x, y]
+        kept = ~beaten(least, greatest, x, k, np.ones(len(x), bool))
+        x, y = x[kept], y[kept]
+        score = scores(left[a], right, x, y)
+        best = _best(score, ids[y], x, k)
+        anchor = pa.array(x[best] + a.start)
         return {
-            "anchor_id": pa.array(ids[x[a[best]]], pa.int64()),
-            "anchor": table["anchor"].take(pa.array(x[a[best]])),
-            "vec_id": pa.array(ids[y[b[best]]], pa.int64()),
+            "anchor_id": anchors["vec_id"].take(anchor),
+            "anchor": anchors["anchor"].take(anchor),
+            "vec_id": pa.array(ids[y[best]], pa.int64()),
             "score": _clipped(score[best]),
         }
 
     return _meet(find, ("anchor_id", "anchor", "vec_id", "score"))
 
 
-def _negatives(k: int, least: int, most: int):
-    def find(table, asked, codes, x, y, a, b, ids, labels, vectors):
-        aims = table["aims"].combine_chunks()
-        n = np.nan_to_num(pa.compute.list_value_length(aims).to_numpy(zero_copy_only=False))
-        begin = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-        aim = aims.flatten().to_numpy()
-        # The window of each positive score, a little wider for what a double rounds; exact below.
-        wide = aim.astype(np.float64)
-        slack = 1e-12 * np.abs(wide) + 1e-6
-        low, high = wide * least / 100 - slack, wide * most / 100 + slack
-        own, held = begin[:-1][x], np.diff(begin)[x]
-        other = (labels[x[a]] != labels[y[b]]) & (held[a] > 0)
-        a, b = a[other], b[other]
-        # Scores come in order: the first window begins lowest, the last one ends highest.
-        at, floor, top = survivors(asked, codes, a, b, low[own[a]], high[own[a] + held[a] - 1])
-        a, b = a[at], b[at]
-        pair = np.repeat(np.arange(len(a)), held[a])
-        number = own[a][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(held[a]) - held[a], held[a])
-        floor, top = floor[pair], top[pair]
-        out = (top < low[number]) | (floor > high[number])
-        sure = (floor >= low[number] + 2 * slack[number]) & (top <= high[number] - 2 * slack[number])
-        out |= beaten(floor, top, number, len(aim), k, sure)
-        pair, number = pair[~out], number[~out]
-        scored = np.unique(pair)
-        score = scores(vectors[x[a[scored]]], vectors[y[b[scored]]])[np.searchsorted(scored, pair)]
-        exact = [least * int(p) <= 100 * int(s) <= most * int(p) for p, s in zip(aim[number], score)]
-        inside = np.array(exact, bool)
-        pair, number, score = pair[inside], number[inside], score[inside]
-        best = _best(score, ids[y[b[pair]]], number, k)
-        pair, number = pair[best], number[best]
-        return {
-            "anchor_id": pa.array(ids[x[a[pair]]], pa.int64()),
-            "anchor": table["anchor"].take(pa.array(x[a[pair]])),
-            "positive_score": pa.array(aim[number], pa.int64()),
-            "negative_id": pa.array(ids[y[b[pair]]], pa.int64()),
-            "negative_score": _clipped(score[best]),
-        }
+def _negatives(k: int, least_share: int, most_share: int):
+    def find(anchors, others, a, least, greatest, left, right):
+        ids, labels = (others[c].to_numpy() for c in ("vec_id", "label"))
+        aims = anchors["aims"].to_pylist()[a]
+        # Windows of the positive scores, a little wider for what a double rounds; exact below.
+        wide = np.array([[float(s[0]), float(s[-1])] for s in aims])
+        wide += (1e-12 * np.abs(wide) + 1e-6) * [-1, 1]
+        able = anchors["label"].to_numpy()[a, None] != labels
+        able &= ~(greatest < wide[:, :1] * (least_share / 100)) & ~(least > wide[:, 1:] * (most_share / 100))
+        x, y = np.nonzero(able)
+        least, greatest = least[x, y], greatest[x, y]
+        windows, wanted = [], np.zeros(len(x), bool)
+        for nth in range(max(map(len, aims))):
+            # One positive score of each anchor that has so many.
+            has = np.array([len(s) > nth for s in aims])
+            aim = [s[nth] if len(s) > nth else 0 for s in aims]
+            goal = np.array(aim, np.float64)
+            slack = 1e-12 * np.abs(goal) + 1e-6
+            low, high = goal * (least_share / 100), goal * (most_share / 100)
+            mask = has[x] & ~(greatest < (low - slack)[x]) & ~(least > (high + slack)[x])
+            sure = mask & (least >= (low + slack)[x]) & (greatest <= (high - slack)[x])
+            mask &= ~beaten(least, greatest, x, k, sure)
+            windows.append((aim, mask))
+            wanted |= mask
+        # Each pair is scored once, for whichever windows it may be in.
+        x, y = x[wanted], y[wanted]
+        score = scores(left[a], right, x, y)
+        if score.dtype != object and abs(score).max(initial=0) > LONG // 200:
+            score = score.astype(object)
+        found = {c: [] for c in ("anchor_id", "anchor", "positive_score", "negative_id", "negative_score")}
+        for aim, mask in windows:
+            at = np.flatnonzero(mask[wanted])
+            goal = np.array(aim, object if max(map(abs, aim)) > LONG // 200 else np.int64)[x[at]]
+            inside = (goal * least_share <= score[at] * 100) & (score[at] * 100 <= goal * most_share)
+            at = at[inside.astype(bool)]
+            best = at[_best(score[at], ids[y[at]], x[at], k)]
+            anchor = pa.array(x[best] + a.start)
+            found["anchor_id"] += anchors["vec_id"].take(anchor).chunks
+            found["anchor"] += anchors["anchor"].take(anchor).chunks
+            found["positive_score"].append(pa.array([aim[i] for i in x[best]], pa.int64()))
+            found["negative_id"].append(pa.array(ids[y[best]], pa.int64()))
+            found["negative_score"].append(_clipped(score[best]))
+        return {c: pa.chunked_array(v, pa.int64()) for c, v in found.items()}
 
     return _meet(find, ("anchor_id", "anchor", "positive_score", "negative_id", "negative_score"))
 
