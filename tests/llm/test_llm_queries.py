@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_all_are_registered():
-    assert sorted(q.split("_")[0] for q in queries.QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(q.split("_")[0] for q in queries.QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(llm_oracle.ORACLE) <= set(entry.oracle_sql()) & set(queries.QUERIES)
 

@@ -271,7 +271,9 @@ def audits(rows: DataFrame) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_pylist(done, fields)
 
-    ordered = rows.select("conv_id", "position", "turn", "code").repartition("conv_id")
+    # A number of parts, for rows are a few bytes and their alignment is what costs: few large parts would be slow.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.select("conv_id", "position", "turn", "code").repartition(parts, "conv_id")
     return ordered.sortWithinPartitions("conv_id", "position").mapInArrow(run, schema)
 
 
