@@ -32,6 +32,8 @@ SALTS = 24
 UNDETERMINED = "und"
 # Bytes and rows that are scored at a time.
 SLICE, ROWS = 1 << 18, 1024
+# Contexts whose code lengths are worked out at a time.
+PART = 512
 PAD = b"\0" * ORDER
 
 
@@ -100,28 +102,35 @@ def build(counts: pa.Table, languages: list[str], contexts: int = CONTEXTS) -> M
         seen.append(kept)
         ids[depth] = number
         size += len(kept)
-    lengths = np.empty((len(languages), size, 256))
+    lengths = np.empty((len(languages), size, 256), np.uint16)
     for l in range(len(languages)):
         own, k = gram[which == l], n[which == l]
-        table = lengths[l]
+        # Bits of the contexts one byte shorter, in their order.
+        shorter = np.full((1, 256), 8, np.float32)
         for depth in range(ORDER + 1):
-            if depth:
-                parent = ids[depth - 1][np.searchsorted(seen[depth - 1], seen[depth] & ((1 << 8 * (depth - 1)) - 1))]
-                shorter = table[parent]
-            else:
-                shorter = np.full((1, 256), 8.0)
             context = (own >> 8) & ((1 << 8 * depth) - 1)
             at = np.minimum(np.searchsorted(seen[depth], context), len(seen[depth]) - 1)
             hit = seen[depth][at] == context
-            count = np.zeros((len(seen[depth]), 256))
-            np.add.at(count, (at[hit], own[hit] & 255), k[hit])
-            total, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(kinds > 0, np.log2((total + kinds) / kinds), 0)
-                found = np.log2((total + kinds) / count)
-            table[ids[depth]] = np.where(count > 0, found, escape + shorter)
-    fixed = np.minimum(np.rint(lengths * 256), 65_535).astype(np.uint16)
-    return Model(languages, steps, fixed.reshape(len(languages), size * 256))
+            code, times = at[hit] * 256 + (own[hit] & 255), k[hit]
+            order = np.argsort(code, kind="stable")
+            code, times = code[order], times[order]
+            parent = np.zeros(1, np.int64)
+            if depth:
+                parent = np.searchsorted(seen[depth - 1], seen[depth] & ((1 << 8 * (depth - 1)) - 1))
+            bits = np.empty((len(seen[depth]), 256), np.float32)
+            # Some contexts at a time: what they need beside the result stays small.
+            for low in range(0, len(bits), PART):
+                part = bits[low : low + PART]
+                x, y = np.searchsorted(code, [low * 256, (low + len(part)) * 256])
+                count = np.bincount(code[x:y] - low * 256, times[x:y], part.size).reshape(part.shape)
+                total, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    escape = np.where(kinds > 0, np.log2((total + kinds) / kinds), 0)
+                    found = np.log2((total + kinds) / count)
+                part[:] = np.where(count > 0, found, escape + shorter[parent[low : low + PART]])
+                lengths[l, ids[depth][low : low + PART]] = np.minimum(np.rint(part * 256), 65_535)
+            shorter = bits
+    return Model(languages, steps, lengths.reshape(len(languages), size * 256))
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
