@@ -119,13 +119,94 @@ def test_decontamination_asks_for_consistent_slots(documents, spark):
     assert set(got) == {(0, 1)}
 
 
-def test_decontamination_without_the_filter_and_without_rows(documents, benchmark):
+def test_decontamination_with_a_full_filter_and_without_rows(documents, benchmark, monkeypatch):
     docs = [f"x y z. {ITEM}", "nothing in here that would be known from elsewhere at all"]
-    assert set(found(documents, benchmark, docs, filtered=0)) == set(found(documents, benchmark, docs)) == {(0, 1)}
+    assert set(found(documents, benchmark, docs)) == {(0, 1)}
+    # Of its 64 bits nearly all are set: it lets much through, which the join drops.
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 1)
+    monkeypatch.setattr(decontaminate, "BITS_EACH", 0)
+    assert set(found(documents, benchmark, docs)) == {(0, 1)}
     assert not found(documents, benchmark, [])
     assert not found(documents, benchmark.where("false"), docs)
 
 
+def test_the_filter_knows_what_is_in_it(spark):
+    inside = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 5000)
+    kept = decontaminate.window_filter(spark.createDataFrame([(int(h),) for h in inside], "hash long"))
+    assert kept.may_hold(inside.view(np.uint64)).all() and kept.bits == 1 << 17
+    others = np.random.default_rng(4).integers(0, 2**63 - 1, 20_000).astype(np.uint64)
+    assert kept.may_hold(others).mean() < 0.01
+
+
+def plain_pairs(docs, items, common=decontaminate.COMMON):
+    """Pairs for texts of lower-case words without numbers, by word windows alone."""
+    windows = lambda text: [tuple(text.split()[k : k + 8]) for k in range(max(1, len(text.split()) - 7))]
+    holders = {}
+    for text in {t for _, t in items}:
+        for w in windows(text):
+            holders.setdefault(w, set()).add(text)
+    out = set()
+    for d, doc in docs:
+        there = set(windows(doc))
+        for i, text in items:
+            count = [len(holders[w]) <= common for w in windows(text)]
+            count = count if any(count) else [True] * len(count)
+            held = [c and w in there for c, w in zip(count, windows(text))]
+            run = best = 0
+            for h in held:
+                run = run + 1 if h else 0
+                best = max(best, run)
+            if 2 * sum(held) >= sum(count) or best + 7 >= 13:
+                out.add((d, i))
+    return out
+
+
+def test_decontamination_against_plain_windows(documents, spark):
+    pick = np.random.default_rng(8)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgkl" for b in "aeiou" for c in "mnrst"]
+    words = lambda n: " ".join(pick.choice(vocabulary, n))
+    prompt, phrase = words(17), words(11)
+    items = [(i, f"{prompt} {words(int(pick.integers(5, 40)))}") for i in range(12)]
+    items += [(20 + i, f"{words(12)} {phrase} {words(12)}") for i in range(6)]
+    items += [(30 + i, f"{words(9)} {prompt}") for i in range(3)] + [(40, items[0][1]), (41, prompt), (42, items[15][1])]
+    docs = [f"{words(30)} {prompt} {words(20)}" for _ in range(20)] + [f"{words(30)} {phrase} {words(20)}" for _ in range(5)]
+    for _, text in items:
+        w = text.split()
+        a, n = int(pick.integers(0, len(w))), int(pick.integers(8, 40))
+        docs.append(f"{words(10)} {' '.join(w[a : a + n])} {words(10)}")
+    docs += [f"{words(400)} {items[14][1]} {words(4000)}", docs[-1], docs[-1]]
+    rows = list(enumerate(docs))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = plain_pairs(rows, items)
+    assert set(found(documents, benchmark, docs)) == want
+    # The prompt alone is an item of its own, and no other is found by it.
+    assert {i for d, i in want if d < 20} == {41} and len(want) > 40
+
+
+def test_a_common_instruction_reports_nobody(documents, spark):
+    prompt = "read the following passage with care and then choose the one best answer out of those given below"
+    names = ["north", "south", "east", "west", "red", "blue", "dark", "light", "old", "new"]
+    tail = lambda i: " ".join(f"{names[int(c)]}{j}{i}" for j, c in enumerate(f"{i:05}" * 3))
+    items = spark.createDataFrame([(i, f"{prompt} {tail(i)}") for i in range(200)], "item_id long, text string")
+    docs = [f"Some clean page {i}. {prompt} And it goes on with text of its own number {i}." for i in range(200)]
+    assert not found(documents, items, docs)
+    assert set(found(documents, items, [*docs[:3], f"so {prompt} {tail(7)} and on"])) == {(3, 7)}
+
+
+def test_questions_of_one_family_are_told_by_their_words(documents, spark):
+    ask = "If Tom has {} apples and buys {} more at the old market how many apples does Tom have now"
+    items = spark.createDataFrame([(i, ask.format(10 + i, 90 - i)) for i in range(30)], "item_id long, text string")
+    docs = [f"Well. {ask.format(13, 87)} Tell me.", f"Well. {ask.format(500, 600)} Tell me."]
+    assert set(found(documents, items, docs)) == {(0, 3)}
+
+
+def test_decontamination_without_ids_repeated_and_long(documents, spark):
+    benchmark = spark.createDataFrame([(None, ITEM), (2, ITEM), (2, "no such thing is to be found in any of them ever")], "item_id long, text string")
+    docs = documents([(None, f"See {ITEM}.", "en", "s")] * 3 + [(None, "clean", "en", "s"), (4, "word " * 200_000 + ITEM, "en", "s"), (5, None, "en", "s")])
+    got = decontaminate.contaminated(docs, benchmark)
+    assert sorted(map(str, ((r.doc_id, r.item_id) for r in got.collect()))) == ["(4, 2)", "(4, None)", "(None, 2)", "(None, None)"]
+
+
 def test_decontamination_drops_only_conflicting_windows(documents, spark):
     item = "We bought 5 apples on a sunny market day and later sold them to 5 friends who were very glad to have them"
     other = "In 3 hours the slow boat goes down the long river and then it takes 4 days to come back home again"

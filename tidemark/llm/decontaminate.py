@@ -9,6 +9,10 @@ literal words are joined by their actual words, with every window of an item. A
 has the same template and other slot values, so along one alignment of document
 and item every slot value stands for the value that most windows give it; windows
 that break this do not count, unless their slots are the item's own.
+
+Windows that many different items share, as a common instruction, say nothing of
+any of them and do not count. If only their template is shared, by questions of one
+family, they count for the item whose words they are.
 """
 
 from __future__ import annotations
@@ -21,15 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import small_batches, stored
 from tidemark.llm.hashing import BASE, LOWER, UPPER, mixed, range_hashes, slices, words
 
 WINDOW, LITERALS, COVERAGE = 8, 4, 0.5
 # Words of an item in one unbroken run that are enough, whatever its length; words of the shortest item looked for within documents.
 RUN, SHORTEST = 13, 4
-# Benchmark windows up to this number are sent to the tasks as a filter (8 bytes
-# each); beyond it every window of the documents takes part in the join.
-FILTERED = 4_000_000
+# Benchmark texts that may share a window that counts.
+COMMON = 8
+# The filter that tasks get of the benchmark's windows: bits per window, most bits (16 MB), places per window.
+BITS_EACH, MOST_BITS, PLACES = 16, 1 << 27, 4
 # Words that count as a unit after a number.
 UNITS = (
     "mm cm m km in ft mi inch inches foot feet yard yards mile miles metre metres meter meters "
@@ -146,8 +151,42 @@ class Tokens:
         )
 
 
+class Filter:
+    """A Bloom filter of hashes: of bounded size however many there are, and never wrong about one that is in."""
+
+    def __init__(self, words: np.ndarray, bits: int):
+        self.words, self.bits = words, bits
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        low, high = hashes & np.uint64(0x7FFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
+        held = np.ones(len(hashes), bool)
+        for k in range(PLACES):
+            place = (low + np.uint64(k) * high) & np.uint64(self.bits - 1)
+            held &= (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        return held
+
+
+def window_filter(hashes: DataFrame) -> Filter:
+    """The filter of a column ``hash``, put together by the tasks; its bits are what comes to the driver."""
+    some = hashes.select("hash").distinct()
+    bits = 1 << 16
+    wanted = BITS_EACH * some.count()
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    low = F.col("hash").bitwiseAND(F.lit(0x7FFFFFFF))
+    high = F.shiftrightunsigned("hash", 32).bitwiseOR(F.lit(1))
+    places = F.array(*[(low + F.lit(k) * high).bitwiseAND(F.lit(bits - 1)) for k in range(PLACES)])
+    place = some.select(F.explode(places).alias("place"))
+    bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))").alias("bit")
+    words = place.select(F.shiftright("place", 6).alias("word"), bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return Filter(out.view(np.uint64), bits)
+
+
 def _windows(width: int, literals: int, wanted, both: bool, shorter: tuple[int, ...]):
-    """Batches of (id, text) to batches of windows; ``wanted()`` gives sorted hashes or None.
+    """Batches of (id, text) to batches of windows; ``wanted()`` gives a ``Filter`` or None.
 
     Windows with fewer than ``literals`` literal words are of their actual words.
     ``both``: also windows as the text may look elsewhere, with a name for its
@@ -157,9 +196,6 @@ def _windows(width: int, literals: int, wanted, both: bool, shorter: tuple[int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = wanted()
-        if keep is not None:
-            bits = np.zeros(1 << 22, bool)
-            bits[keep & np.uint64((1 << 22) - 1)] = True
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
@@ -188,9 +224,7 @@ def _windows(width: int, literals: int, wanted, both: bool, shorter: tuple[int,
                     if variant == "within":
                         good = good & tokens.begins[at]
                     if keep is not None:
-                        good &= bits[value & np.uint64((1 << 22) - 1)]
-                        near = np.flatnonzero(good)
-                        good[near] = np.isin(value[near], keep)
+                        good &= keep.may_hold(value)
                     chosen = np.flatnonzero(good)
                     yield _rows(part["id"], tokens, at[chosen], length[chosen], value[chosen], rich[chosen])
 
@@ -255,7 +289,7 @@ def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "doc_id": batch["doc_id"],
-                "item_id": batch["item_id"],
+                "class": batch["class"],
                 "places": pa.array(places, pa.list_(pa.int64())),
                 "typed": pa.array(typed, pa.list_(pa.int64())),
                 "run": pa.array(run, pa.int64()),
@@ -264,51 +298,71 @@ def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def item_windows(benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS, common: int = COMMON) -> DataFrame:
+    """The windows that count of each different text of (item_id, text): class, item_at, hash, template, ...
+
+    ``family``: the template is in more than ``common`` texts, the words are not,
+    so the window counts only with its own slots. Windows whose words are in more
+    texts than that are left out, but for a text that has no others.
+    """
+    texts = benchmark.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
+    windows = template_windows(texts.select(F.sha2("text", 256).alias("id"), "text"), width, literals, both=True)
+    windows = stored(windows.dropDuplicates(["id", "at", "hash"]), "item-windows")
+    per_template = windows.groupBy("hash", "template", "rich").agg(F.count_distinct("id").alias("_alike"))
+    per_words = windows.groupBy("hash", "template", "rich", "slots").agg(F.count_distinct("id").alias("_same"))
+    counted = windows.join(per_template, ["hash", "template", "rich"]).join(per_words, ["hash", "template", "rich", "slots"])
+    shared = counted.withColumn("_common", F.col("_same") > common)
+    # A place whose words are common is so in all its readings.
+    places = shared.groupBy("id", "at").agg(F.max("_common").alias("_common"))
+    own = places.groupBy("id").agg(F.min("_common").alias("_all"))
+    marked = shared.drop("_common").join(places, ["id", "at"]).join(own, "id").where(~F.col("_common") | F.col("_all"))
+    return marked.select(
+        F.col("id").alias("class"), F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots"),
+        "rich", "length", (F.col("_alike") > common).alias("family"),
+    )
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, literals: int = LITERALS,
-    coverage: float = COVERAGE, filtered: int = FILTERED,
+    coverage: float = COVERAGE, common: int = COMMON,
 ) -> DataFrame:
     """doc_id, item_id, windows, matched, changed: pairs of a document and an item it holds.
 
-    ``windows``: windows of the item; ``matched``: those found in the document at
+    ``windows``: windows of the item that count, which are those that no more than ``common`` different
+    benchmark texts share (all of them, if it has no others); ``matched``: those found in the document at
     consistent slots, at least ``coverage`` of them or of those whose template is
-    enough, or an unbroken run of ``RUN`` words; ``changed``: slot values that differ. An item with fewer than ``width`` tokens is one window, found
+    enough, or an unbroken run of ``RUN`` words; ``changed``: slot values that differ. Items of one text are
+    looked for once and reported each. An item with fewer than ``width`` tokens is one window, found
     anywhere in a document; with fewer than ``SHORTEST`` it matches only a document of these tokens. Windows of fewer than ``literals``
-    literal words (short ones half of theirs) match word by word. Null and empty texts have no windows, rows
-    that share an id (null included) count as one document or item, repeated
+    literal words (short ones half of theirs), and those of a template that more texts share, match word by word. Null and empty texts have no windows, rows
+    that share an id (null included) count as one document, an item with several texts is held where one of them is, repeated
     rows change nothing, other columns are not read.
     """
-    items = template_windows(
-        benchmark.select(F.col("item_id").alias("id"), "text"), width, literals, both=True
-    ).dropDuplicates(["id", "at", "hash"])
-    items = items.select(
-        F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "template",
-        F.col("slots").alias("item_slots"), "rich", "length",
-    ).persist()
-    wanted = None
-    if items.count() <= filtered:
-        found = items.select("hash").distinct().toArrow()["hash"].to_numpy()
-        wanted = np.sort(found.astype(np.int64).view(np.uint64))
+    items = stored(item_windows(benchmark, width, literals, common), "benchmark-windows")
     short = items.where((F.col("length") < width) & (F.col("length") >= SHORTEST)).select("length").distinct()
     shorter = tuple(sorted(r.length for r in short.collect()))
     found = template_windows(
-        docs.select(F.col("doc_id").alias("id"), "text"), width, literals, wanted, shorter=shorter
+        docs.select(F.col("doc_id").alias("id"), "text"), width, literals, window_filter(items), shorter=shorter
     ).drop("length")
-    pairs = found.withColumnRenamed("id", "doc_id").join(items, ["hash", "template", "rich"])
+    found = stored(found.withColumnRenamed("id", "doc_id"), "document-windows")
+    key = ["hash", "template", "rich"]
+    alike = found.join(items.where("NOT family"), key)
+    own = items.where("family").withColumn("slots", F.col("item_slots"))
+    pairs = alike.unionByName(found.join(own, [*key, "slots"]))
     windows = F.struct(
         "item_at", "rich", F.col("item_slots").alias("i"), F.col("slots").alias("d")
     )
-    aligned = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    aligned = pairs.groupBy("doc_id", "class", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(windows).alias("found")
     )
-    kinds = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in ("doc_id", "item_id"))
+    kinds = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in ("doc_id", "class"))
     agreed = aligned.mapInArrow(_agreed, f"{kinds}, places array<long>, typed array<long>, run long, changed long")
-    counts = items.groupBy("item_id").agg(
+    counts = items.groupBy("class").agg(
         F.count_distinct("item_at").alias("windows"),
         F.count_distinct(F.when(F.col("rich"), F.col("item_at"))).alias("templates"),
     )
     held = (
-        agreed.groupBy("doc_id", "item_id")
+        agreed.groupBy("doc_id", "class")
         .agg(
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
             F.size(F.array_distinct(F.flatten(F.collect_list("typed")))).alias("typed"),
@@ -317,13 +371,12 @@ def contaminated(
         )
         .withColumn("matched", F.size("places").cast("long"))
     )
-    same = held["item_id"].eqNullSafe(counts["item_id"])
-    return (
-        held.join(counts, same)
-        .where(
-            (F.col("matched") >= coverage * F.col("windows"))
-            | (F.col("run") + width - 1 >= RUN)
-            | ((F.col("typed") > 0) & (F.col("typed") >= coverage * F.col("templates")))
-        )
-        .select("doc_id", held["item_id"], "windows", "matched", "changed")
+    caught = held.join(counts, "class").where(
+        (F.col("matched") >= coverage * F.col("windows"))
+        | (F.col("run") + width - 1 >= RUN)
+        | ((F.col("typed") > 0) & (F.col("typed") >= coverage * F.col("templates")))
+    )
+    named = benchmark.select("item_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("class")).distinct()
+    return caught.join(named, "class").groupBy("doc_id", "item_id").agg(
+        F.max("windows").alias("windows"), F.max("matched").alias("matched"), F.max("changed").alias("changed")
     )
