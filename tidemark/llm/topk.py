@@ -25,20 +25,27 @@ from tidemark.llm.common import stored
 SCALE = 64
 # Vectors in a shard, queries that meet it in one group, and queries scored at a time.
 SHARD, GROUP, BLOCK = 16_384, 2_048, 256
-# Components beyond this size have no place in a long score of some thousand dimensions.
-LARGEST = 1 << 24
+LONG = 2**63 - 1
 # Rescoring pays if fewer than this share of a shard's vectors may be members.
 FEW = 0.05
 
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and ``v``: floor(scale * x) of every component; unusable vectors are left out."""
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("int"))
-    usable = F.forall(
-        "embedding",
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= LARGEST),
+    """vec_id and ``v``: floor(scale * x) of every component, as whole doubles; unusable vectors are left out."""
+
+    def whole(x):
+        scaled = x.cast("double") * scale
+        # Beyond 2^53 every double is whole.
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return vectors.where(F.col("embedding").isNotNull() & usable).select(
+        "vec_id", F.transform("embedding", whole).alias("v")
     )
-    return vectors.where(F.col("embedding").isNotNull() & usable).select("vec_id", scaled.alias("v"))
+
+
+def _whole(values: np.ndarray, kind) -> np.ndarray:
+    return np.frompyfunc(int, 1, 1)(values) if kind is object else values.astype(kind)
 
 
 def _segments(vectors: np.ndarray):
@@ -55,19 +62,21 @@ def _segments(vectors: np.ndarray):
 def search_shard(queries: np.ndarray, query_ids, vectors: np.ndarray, ids, k: int, segments=None):
     """Per query the k best of the shard: query number, vector number, score; ties to smaller ids."""
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * vectors.shape[1]
-    kind = np.float32 if most < 2**23 else np.float64 if most < 2**52 else object
-    q, v = queries.astype(kind), vectors
+    # Sums of whole numbers are exact in these; integers of any size where nothing else is wide enough.
+    kind = np.float32 if most < 2**23 else np.float64 if most < 2**52 else np.int64 if most < 2**62 else object
+    floating = kind in (np.float32, np.float64)
+    q, v = _whole(queries, kind), vectors
     score = np.zeros((len(q), len(v)), kind)
     length = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
     own = np.asarray(query_ids)[:, None] == np.asarray(ids)[None, :]
     members = np.ones((len(q), len(v)), bool)
     for segment, rest in segments or list(_segments(v)):
-        score += q @ segment.astype(kind).T
-        # Slightly more than the bound, for its own rounding.
-        bound = length[:, None] * np.sqrt(rest)[None, :] * (1 + 1e-6) + 1e-3
+        score += q @ _whole(segment, kind).T
+        # The bound below is slightly more than it need be, for its own rounding.
         if not rest.any():
             break
-        if len(v) > k + 1 and kind is not object:
+        if len(v) > k + 1 and floating:
+            bound = length[:, None] * np.sqrt(rest)[None, :] * (1 + 1e-6) + 1e-3
             sure = np.where(own, -np.inf, score - bound)
             floor = np.partition(sure, len(v) - k, axis=1)[:, len(v) - k]
             members = score + bound >= floor[:, None]
@@ -86,18 +95,25 @@ def search_shard(queries: np.ndarray, query_ids, vectors: np.ndarray, ids, k: in
             found = score[row, at]
             edge = np.partition(found, len(at) - k)[len(at) - k]
             at = at[found >= edge]
-        order = np.lexsort((np.asarray(ids)[at], -score[row, at]))[:k]
+        order = _order(score[row, at], np.asarray(ids)[at])[:k]
         rows += [row] * len(order)
         columns += at[order].tolist()
-        values += [int(x) for x in score[row, at[order]]]
+        values += [max(-LONG - 1, min(LONG, int(x))) for x in score[row, at[order]]]
     return rows, columns, values
 
 
+def _order(score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places by falling score, ties by id."""
+    if score.dtype == object:
+        return np.array(sorted(range(len(score)), key=lambda i: (-score[i], ids[i])), np.int64)
+    return np.lexsort((ids, -score))
+
+
 def _matrix(lists: pa.ListArray) -> np.ndarray:
     """Rows of equal length, shorter ones filled up with 0."""
     begins, n = lists.offsets.to_numpy()[:-1], pa.compute.list_value_length(lists).to_numpy()
     values, wide = lists.values.to_numpy(), int(n.max(initial=0))
-    out = np.zeros((len(n), wide), np.int64)
+    out = np.zeros((len(n), wide))
     row = np.repeat(np.arange(len(n)), n)
     column = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     out[row, column] = values[begins[row] + column]
@@ -109,11 +125,11 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE,
 
     Queries are the vectors whose vec_id is divisible by ``every``; they search
     all vectors but those with their own vec_id. Vectors that are null or hold
-    null, not-a-number, infinite or enormous components take no part, nor do
+    null, not-a-number or infinite components take no part, nor do
     vectors without vec_id. Shorter vectors count as filled up with 0; empty
     ones score 0. Rows that repeat a vec_id are candidates as often as they
     come; a query id with several vectors asks with each and gets the k best of
-    all. Ties go to smaller vec_ids.
+    all. Ties go to smaller vec_ids. Scores beyond a long are given as the greatest or least long.
 
     Both sides are dealt in blocks of bounded size, and each block of queries
     meets each shard: that product is what is asked for.
