@@ -1,0 +1,79 @@
+"""Point-in-time joins that leave the facts where they are."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import same_rows
+from tidemark.operators.intervals import point_in_time, version_buckets
+from tidemark.operators.scd2 import scd2_from_history, scd2_point_in_time
+
+START = datetime(2024, 1, 1)
+
+
+def versions_of(spark, folder, keys=12, changes=9, seed=1, kind="timestamp"):
+    pick = random.Random(seed)
+    log = [(k, START + timedelta(hours=pick.randrange(24 * 90)), pick.choice("abc")) for k in range(keys) for _ in range(changes)]
+    df = spark.createDataFrame(log, "k int, at timestamp, state string").withColumn("at", F.col("at").cast(kind))
+    history = scd2_from_history(df, ["k"], ["state"], "at")
+    # Some entities are gone at the end.
+    history = history.withColumn("valid_to", F.when((F.col("k") % 4 == 0) & F.col("is_current"), F.col("valid_from") + F.expr("INTERVAL 3 DAYS")).otherwise(F.col("valid_to")))
+    history.write.mode("overwrite").parquet(f"{folder}/versions")
+    return spark.read.parquet(f"{folder}/versions")
+
+
+def facts_of(spark, count=800, seed=2, kind="timestamp"):
+    pick = random.Random(seed)
+    rows = [
+        (n, pick.choice([None, *range(14)]), None if n % 50 == 0 else START + timedelta(minutes=pick.randrange(-9000, 60 * 24 * 100)))
+        for n in range(count)
+    ]
+    return spark.createDataFrame(rows, "n int, k int, seen timestamp").withColumn("seen", F.col("seen").cast(kind))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_the_same_as_the_ordered_scan(spark, folder, how, kind):
+    if kind == "date":
+        versions = versions_of(spark, folder, changes=5)
+        versions = versions.withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
+        versions = versions.where("valid_to IS NULL OR valid_from < valid_to")
+    else:
+        versions = versions_of(spark, folder, kind=kind)
+    facts = facts_of(spark, kind=kind)
+    got = point_in_time(facts, versions, ["k"], "seen", ["state", "valid_from"], how)
+    want = scd2_point_in_time(facts, versions, ["k"], "seen", ["state", "valid_from"], how)
+    assert got.columns == want.columns and same_rows(got, want)
+    assert got.where("state IS NOT NULL").count() > 100
+
+
+def test_the_facts_are_not_exchanged(spark, folder):
+    versions, facts = versions_of(spark, folder), facts_of(spark)
+    facts.write.mode("overwrite").parquet(f"{folder}/facts")
+    facts = spark.read.parquet(f"{folder}/facts")
+    plan = point_in_time(facts, versions, ["k"], "seen", ["state"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Sort" not in plan
+    # Beyond the size that may be sent, the ordered scan does the work.
+    other = point_in_time(facts, versions, ["k"], "seen", ["state"], most_bytes=1000)
+    plan = other._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Window" in plan
+    assert same_rows(other, point_in_time(facts, versions, ["k"], "seen", ["state"]))
+
+
+def test_versions_fill_the_buckets_they_span(spark):
+    schema = "k int, valid_from timestamp, valid_to timestamp"
+    rows = [(1, START, START + timedelta(days=10)), (2, START + timedelta(days=3), None), (3, START - timedelta(days=99), START - timedelta(days=50))]
+    first = (START - datetime(1970, 1, 1)).days
+    got = version_buckets(spark.createDataFrame(rows, schema), 5, first, first + 20).groupBy("k").count()
+    assert {(r.k, r["count"]) for r in got.collect()} <= {(1, 3), (2, 5), (2, 4)} and got.count() == 2
+
+
+def test_no_facts_and_no_versions(spark, folder):
+    versions, facts = versions_of(spark, folder), facts_of(spark, 20)
+    assert point_in_time(facts.limit(0), versions, ["k"], "seen", ["state"]).isEmpty()
+    got = point_in_time(facts, versions.limit(0), ["k"], "seen", ["state"])
+    assert got.count() == 20 and got.where("state IS NOT NULL").isEmpty()
+    with pytest.raises(ValueError, match="left"):
+        point_in_time(facts, versions, ["k"], "seen", ["state"], "outer")
