@@ -253,6 +253,19 @@ RUNS_HISTORY = f"""
 """
 RUNS_STAR = STAR_SK.replace(f"({SILVER}) s", f"(SELECT * FROM ({RUNS_HISTORY}) h WHERE is_current) s")
 
+# What the second run shows, as it is current after it.
+_SECOND = f"(SELECT {SILVER_COLUMNS} FROM ({_RUNS[1][1]}) r) s"
+RUNS_ROLLUP = AGG.replace(f"({SILVER}) s", _SECOND)
+
+DIFF = f"""
+        SELECT coalesce(o.user_id, n.user_id) AS user_id,
+               CASE WHEN o.user_id IS NULL THEN 'insert' WHEN n.user_id IS NULL THEN 'close'
+                    WHEN o.event_type IS NOT DISTINCT FROM n.event_type THEN 'same'
+                    ELSE 'update' END AS action,
+               o.event_type AS old_event_type, n.event_type AS new_event_type
+        FROM ({_snapshot(T0)}) o FULL JOIN ({_snapshot(T2)}) n ON o.user_id = n.user_id
+"""
+
 ORACLE: dict[str, str] = {
     "fill_first_non_null": f"SELECT id, {STATE} AS state FROM ({RAW}) r",
     "fill_default": f"SELECT id, {COUNTRY} AS country FROM ({RAW}) r",
@@ -313,14 +326,8 @@ ORACLE: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
             FROM events) e WHERE rn = 1
     """,
-    "snapshot_diff": f"""
-        SELECT coalesce(o.user_id, n.user_id) AS user_id,
-               CASE WHEN o.user_id IS NULL THEN 'insert' WHEN n.user_id IS NULL THEN 'close'
-                    WHEN o.event_type IS NOT DISTINCT FROM n.event_type THEN 'same'
-                    ELSE 'update' END AS action,
-               o.event_type AS old_event_type, n.event_type AS new_event_type
-        FROM ({_snapshot(T0)}) o FULL JOIN ({_snapshot(T2)}) n ON o.user_id = n.user_id
-    """,
+    "snapshot_diff": DIFF,
+    "snapshot_diff_digests": f"SELECT * FROM ({DIFF}) d WHERE action <> 'same'",
     "scd2_initial": INITIAL,
     "scd2_merge": _merged("close"),
     "scd2_merge_keep": _merged("keep"),
@@ -338,6 +345,12 @@ ORACLE: dict[str, str] = {
         FROM events e LEFT JOIN ({DAILY_HISTORY}) h ON e.user_id = h.user_id
             AND h.valid_from <= e.ts AND (h.valid_to IS NULL OR e.ts < h.valid_to)
     """,
+    "scd2_point_in_time_small": f"""
+        SELECT e.event_id, e.user_id, e.ts, e.event_type, e.value,
+               h.event_type AS known_state, h.valid_from
+        FROM events e LEFT JOIN ({DAILY_HISTORY}) h ON e.user_id = h.user_id
+            AND h.valid_from <= e.ts AND (h.valid_to IS NULL OR e.ts < h.valid_to)
+    """,
     "scd2_check": VIOLATIONS,
     "snapshot_pages": RAW,
     "land_snapshot": _stamped(T2),
@@ -362,6 +375,16 @@ ORACLE: dict[str, str] = {
     "stream_scd2_close": _merged("close"),
     "runs_to_star_history": RUNS_HISTORY,
     "runs_to_star_view": RUNS_STAR,
+    "runs_to_star_late": RUNS_HISTORY,
+    "runs_to_star_rollup": RUNS_ROLLUP,
+    "runs_to_star_dimensions": f"""
+        SELECT DISTINCT country AS country_name, state AS state_name, city AS city_name, postal_code, longitude,
+               latitude, NULL AS entity_type_name FROM {_SECOND}
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, k FROM (SELECT DISTINCT entity_type AS k FROM {_SECOND}) t
+    """,
+    "scd2_splice": _merged("close"),
+    "stream_scd2_late": _merged("close"),
+    "stream_scd2_late_log": DAILY_HISTORY,
     "run_metrics": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS timed FROM ({sql}) t"
         for name, sql in (("silver", SILVER), *GOLD)

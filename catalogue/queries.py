@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 
 from catalogue.inputs import T0, T1, T2, daily_states, events, ntz, raw_entities, table, user_snapshot
 from tidemark import functions as fn
-from tidemark.operators import model, ordered, quality, scd2
+from tidemark.operators import digests, intervals, model, ordered, quality, scd2
 from tidemark.plans import gold
 from tidemark.plans.conform import address_of, conform, country_of, state_of
 from tidemark.schema import DEFAULT_SPEC, IS_CURRENT, VALID_FROM, VALID_TO
 from tidemark.session import scratch_path
 from tidemark.sources import snapshot, tables
-from tidemark.sources.history import HistoryTable
+from tidemark.sources.changes import VersionLog, version_log
 from tidemark.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,9 @@ RUN_2 = datetime(2025, 12, 2, 6, 0, 0)
 RUN_3 = datetime(2025, 12, 10, 6, 0, 0)
 STATE_COLUMNS = T.StructType().add("user_id", T.LongType()).add("event_type", T.StringType())
 
+# The tables given are small.
+BUCKETS = 4
+
 CATALOGUE: dict[str, Query] = {}
 
 
@@ -268,6 +271,16 @@ def snapshot_diff(spark, sf_dir):
     )
 
 
+@query
+def snapshot_diff_digests(spark, sf_dir):
+    """Two stored snapshots compared by their digest trees; only what is not the same."""
+    log, paths = events(spark, sf_dir), []
+    for at in (T0, T2):
+        paths.append(scratch_path(spark, "digested"))
+        digests.write_digested(user_snapshot(log, at), paths[-1], ["user_id"], ["event_type"])
+    return digests.digest_diff(spark, *paths, STATE_COLUMNS, ["user_id"], ["event_type"])
+
+
 def _initial(spark, sf_dir) -> DataFrame:
     first = user_snapshot(events(spark, sf_dir), T0).withColumn("taken_at", ntz(T0))
     return scd2.scd2_initial(first, "taken_at").drop("taken_at")
@@ -340,6 +353,18 @@ def scd2_point_in_time(spark, sf_dir):
     )
 
 
+@query
+def scd2_point_in_time_small(spark, sf_dir):
+    """The same join where the versions are few enough to be sent to the facts."""
+    log = events(spark, sf_dir)
+    versions = scd2.scd2_from_history(
+        daily_states(log), ["user_id"], ["event_type"], "known_at", weigh=log
+    ).withColumnRenamed("event_type", "known_state")
+    facts = log.select("event_id", "user_id", "ts", "event_type", "value")
+    stored = _stored(spark, versions, "versions")
+    return intervals.point_in_time(facts, stored, ["user_id"], "ts", ["known_state", VALID_FROM], weigh=log)
+
+
 @query
 def scd2_point_in_time_cut(spark, sf_dir):
     """Facts and versions by day, so that keys are cut on few instants."""
@@ -485,10 +510,8 @@ def stream_silver_fact(spark, sf_dir):
     return model.fact(_streamed_silver(spark, sf_dir))
 
 
-def _history_table(spark) -> HistoryTable:
-    return HistoryTable(
-        spark, scratch_path(spark, "history"), STATE_COLUMNS, ("user_id",), T.TimestampNTZType()
-    )
+def _history_table(spark) -> VersionLog:
+    return version_log(spark, scratch_path(spark, "history"), STATE_COLUMNS, ("user_id",), T.TimestampNTZType(), BUCKETS)
 
 
 @query
@@ -507,13 +530,12 @@ def stream_scd2(spark, sf_dir):
     return history.read()
 
 
-@query
-def stream_scd2_close(spark, sf_dir):
-    """Three whole snapshots, the last two picked up by one run of the stream."""
+def _streamed_snapshots(spark, sf_dir, starts) -> DataFrame:
+    """Whole snapshots landed in the order given, the stream started after some of them."""
     log = events(spark, sf_dir)
     base, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "stream")
     history = _history_table(spark)
-    for run, at, start in ((RUN_1, T0, True), (RUN_2, T1, False), (RUN_3, T2, True)):
+    for run, at, start in starts:
         taken = user_snapshot(log, at).withColumn("taken_at", ntz(at))
         snapshot.land_snapshot(taken, base, run)
         if start:
@@ -524,51 +546,113 @@ def stream_scd2_close(spark, sf_dir):
     return history.read()
 
 
+@query
+def stream_scd2_close(spark, sf_dir):
+    """Three whole snapshots, the last two picked up by one run of the stream."""
+    return _streamed_snapshots(spark, sf_dir, ((RUN_1, T0, True), (RUN_2, T1, False), (RUN_3, T2, True)))
+
+
+@query
+def stream_scd2_late(spark, sf_dir):
+    """The middle one of three snapshots lands last and is spliced in."""
+    return _streamed_snapshots(spark, sf_dir, ((RUN_1, T0, False), (RUN_3, T2, True), (RUN_2, T1, True)))
+
+
+@query
+def stream_scd2_late_log(spark, sf_dir):
+    """Daily states in three portions, the middle one last; a key's silence lasts until its next row."""
+    states = daily_states(events(spark, sf_dir))
+    base, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "stream")
+    history = _history_table(spark)
+    day = F.col("known_at")
+    portions = {RUN_1: day <= ntz(T0), RUN_2: (day > ntz(T0)) & (day <= ntz(T1)), RUN_3: day > ntz(T1)}
+    for run, start in ((RUN_1, False), (RUN_3, True), (RUN_2, True)):
+        snapshot.land_snapshot(states.where(portions[run]), base, run)
+        if start:
+            jobs.stream_scd2(
+                spark, base, history, checkpoint, ["user_id"], ["event_type"], "known_at", states.schema
+            ).awaitTermination()
+    return history.read()
+
+
 @query
 def scd2_history_table(spark, sf_dir):
     """Three snapshots merged into a stored history, the second one twice."""
     log = events(spark, sf_dir)
     history = _history_table(spark)
     for at in (T0, T1, T1, T2):
-        taken = user_snapshot(log, at)
-        history.update(
+        history.take(
             f"{at:%Y%m%d}",
-            lambda opened, taken=taken, at=at: scd2.scd2_merge(
-                opened, taken, ["user_id"], ["event_type"], ntz(at), "close", changes_only=True
+            lambda: scd2.scd2_merge(
+                history.opened(), user_snapshot(log, at), ["user_id"], ["event_type"], ntz(at), "close", changes_only=True
             ),
         )
     return history.read()
 
 
-def _three_runs(spark, sf_dir) -> tuple[str, HistoryTable]:
-    """Entities that change, go and come back over three runs, carried into gold."""
+@query
+def scd2_splice(spark, sf_dir):
+    """The snapshot between two merged ones comes last."""
+    log = events(spark, sf_dir)
+    merged = _merged(spark, sf_dir, "close", (T2,))
+    late = scd2.scd2_splice(
+        merged, user_snapshot(log, T1), ["user_id"], ["event_type"], ntz(T1), ntz(T2), user_snapshot(log, T2)
+    )
+    return scd2.scd2_apply(merged, late, ["user_id"])
+
+
+def _three_runs(spark, sf_dir, order=((RUN_1,), (RUN_2, RUN_3))) -> tuple[str, VersionLog, T.StructType]:
+    """Entities that change, go and come back over three runs, carried into gold in the steps given."""
     raw = raw_entities(spark, sf_dir)
     number = F.col("id").cast("long")
     renamed = F.when(number % 7 == 0, F.upper("name")).otherwise(F.col("name"))
     base, out = scratch_path(spark, "landed"), scratch_path(spark, "tables")
-    runs = (
-        (RUN_1, raw.where(number % 5 != 1)),
-        (RUN_2, raw.where(number % 11 != 0).withColumn("name", renamed)),
-        (RUN_3, raw),
-    )
-    for run, rows in runs[:1]:
-        snapshot.land_snapshot(rows, base, run)
-    gold.runs_to_star(spark, base, out, schema=raw.schema)
-    for run, rows in runs[1:]:
-        snapshot.land_snapshot(rows, base, run)
-    return out, gold.runs_to_star(spark, base, out, schema=raw.schema)
+    runs = {
+        RUN_1: raw.where(number % 5 != 1),
+        RUN_2: raw.where(number % 11 != 0).withColumn("name", renamed),
+        RUN_3: raw,
+    }
+    for step in order:
+        for run in step:
+            snapshot.land_snapshot(runs[run], base, run)
+        history = gold.runs_to_star(spark, base, out, schema=raw.schema, buckets=BUCKETS)
+    return out, history, raw.schema
+
+
+LATE = ((RUN_1, RUN_3), (RUN_2,))
 
 
 @query
 def runs_to_star_history(spark, sf_dir):
-    _, table = _three_runs(spark, sf_dir)
-    return table.read()
+    return _three_runs(spark, sf_dir)[1].read()
+
+
+@query
+def runs_to_star_late(spark, sf_dir):
+    """The second run finishes after the third was taken."""
+    return _three_runs(spark, sf_dir, LATE)[1].read()
 
 
 @query
 def runs_to_star_view(spark, sf_dir):
-    out, _ = _three_runs(spark, sf_dir)
-    return gold.read_star(spark, out)
+    out, _, schema = _three_runs(spark, sf_dir)
+    return gold.read_star(spark, out, schema=schema)
+
+
+@query
+def runs_to_star_rollup(spark, sf_dir):
+    """The rollup after two whole runs and one that takes entities away again, by changes alone."""
+    out, _, schema = _three_runs(spark, sf_dir, ((RUN_1,), (RUN_2,)))
+    return gold.read_gold(spark, out, schema=schema)["rollup"]
+
+
+@query
+def runs_to_star_dimensions(spark, sf_dir):
+    """Members of both dimensions that the second run's entities have, with and without names."""
+    out, _, schema = _three_runs(spark, sf_dir, ((RUN_1,), (RUN_2,)))
+    tables = gold.read_gold(spark, out, schema=schema)
+    locations = tables["location"].drop("location_sk")
+    return locations.unionByName(tables["kind"].drop("type_sk"), allowMissingColumns=True)
 
 
 @query

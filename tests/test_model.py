@@ -182,7 +182,7 @@ def test_runs_to_star_keeps_history(spark, folder):
         land_snapshot(raw(spark, rows), f"{folder}/in", run)
 
     def again():
-        table = runs_to_star(spark, f"{folder}/in", f"{folder}/out", schema=ENTITY_SCHEMA)
+        table = runs_to_star(spark, f"{folder}/in", f"{folder}/out", schema=ENTITY_SCHEMA, buckets=2)
         got = {(r.id, r.name, r.valid_from, r.valid_to, r.is_current) for r in table.read().collect()}
         star = {(r.entity_id, r.entity_name) for r in read_star(spark, f"{folder}/out").collect()}
         assert scd2_check(table.read(), ["id"]).isEmpty()

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from datetime import datetime
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import types as T
 
 from frames import same_rows
 from tidemark.functions import valid_longitude
+from tidemark.functions.times import instant
+from tidemark.operators.scd2 import scd2_merge
 from tidemark.plans.conform import conform
 from tidemark.schema import ENTITY_SCHEMA, EntitySpec, entity_schema
 from tidemark.sources.snapshot import (
@@ -145,3 +148,19 @@ def test_no_snapshot_is_an_error(spark, folder):
     land_file(folder, 2024, 1, 1, "notes.txt", [])
     with pytest.raises(FileNotFoundError):
         latest_snapshot(spark, folder)
+
+
+def test_times_without_a_zone_are_the_sessions_not_the_drivers(spark, monkeypatch):
+    noon = datetime(2024, 7, 1, 12)
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        df = spark.range(1).select(instant(noon).cast("string").alias("at"))
+        stamped = stamp(df, noon).select(F.col("ingested_date").cast("string"))
+        opened = spark.sql("SELECT 1 AS k, 'a' AS v, TIMESTAMP_NTZ'2024-06-01 00:00:00' AS valid_from, CAST(NULL AS TIMESTAMP_NTZ) AS valid_to, true AS is_current")
+        merged = scd2_merge(opened, spark.sql("SELECT 1 AS k, 'b' AS v"), ["k"], ["v"], noon).selectExpr("CAST(valid_to AS STRING) AS t")
+        seen = {df.first().at, stamped.first()[0], *[r.t for r in merged.where("t IS NOT NULL").collect()]}
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert seen == {"2024-07-01 12:00:00"}

@@ -10,8 +10,8 @@ from tidemark.operators.model import fact
 from tidemark.operators.scd2 import scd2_check, scd2_from_history
 from tidemark.plans.conform import conform
 from tidemark.schema import ENTITY_SCHEMA, IS_CURRENT
-from tidemark.sources.history import HistoryTable
-from tidemark.sources.snapshot import finished_runs, land_snapshot, run_path
+from tidemark.sources.changes import version_log
+from tidemark.sources.snapshot import announce_run, finished_runs, land_snapshot, run_path
 from tidemark.streaming.jobs import read_silver, stream_scd2, stream_silver
 
 DAY = [datetime(2024, 1, d) for d in range(1, 8)]
@@ -32,7 +32,7 @@ def run(spark, folder, table, **options):
 
 @pytest.fixture
 def table(spark, folder):
-    return HistoryTable(spark, f"{folder}/history", COLUMNS, ("k",))
+    return version_log(spark, f"{folder}/history", COLUMNS, ("k",), buckets=2)
 
 
 def test_each_run_is_conformed_once_and_the_latest_is_current(spark, folder):
@@ -88,19 +88,38 @@ def test_all_runs_since_the_last_start_are_taken_in_order(spark, folder, table,
     assert scd2_check(table.read(), ["k"]).isEmpty()
 
 
-def test_an_unfinished_run_waits(spark, folder, table):
+@pytest.mark.parametrize("on_missing", ["keep", "close"])
+def test_a_run_that_finishes_late_is_spliced_in(spark, folder, table, on_missing):
     land(spark, f"{folder}/in", [(1, "a", DAY[0]), (2, "b", DAY[0])], DAY[0])
-    land(spark, f"{folder}/in", [(1, "a", DAY[1])], DAY[1])
+    land(spark, f"{folder}/in", [(1, "x", DAY[1])], DAY[1])
     marker = f"{run_path(f'{folder}/in', DAY[1])}/_SUCCESS"
     os.rename(marker, f"{folder}/held")
     assert [r.run for r in finished_runs(spark, f"{folder}/in")] == ["20240101_000000"]
-    run(spark, folder, table, on_missing="close")
+    land(spark, f"{folder}/in", [(1, "a", DAY[2]), (2, "b", DAY[2])], DAY[2])
+    run(spark, folder, table, on_missing=on_missing)
     assert as_set(table.read()) == {(1, "a", DAY[0], None, True), (2, "b", DAY[0], None, True)}
     os.rename(f"{folder}/held", marker)
-    land(spark, f"{folder}/in", [(1, "c", DAY[2])], DAY[2])
-    run(spark, folder, table, on_missing="close")
-    assert as_set(table.read()) == {
-        (1, "a", DAY[0], DAY[2], False), (1, "c", DAY[2], None, True), (2, "b", DAY[0], DAY[1], False),
+    announce_run(spark, f"{folder}/in", "20240102_000000", run_path(f"{folder}/in", DAY[1]), 1)
+    run(spark, folder, table, on_missing=on_missing)
+    want = {(1, "a", DAY[0], DAY[1], False), (1, "x", DAY[1], DAY[2], False), (1, "a", DAY[2], None, True)}
+    if on_missing == "close":
+        want |= {(2, "b", DAY[0], DAY[1], False), (2, "b", DAY[2], None, True)}
+    else:
+        want |= {(2, "b", DAY[0], None, True)}
+    assert as_set(table.read()) == want
+    assert table.runs() == ["20240101_000000", "20240102_000000", "20240103_000000"]
+    assert scd2_check(table.read(), ["k"]).isEmpty()
+
+
+def test_a_late_run_is_conformed_but_not_current(spark, folder):
+    def entities(i):
+        return spark.createDataFrame([tuple({"id": i}.get(f) for f in ENTITY_SCHEMA.names)], ENTITY_SCHEMA)
+
+    for d in (0, 2, 1):
+        land_snapshot(entities(f"e{d}"), f"{folder}/in", DAY[d])
+        stream_silver(spark, f"{folder}/in", f"{folder}/out", f"{folder}/ckpt").awaitTermination()
+    assert {(r.id, r.is_current) for r in read_silver(spark, f"{folder}/out").collect()} == {
+        ("e0", False), ("e1", False), ("e2", True),
     }
 
 
@@ -132,12 +151,12 @@ def test_a_restart_after_a_failure_goes_on(spark, folder, table):
 def test_a_replayed_batch_changes_nothing(spark, folder, table):
     land(spark, f"{folder}/in", [(1, "a", DAY[0]), (2, "b", DAY[0])], DAY[0])
     run(spark, folder, table)
-    before, version = as_set(table.read()), table.version()
+    before, taken = as_set(table.read()), table.batches()
     # The run was committed to the table, but the stream does not know it.
     for path in glob(f"{folder}/ckpt/commits/*") + glob(f"{folder}/ckpt/commits/.*crc"):
         os.remove(path)
     run(spark, folder, table)
-    assert as_set(table.read()) == before and table.version() == version
+    assert as_set(table.read()) == before and table.batches() == taken
 
 
 def test_absence_closes_only_on_request(spark, folder, table):

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from frames import as_set, same_rows
 from tidemark.operators.scd2 import scd2_merge
 from tidemark.session import scratch_path, shared_dir
-from tidemark.sources.history import HistoryTable
 from tidemark.sources.tables import (
     WriteMetrics,
     metrics_frame,
@@ -98,91 +97,3 @@ def test_scratch_paths_are_below_the_shared_folder(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(shared_dir(spark))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
-DAY = [datetime(2024, 1, d) for d in range(1, 5)]
-COLUMNS = T.StructType().add("k", T.IntegerType()).add("v", T.StringType())
-
-
-def merge(spark, table, batch, rows, at):
-    taken = spark.createDataFrame(rows, COLUMNS)
-    return table.update(batch, lambda opened: scd2_merge(opened, taken, ["k"], ["v"], at, changes_only=True))
-
-
-def test_history_table(spark, folder):
-    table = HistoryTable(spark, f"{folder}/h", COLUMNS, ("k",))
-    assert table.version() is None and table.read().count() == 0
-    merge(spark, table, "1", [(1, "a"), (2, "b")], DAY[0])
-    merge(spark, table, "2", [(1, "a2"), (3, "c")], DAY[1])
-    merge(spark, table, "3", [(1, "a2"), (3, "c3")], DAY[2])
-    want = {
-        (1, "a", DAY[0], DAY[1], False), (2, "b", DAY[0], DAY[1], False),
-        (1, "a2", DAY[1], None, True), (3, "c", DAY[1], DAY[2], False), (3, "c3", DAY[2], None, True),
-    }
-    assert as_set(table.read()) == want and table.version() == 2
-    assert as_set(table.opened()) == {r for r in want if r[4]}
-    assert merge(spark, table, "3", [(9, "replayed")], DAY[3]) is None
-    assert as_set(table.read()) == want
-
-
-def test_history_table_writes_changes_only(spark, folder):
-    table = HistoryTable(spark, f"{folder}/h", COLUMNS, ("k",))
-    written = [merge(spark, table, "0", [(k, "v") for k in range(50)], DAY[0]).rows]
-    for i in range(1, 4):
-        written.append(merge(spark, table, str(i), [(k, f"v{i}" if k < 2 else "v") for k in range(50)], DAY[i]).rows)
-    assert written == [50, 4, 4, 4]
-    closed = [spark.read.parquet(p).count() for p in sorted(glob.glob(f"{folder}/h/rows/*/is_current=false"))]
-    assert closed == [2, 2, 2]
-    assert table.opened().count() == 50 and table.read().count() == 56 and not table.grown()
-    read = table.opened()
-    read.collect()
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "version" in filters and "is_current" in filters
-
-
-def test_history_table_compacts_and_drops_what_is_superseded(spark, folder):
-    table = HistoryTable(spark, f"{folder}/h", COLUMNS, ("k",))
-    for i in range(4):
-        merge(spark, table, str(i), [(1, f"v{i}"), (2, "w")], DAY[i])
-    before = as_set(table.read())
-    assert table.grown() and table.compact().rows == 2 and table.compact() is None and not table.grown()
-    assert as_set(table.read()) == before and table.last_batch() == "3"
-    assert table.remove_superseded() == 4
-    assert as_set(table.read()) == before and as_set(table.opened()) == {r for r in before if r[4]}
-    assert len(glob.glob(f"{folder}/h/rows/*/is_current=true")) == 1
-    merge(spark, table, "4", [(1, "v3")], datetime(2024, 2, 1))
-    assert as_set(table.opened()) == {(1, "v3", DAY[3], None, True)}
-
-
-def test_a_second_writer_fails(spark, folder):
-    table = HistoryTable(spark, f"{folder}/h", COLUMNS, ("k",))
-    merge(spark, table, "1", [(1, "a")], DAY[0])
-
-    def meanwhile(opened):
-        merge(spark, table, "2", [(1, "b")], DAY[1])
-        return opened.limit(0)
-
-    with pytest.raises(RuntimeError, match="another writer"):
-        table.update("3", meanwhile)
-
-
-def test_an_update_that_died_is_invisible_and_repeatable(spark, folder):
-    table = HistoryTable(spark, f"{folder}/h", COLUMNS, ("k",))
-    merge(spark, table, "1", [(1, "a")], DAY[0])
-    before = as_set(table.read())
-    # Rows of the next version are there, its commit is not.
-    half = spark.createDataFrame([(7, "x", DAY[1], None, True), (1, "a", DAY[0], DAY[1], False)], table.schema)
-    half.write.partitionBy("is_current").parquet(f"{folder}/h/rows/version=1")
-    assert as_set(table.read()) == before
-    merge(spark, table, "2", [(1, "b")], DAY[1])
-    assert as_set(table.read()) == {(1, "a", DAY[0], DAY[1], False), (1, "b", DAY[1], None, True)}
-
-
-def test_a_step_that_fails_leaves_the_table_as_it_was(spark, folder):
-    table = HistoryTable(spark, f"{folder}/h", COLUMNS, ("k",))
-    merge(spark, table, "1", [(1, "a")], DAY[1])
-    before = as_set(table.read())
-    with pytest.raises(Exception, match="not later"):
-        merge(spark, table, "2", [(1, "b")], DAY[0])
-    assert as_set(table.read()) == before and table.version() == 0

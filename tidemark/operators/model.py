@@ -124,12 +124,12 @@ def surrogate_key(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.coalesce(F.unhex(F.sha2(F.concat(*values), 256)), F.lit(b""))
 
 
-def _location_columns(spec: EntitySpec) -> list[str]:
+def location_columns(spec: EntitySpec) -> list[str]:
     return [*spec.location, spec.postal_code, spec.longitude, spec.latitude]
 
 
 def location_dim_sk(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
-    columns = _location_columns(spec)
+    columns = location_columns(spec)
     members = _current(silver).select(*columns).distinct()
     return members.select(
         surrogate_key(silver, columns).alias(LOCATION_SK),
@@ -149,7 +149,7 @@ def fact_sk(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
     """The fact with a surrogate key per dimension next to the natural keys."""
     keyed = _current(silver).withColumns(
         {
-            LOCATION_SK: surrogate_key(silver, _location_columns(spec)),
+            LOCATION_SK: surrogate_key(silver, location_columns(spec)),
             KIND_SK: surrogate_key(silver, [spec.kind]),
         }
     )

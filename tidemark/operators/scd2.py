@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import instant
 from tidemark.operators.ordered import (
     COLD,
     RANGE,
@@ -29,6 +30,13 @@ def _required(key: str) -> Column:
     return F.when(F.col(key).isNull(), F.raise_error(message)).otherwise(F.col(key)).alias(key)
 
 
+def _with_keys(keys: Sequence[str], row: Column) -> Column:
+    """``row``, or a failure if a key is null."""
+    for k in keys:
+        row = F.when(F.col(k).isNull(), F.raise_error(F.lit(f"entity key {k!r} must not be null"))).otherwise(row)
+    return row
+
+
 def _unique(names: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(names))
 
@@ -52,7 +60,7 @@ def scd2_current(df: DataFrame) -> DataFrame:
 
 def scd2_as_of(df: DataFrame, at) -> DataFrame:
     """The versions that were valid at the instant ``at``."""
-    at = at if isinstance(at, Column) else F.lit(at).cast(df.schema[VALID_FROM].dataType)
+    at = instant(at, df.schema[VALID_FROM].dataType)
     return df.where(
         (F.col(VALID_FROM) <= at) & (F.col(VALID_TO).isNull() | (at < F.col(VALID_TO)))
     )
@@ -63,7 +71,8 @@ def _pair(old: DataFrame, new: DataFrame, keys: Sequence[str], single: bool = Fa
 
     ``single`` adds ``_once``, which fails if ``new`` holds the key twice.
     """
-    left = old.select(*[_required(k) for k in keys], F.struct(*old.columns).alias("_old"))
+    # Old keys stay the columns they are, so that an old side bucketed by them need not move.
+    left = old.select(*keys, _with_keys(keys, F.struct(*old.columns)).alias("_old"))
     right = new.select(*[_required(k) for k in keys], F.struct(*new.columns).alias("_new"))
     if single:
         right = _single(right, keys)
@@ -125,7 +134,7 @@ def scd2_merge(
     opens a new one, ``insert`` opens one; a key that the snapshot lacks is
     closed or kept, as ``on_missing`` says. Closed history passes through
     untouched and takes no part in the join, so ``current`` is read twice: store
-    the table between merges (``HistoryTable`` does). A second run with the
+    the table between merges (``VersionLog`` does). A second run with the
     same snapshot changes nothing. ``changes_only`` gives the versions that the
     merge closes and opens, nothing else.
 
@@ -142,8 +151,7 @@ def scd2_merge(
         snapshot = latest_per_key(snapshot, keys, order)
     payload = [c for c in current.columns if c not in SCD2_COLUMNS]
     start = current.schema[VALID_FROM].dataType
-    at = at if isinstance(at, Column) else F.lit(at)
-    at = at.cast(start)
+    at = instant(at, start)
     at = F.when(at.isNull(), F.raise_error(F.lit("a merge needs the time of the snapshot"))).otherwise(at)
 
     joined = _pair(scd2_current(current), snapshot.select(*payload), keys, single=True)
@@ -244,6 +252,152 @@ def scd2_from_history(
     )
 
 
+def scd2_splice(
+    versions: DataFrame,
+    snapshot: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    at,
+    until,
+    following: DataFrame | None = None,
+    on_missing: str = "close",
+) -> DataFrame:
+    """The versions that change when a snapshot taken at ``at`` comes late, after that of ``until`` was merged.
+
+    The snapshot speaks for ``[at, until)``. A version that spans ``at`` and says
+    otherwise is split there, and goes on from ``until`` if it did; a state that the next
+    version begins with at ``until`` is joined to that; what the snapshot lacks
+    is absent until then (``on_missing="close"``) or stays (``"keep"``). Any
+    order of arrival gives the history of the right order.
+
+    ``following`` holds the rows of the snapshot at ``until``, from which a
+    version that goes on takes its untracked columns (else its own). With
+    ``on_missing="keep"`` the next word on a key may come later than the next
+    snapshot, or never: ``until`` is then the name of a column of ``following``, which
+    has the next row that each key has in a later snapshot, with its time.
+
+    Columns: those of ``versions`` and ``gone``, true for a version that another
+    one has taken up; ``scd2_apply`` applies them. Keys come once in the snapshot, else the
+    job fails, and so it does where a version begins at ``at``.
+    """
+    if on_missing not in ("close", "keep"):
+        raise ValueError("on_missing is 'close' or 'keep'")
+    payload = [c for c in versions.columns if c not in SCD2_COLUMNS]
+    start = versions.schema[VALID_FROM].dataType
+    at = instant(at, start)
+    # One row per key on either side, each made where its rows are; only the snapshots move.
+    whole, begin, end = F.struct(*versions.columns), F.col(VALID_FROM), F.col(VALID_TO)
+    spans, behind = (begin <= at) & (end.isNull() | (end > at)), begin > at
+    history = versions.groupBy(*keys).agg(
+        F.max_by(F.when(spans, whole), F.when(spans, begin)).alias("_old"),
+        F.min_by(F.when(behind, whole), F.when(behind, begin)).alias("_next"),
+    )
+    said = snapshot.select(*[_required(k) for k in keys], F.struct(*payload).alias("_new"))
+    if following is not None:
+        time = F.col(until).cast(start) if on_missing == "keep" else instant(until, start)
+        words = following.select(*keys, F.struct(*payload).alias("_following"), time.alias("_until"))
+        said = said.unionByName(words, allowMissingColumns=True)
+    else:
+        said = said.withColumns({"_following": F.lit(None), "_until": F.lit(None).cast(start)})
+    twice = F.raise_error(F.lit("snapshot holds an entity key more than once"))
+    said = said.groupBy(*keys).agg(
+        F.first("_new", ignorenulls=True).alias("_new"),
+        F.first("_following", ignorenulls=True).alias("_following"),
+        F.first("_until", ignorenulls=True).alias("_until"),
+        F.when(F.count("_new") > 1, twice).otherwise(F.lit(True)).alias("_once"),
+    )
+    joined = history.join(said, list(keys), "full_outer")
+    if on_missing == "close":
+        joined = joined.withColumn("_until", instant(until, start))
+
+    old, new, end = F.col("_old"), F.col("_new"), F.col("_until")
+    after = F.when(F.col("_next")[VALID_FROM] == end, F.col("_next"))
+
+    def version(source: Column, begin: Column, finish: Column, current: Column, gone: bool = False) -> Column:
+        return F.struct(
+            *[source[c].alias(c) for c in payload],
+            begin.alias(VALID_FROM),
+            finish.alias(VALID_TO),
+            current.alias(IS_CURRENT),
+            F.lit(gone).alias("gone"),
+        )
+
+    def states(row: Column) -> Column:
+        return F.struct(*[row[c] for c in tracked])
+
+    none = F.slice(F.array(version(old, at, at, F.lit(False))), 1, 0)
+    clash = F.raise_error(F.lit("a version begins at the time of the late snapshot"))
+    closed = F.when(old.isNull(), none).otherwise(
+        F.array(version(old, F.when(old[VALID_FROM] >= at, clash).otherwise(old[VALID_FROM]), at, F.lit(False)))
+    )
+    goes_on = old.isNotNull() & end.isNotNull() & (old[VALID_TO].isNull() | (old[VALID_TO] > end))
+    taken_up = after.isNotNull() & ~goes_on & states(after).eqNullSafe(states(new))
+    finish = F.when(end.isNotNull(), end).otherwise(old[VALID_TO])
+    opened = F.when(new.isNull(), none).when(
+        taken_up,
+        F.array(
+            version(new, at, after[VALID_TO], after[IS_CURRENT]),
+            version(after, after[VALID_FROM], after[VALID_TO], F.lit(False), gone=True),
+        ),
+    ).otherwise(F.array(version(new, at, finish, finish.isNull())))
+    rest = F.struct(*[F.when(F.col("_following").isNull(), old[c]).otherwise(F.col("_following")[c]).alias(c) for c in payload]) if (
+        following is not None
+    ) else old
+    resumed = F.when(goes_on, F.array(version(rest, end, old[VALID_TO], old[IS_CURRENT]))).otherwise(none)
+    once = F.coalesce("_once", F.lit(True))  # asked first, so that it is looked at
+    same = old.isNotNull() & new.isNotNull() & states(old).eqNullSafe(states(new))
+    quiet = same | ((new.isNull()) & F.lit(on_missing == "keep"))
+    pieces = F.when(~once | quiet, none).otherwise(F.concat(closed, opened, resumed))
+    return joined.select(F.inline(pieces))
+
+
+def scd2_splice_log(
+    versions: DataFrame,
+    late: DataFrame,
+    later: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    at: str,
+    tie_break: Sequence[str] = (),
+) -> DataFrame:
+    """The versions that change when log rows come ``late``, after the ``later`` ones were taken.
+
+    A key's log is silent between its rows, so how long a late state lasts is
+    known only from the next row of the key: ``later`` has the log that was
+    taken in place of the late rows' turn. Keys of ``late`` are rebuilt from their first late row
+    on, other keys are not read. ``versions`` hold keys and tracked columns. Columns as in ``scd2_splice``.
+    """
+    tie_break = list(tie_break) or list(tracked)
+    needed = [*keys, *_unique([*tracked, at, *[c for c in tie_break if c not in keys]])]
+    since = late.groupBy(*[_required(k) for k in keys]).agg(F.min(at).alias("_since"))
+    own = versions.join(since, list(keys)).where(F.col(VALID_TO).isNull() | (F.col(VALID_TO) >= F.col("_since")))
+    extra = [c for c in tie_break if c not in tracked and c != at]
+    seeds = own.where(F.col(VALID_FROM) < F.col("_since")).select(
+        *keys, *tracked, F.col(VALID_FROM).alias(at), *[F.lit(None).cast(late.schema[c].dataType).alias(c) for c in extra]
+    )
+    rest = later.select(*needed).join(since, list(keys)).where(F.col(at) >= F.col("_since")).drop("_since")
+    log = seeds.unionByName(late.select(*needed)).unionByName(rest)
+    built = scd2_from_history(log, keys, tracked, at, tie_break)
+    return _version_changes(own.select(*built.columns), built, keys)
+
+
+def _version_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Versions of ``new`` that ``old`` does not have like that, and those that are gone."""
+    at = [*keys, VALID_FROM]
+    left = old.select(*at, F.struct(*old.columns).alias("_old"))
+    right = new.select(*at, F.struct(*old.columns).alias("_new"))
+    pair = left.join(right, at, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    row = F.coalesce("_new", "_old")
+    return pair.select(*[row[c].alias(c) for c in old.columns], F.col("_new").isNull().alias("gone"))
+
+
+def scd2_apply(versions: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``versions`` with the ``changes`` of a splice."""
+    at = [*keys, VALID_FROM]
+    kept = versions.join(changes.select(*at), at, "left_anti")
+    return kept.select(*versions.columns).unionByName(changes.where("NOT gone").select(*versions.columns))
+
+
 def scd2_extend(
     opened: DataFrame,
     log: DataFrame,

@@ -6,24 +6,32 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.times import instant
 from tidemark.operators.model import (
     fact,
-    fact_sk,
     kind_dim,
-    kind_dim_sk,
     location_dim,
-    location_dim_sk,
     publish_view,
     star_view_sk,
     type_location_agg,
 )
-from tidemark.operators.scd2 import scd2_merge
+from tidemark.operators.scd2 import scd2_merge, scd2_splice
 from tidemark.plans.conform import conform
-from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, SCD2_COLUMNS, EntitySpec
-from tidemark.sources.history import HistoryTable
-from tidemark.sources.snapshot import RUN_FORMAT, finished_runs, read_latest, read_snapshot
+from tidemark.plans.maintain import FACT, KIND, LOCATION, ROLLUP, gold_logs, read_dimensions, read_rollup, refresh
+from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, SCD2_COLUMNS, VALID_FROM, EntitySpec
+from tidemark.sources.changes import BUCKETS, VersionLog, version_log
+from tidemark.sources.snapshot import (
+    RUN_FORMAT,
+    Snapshot,
+    finished_runs,
+    open_runs,
+    read_latest,
+    read_snapshot,
+    union_pages,
+)
 from tidemark.sources.tables import WriteMetrics, read_table, verify_write, write_table
 
 
@@ -100,12 +108,16 @@ def snapshot_to_star(
 
 
 def history_table(
-    spark: SparkSession, out: str, spec: EntitySpec = DEFAULT_SPEC, schema: T.StructType = ENTITY_SCHEMA
-) -> HistoryTable:
-    """The stored history of conformed entities below ``out``."""
+    spark: SparkSession,
+    out: str,
+    spec: EntitySpec = DEFAULT_SPEC,
+    schema: T.StructType = ENTITY_SCHEMA,
+    buckets: int = BUCKETS,
+) -> VersionLog:
+    """The stored history of conformed entities below ``out``; ``buckets`` are for a new one."""
     conformed = conform(spark.createDataFrame([], schema), spec).schema
     columns = T.StructType([f for f in conformed if f.name not in SCD2_COLUMNS])
-    return HistoryTable(spark, f"{out}/history", columns, (spec.id,), conformed[SCD2_COLUMNS[0]].dataType)
+    return version_log(spark, f"{out}/history", columns, (spec.id,), conformed[SCD2_COLUMNS[0]].dataType, buckets)
 
 
 def runs_to_star(
@@ -115,42 +127,59 @@ def runs_to_star(
     spec: EntitySpec = DEFAULT_SPEC,
     schema: T.StructType = ENTITY_SCHEMA,
     on_missing: str = "close",
-    fmt: str = "parquet",
-) -> HistoryTable:
-    """Every finished run that is new into the history, then gold from its current rows.
+    buckets: int = BUCKETS,
+) -> VersionLog:
+    """Every finished run that is new into the history, then gold brought up to its current rows.
 
     Each run is conformed and merged at the time of its stamp: changed entities
     get a new version, absent ones are closed or kept as ``on_missing`` says. A
-    changed ingest time alone is no change. Running it again changes nothing. The
-    star view has a row per entity; ``star_view_text`` gives the fan-out one.
+    changed ingest time alone is no change. A run that finishes late is spliced in
+    where it belongs. Running it again changes nothing. What is written, history and
+    gold, follows the changes. ``read_star`` and ``read_gold`` give the result.
+    ``buckets`` are for new tables: choose them so that one bucket of all current entities suits a task.
     """
-    table = history_table(spark, out, spec, schema)
-    payload = table.columns.names
+    table = history_table(spark, out, spec, schema, buckets)
+    payload = [c for c in table.columns.names if c not in SCD2_COLUMNS]
     tracked = [c for c in payload if c not in (spec.id, "updated_at", "updated_date")]
-    for run in finished_runs(spark, base, table.last_batch()):
-        at = datetime.strptime(run.run, RUN_FORMAT)
-        rows = conform(read_snapshot(spark, run, schema), spec).select(*payload)
-        table.update(
-            run.run,
-            lambda opened, rows=rows, at=at: scd2_merge(
-                opened, rows, [spec.id], tracked, at, on_missing, changes_only=True
-            ),
-        )
-        if table.grown():
-            table.compact()
-    # Written first: the gold tables each read it, and its size is known.
-    current = write_table(table.opened(), f"{out}/silver", fmt=fmt)
-    silver = read_table(spark, current.path, fmt, table.schema)
-    write_gold(silver, f"{out}/gold", spec, fmt)
-    for name, df in (("fact_sk", fact_sk(silver, spec)), ("location_sk", location_dim_sk(silver, spec)),
-                     ("kind_sk", kind_dim_sk(silver, spec))):
-        write_table(df, f"{out}/gold/{name}", fmt=fmt)
+
+    def entities(run: Snapshot) -> DataFrame:
+        return conform(read_snapshot(spark, run, schema), spec).select(*payload)
+
+    def changes(run: Snapshot, later: list[Snapshot]) -> DataFrame:
+        rows, at = entities(run), _time(run)
+        if not later:
+            return scd2_merge(table.opened(), rows, [spec.id], tracked, at, on_missing, changes_only=True)
+        if on_missing == "close":
+            return scd2_splice(table.read(), rows, [spec.id], tracked, at, _time(later[0]), entities(later[0]))
+        # The next word on each entity of the run, from whichever later run has it.
+        times = [entities(r).withColumn("_time", instant(_time(r), table.columns[VALID_FROM].dataType)) for r in later]
+        known = union_pages(times).join(rows.select(spec.id), spec.id, "left_semi")
+        row = F.struct(*[c for c in known.columns if c != spec.id])
+        following = known.groupBy(spec.id).agg(F.min_by(row, "_time").alias("_row")).select(spec.id, "_row.*")
+        return scd2_splice(table.read(), rows, [spec.id], tracked, at, "_time", following, "keep")
+
+    for run, later in open_runs(finished_runs(spark, base), table.runs()):
+        table.take(run.run, lambda: changes(run, later))
+    refresh(table, gold_logs(spark, out, table.columns, spec, buckets), spec)
     return table
 
 
+def _time(run: Snapshot) -> datetime:
+    return datetime.strptime(run.run, RUN_FORMAT)
+
+
+def read_gold(
+    spark: SparkSession, out: str, spec: EntitySpec = DEFAULT_SPEC, schema: T.StructType = ENTITY_SCHEMA
+) -> dict[str, DataFrame]:
+    """Fact, both dimensions and the rollup that ``runs_to_star`` keeps, of current entities."""
+    logs = gold_logs(spark, out, history_table(spark, out, spec, schema).columns, spec)
+    locations, kinds = read_dimensions(logs)
+    return {FACT: logs[FACT].read(), LOCATION: locations, KIND: kinds, ROLLUP: read_rollup(logs)}
+
+
 def read_star(
-    spark: SparkSession, out: str, spec: EntitySpec = DEFAULT_SPEC, fmt: str = "parquet"
+    spark: SparkSession, out: str, spec: EntitySpec = DEFAULT_SPEC, schema: T.StructType = ENTITY_SCHEMA
 ) -> DataFrame:
-    """The star view over what ``runs_to_star`` stored, one row per current entity."""
-    tables = (read_table(spark, f"{out}/gold/{name}", fmt) for name in ("fact_sk", "location_sk", "kind_sk"))
-    return star_view_sk(*tables, spec)
+    """The star view over what ``runs_to_star`` keeps, one row per current entity."""
+    tables = read_gold(spark, out, spec, schema)
+    return star_view_sk(tables[FACT], tables[LOCATION], tables[KIND], spec)

@@ -9,15 +9,15 @@ file, ``.../day=D/<YYYYMMDD_HHMMSS>_<name>.json``, are found and read as well.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.functions.times import instant
 from tidemark.schema import DEFAULT_SPEC, ENTITY_SCHEMA, EntitySpec
 from tidemark.sources.files import entries, exists
 from tidemark.sources.tables import WriteMetrics, write_table
@@ -33,7 +33,8 @@ RUN_COLUMNS = "run string, path string, row_count long"
 
 def stamp(df: DataFrame, at, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
     """``df`` with one ingest time for the whole run."""
-    return df.withColumn(spec.stamp, F.lit(at))
+    stamped = at if isinstance(at, Column) else instant(at)
+    return df.withColumn(spec.stamp, stamped)
 
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
@@ -157,6 +158,14 @@ def finished_runs(spark: SparkSession, base: str, after: str | None = None) -> l
     return sorted(found, key=lambda s: s.run)
 
 
+def open_runs(finished: Sequence[Snapshot], done: Collection[str]) -> Iterator[tuple[Snapshot, list[Snapshot]]]:
+    """Each finished run that is not ``done``, in run order, with the later ones that are."""
+    done = set(done)
+    for run in finished:
+        if run.run not in done:
+            yield run, [r for r in finished if r.run > run.run and r.run in done]
+
+
 def read_snapshot(
     spark: SparkSession, snapshot: Snapshot, schema: T.StructType = ENTITY_SCHEMA
 ) -> DataFrame:
