@@ -116,6 +116,20 @@ def _quality() -> str:
     )
 
 
+def _profile(run: str) -> str:
+    """Counts per column; ``run`` is a select item with its comma, or nothing."""
+    return " UNION ALL ".join(
+        f"""
+        SELECT {run} '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count,
+               count(*) FILTER (trim(CAST({c} AS VARCHAR)) = '') AS blank_count,
+               count(*) FILTER (CAST({c} AS VARCHAR) IN ('no_country', 'no_value')) AS default_count,
+               count({c}) AS number_count, true AS distinct_near
+        FROM ({RAW}) r {"GROUP BY 1" if run else ""}
+        """
+        for c in ("country", "state", "phone", "longitude")
+    )
+
+
 def _snapshot(until) -> str:
     return f"""
         SELECT user_id, event_type FROM (
@@ -303,6 +317,8 @@ ORACLE: dict[str, str] = {
         FROM ({RAW}) r GROUP BY 1
     """,
     "quality_report": _quality(),
+    "profile_runs": _profile("CAST(CAST(id AS BIGINT) % 3 AS VARCHAR) AS run,"),
+    "profile_merged": _profile(""),
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({sql}) t" for name, sql in GOLD
     ),

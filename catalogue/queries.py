@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from catalogue.inputs import T0, T1, T2, daily_states, events, ntz, raw_entities, table, user_snapshot
 from tidemark import functions as fn
-from tidemark.operators import digests, intervals, model, ordered, quality, scd2
+from tidemark.operators import digests, intervals, model, ordered, profiles, quality, scd2
 from tidemark.plans import gold
 from tidemark.plans.conform import address_of, conform, country_of, state_of
 from tidemark.schema import DEFAULT_SPEC, IS_CURRENT, VALID_FROM, VALID_TO
@@ -143,6 +143,43 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(filled, columns, bounds=quality.coordinate_bounds())
 
 
+PROFILED = ("country", "state", "phone", "longitude")
+
+
+def _profiled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Profiles of three runs, stored one by one, and the exact distinct counts of each."""
+    raw = raw_entities(spark, sf_dir).withColumn("run", (F.col("id").cast("long") % 3).cast("string"))
+    path = scratch_path(spark, "profiles")
+    for run in ("0", "1", "2"):
+        profiles.write_profile(raw.where(F.col("run") == run), path, run, PROFILED)
+    long = raw.select("run", *[F.col(c).cast("string").alias(c) for c in PROFILED]).unpivot(
+        ["run"], list(PROFILED), "column_name", "value"
+    )
+    return profiles.read_profiles(spark, path), long
+
+
+def _near(measured: DataFrame, exact: DataFrame, by: list[str]) -> DataFrame:
+    """Counts of profiles, and whether the estimated distinct counts are within 5 % of the exact ones."""
+    near = F.abs(F.col("distinct_count") - F.col("_exact")) <= 0.05 * F.col("_exact")
+    return measured.join(exact, by).select(*by, *profiles.COUNTS, near.alias("distinct_near"))
+
+
+@query
+def profile_runs(spark, sf_dir):
+    """A profile per run and column, from sketches that are kept."""
+    stored, long = _profiled(spark, sf_dir)
+    exact = long.groupBy("run", "column_name").agg(F.count_distinct("value").alias("_exact"))
+    return _near(profiles.measures(stored), exact, ["run", "column_name"])
+
+
+@query
+def profile_merged(spark, sf_dir):
+    """The profile of all runs, merged from those of each without reading their rows."""
+    stored, long = _profiled(spark, sf_dir)
+    exact = long.groupBy("column_name").agg(F.count_distinct("value").alias("_exact"))
+    return _near(profiles.measures(profiles.merge_profiles(stored)), exact, ["column_name"])
+
+
 @query
 def table_counts(spark, sf_dir):
     """Silver is stored first: cleaned once, not for each count."""

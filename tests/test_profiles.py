@@ -1,0 +1,75 @@
+"""Mergeable profiles: exact counts, sketches within their bounds, runs merged without their rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import same_rows
+from tidemark.operators.profiles import COUNTS, measures, merge_profiles, profile, read_profiles, trend, write_profile
+
+COLUMNS = ["a", "n", "x", "none"]
+
+
+@pytest.fixture
+def runs(spark):
+    """Three runs of one table: a text of 4,000 values, a whole number, a double with gaps, a column of nulls."""
+    pick = random.Random(1)
+    rows = [
+        (r, pick.choice([None, "", " ", "no_value", *[f"v{k}" for k in range(4000)]]), pick.randrange(10**9),
+         pick.choice([None, float("nan"), float("inf"), pick.gauss(0, 1), pick.gauss(5, 1)]), None)
+        for r in range(3) for _ in range(6000)
+    ]
+    return spark.createDataFrame(rows, "r int, a string, n long, x double, none string").repartition(6)
+
+
+def test_counts_are_exact_and_sketches_close(runs):
+    got = {r.column_name: r for r in measures(profile(runs, COLUMNS), (0.1, 0.5, 0.9)).collect()}
+    exact = runs.agg(*[F.count_distinct(F.col(c).cast("string")).alias(c) for c in COLUMNS]).first()
+    for c in COLUMNS:
+        assert got[c].row_count == 18_000 and got[c].null_count == runs.where(F.col(c).isNull()).count()
+        assert abs(got[c].distinct_count - exact[c]) <= 0.05 * exact[c]
+    assert got["a"].blank_count == runs.where("trim(a) = ''").count() and got["none"].quantiles is None
+    assert got["a"].default_count == runs.where("a = 'no_value'").count()
+    finite = runs.where("x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')")
+    assert got["x"].number_count == finite.count()
+    for c, df in (("x", finite), ("n", runs)):
+        for q, value in zip((0.1, 0.5, 0.9), got[c].quantiles):
+            assert abs(df.where(F.col(c) <= value).count() / df.count() - q) < 0.02
+
+
+def test_merged_runs_are_as_profiled_together(spark, runs, folder):
+    for r in range(3):
+        write_profile(runs.where(F.col("r") == r), f"{folder}/p", f"2024010{r}", COLUMNS)
+    stored = read_profiles(spark, f"{folder}/p")
+    assert stored.count() == 3 * len(COLUMNS)
+    merged = merge_profiles(stored)
+    whole = profile(runs, COLUMNS)
+    assert same_rows(merged.select("column_name", *COUNTS), whole.select("column_name", *COUNTS))
+    together = measures(merged).join(measures(whole).withColumnsRenamed({"distinct_count": "d", "quantiles": "q"}), "column_name")
+    for r in together.collect():
+        assert abs(r.distinct_count - r.d) <= 0.05 * max(r.d, 1)
+        if r.quantiles:
+            assert r.quantiles[0] == r.q[0] and r.quantiles[2] == r.q[2]  # the ends are exact
+    # Two of the runs as one, the third by itself.
+    two = stored.withColumn("early", F.col("run") < "20240102")
+    assert {(r.early, r.row_count) for r in merge_profiles(two, ["early"]).collect()} == {(True, 12_000), (False, 6000)}
+    # A run profiled again replaces its rows.
+    write_profile(runs.where("r = 1").limit(10), f"{folder}/p", "20240101", COLUMNS)
+    assert read_profiles(spark, f"{folder}/p").where("run = '20240101'").agg(F.max("row_count")).first()[0] == 10
+
+
+def test_a_trend_reads_profiles_alone(spark, runs, folder):
+    for r in range(3):
+        gaps = runs.where(F.col("r") == r).withColumn("n", F.when(F.col("n") % 10 >= 2 * r, F.col("n")))
+        write_profile(gaps, f"{folder}/p", f"{r}", COLUMNS)
+    steps = {r.run: r for r in trend(read_profiles(spark, f"{folder}/p")).where("column_name = 'n'").collect()}
+    assert steps["0"].null_share_step is None and all(15 < steps[r].null_share_step < 25 for r in "12")
+    assert all(-1600 < steps[r].distinct_count_step < -800 for r in "12")
+
+
+def test_an_empty_run(spark, runs):
+    rows = {r.column_name: r for r in measures(profile(runs.limit(0), COLUMNS)).collect()}
+    assert set(rows) == set(COLUMNS) and all(r.row_count == r.distinct_count == 0 and r.quantiles is None for r in rows.values())
+    both = merge_profiles(profile(runs.limit(0), COLUMNS).union(profile(runs, COLUMNS)))
+    assert same_rows(both.select("column_name", *COUNTS), profile(runs, COLUMNS).select("column_name", *COUNTS))
