@@ -280,6 +280,23 @@ DIFF = f"""
         FROM ({_snapshot(T0)}) o FULL JOIN ({_snapshot(T2)}) n ON o.user_id = n.user_id
 """
 
+PAGE_REPORT = f"""
+    WITH numbered AS (SELECT CAST(id AS BIGINT) AS number, CAST(id AS BIGINT) // 250 AS page FROM ({RAW}) r),
+    found AS (
+        SELECT number, page FROM numbered WHERE page <> 1 AND (page <> 4 OR number % 2 = 0)
+        UNION ALL SELECT number, 3 FROM numbered WHERE page = 2 AND number % 3 = 0
+    ),
+    ranked AS (SELECT page, row_number() OVER (PARTITION BY number ORDER BY page) AS nth FROM found),
+    counts AS (
+        SELECT page, count(*) AS row_count, count(*) FILTER (nth > 1) AS repeated FROM ranked GROUP BY page
+    ),
+    plan AS (SELECT page, count(*) AS expected FROM numbered GROUP BY page)
+    SELECT CAST(p.page AS INTEGER) AS page, expected, coalesce(row_count, 0) AS row_count, coalesce(repeated, 0) AS repeated,
+           CASE WHEN row_count IS NULL THEN 'missing' WHEN row_count < expected THEN 'short'
+                WHEN row_count > expected THEN 'extra' ELSE 'ok' END AS status
+    FROM plan p LEFT JOIN counts c ON p.page = c.page
+"""
+
 ORACLE: dict[str, str] = {
     "fill_first_non_null": f"SELECT id, {STATE} AS state FROM ({RAW}) r",
     "fill_default": f"SELECT id, {COUNTRY} AS country FROM ({RAW}) r",
@@ -369,6 +386,8 @@ ORACLE: dict[str, str] = {
     """,
     "scd2_check": VIOLATIONS,
     "snapshot_pages": RAW,
+    "paged_snapshot": RAW,
+    "page_report": PAGE_REPORT,
     "land_snapshot": _stamped(T2),
     "latest_snapshot": _stamped(T2),
     "roundtrip_partitioned": SILVER,
