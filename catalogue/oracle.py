@@ -418,6 +418,17 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, k FROM (SELECT DISTINCT entity_type AS k FROM {_SECOND}) t
     """,
     "scd2_splice": _merged("close"),
+    "star_versions": f"""
+        SELECT e.event_id, e.user_id, e.ts, e.value, h.valid_from AS version_from, h.event_type
+        FROM events e LEFT JOIN ({_merged("close")}) h ON e.user_id = h.user_id
+            AND h.valid_from <= e.ts AND (h.valid_to IS NULL OR e.ts < h.valid_to)
+    """,
+    "star_as_of": f"""
+        SELECT e.event_id, e.user_id, e.ts, e.value, h.event_type
+        FROM events e LEFT JOIN ({_merged("close")}) h ON e.user_id = h.user_id
+            AND h.valid_from <= TIMESTAMP '2024-01-25' AND (h.valid_to IS NULL OR TIMESTAMP '2024-01-25' < h.valid_to)
+        WHERE e.ts <= TIMESTAMP '2024-01-25'
+    """,
     "stream_scd2_late": _merged("close"),
     "stream_scd2_late_log": DAILY_HISTORY,
     "run_metrics": " UNION ALL ".join(

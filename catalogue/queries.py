@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from catalogue.inputs import T0, T1, T2, daily_states, events, ntz, raw_entities, table, user_snapshot
 from tidemark import functions as fn
 from tidemark.operators import digests, intervals, model, ordered, profiles, quality, scd2
-from tidemark.plans import gold
+from tidemark.plans import gold, versioned
 from tidemark.plans.conform import address_of, conform, country_of, state_of
 from tidemark.schema import DEFAULT_SPEC, IS_CURRENT, VALID_FROM, VALID_TO
 from tidemark.session import scratch_path
@@ -28,6 +28,7 @@ RUN_2 = datetime(2025, 12, 2, 6, 0, 0)
 RUN_3 = datetime(2025, 12, 10, 6, 0, 0)
 STATE_COLUMNS = T.StructType().add("user_id", T.LongType()).add("event_type", T.StringType())
 
+AS_OF = datetime(2024, 1, 25)
 # The tables given are small.
 BUCKETS = 4
 
@@ -669,6 +670,48 @@ def scd2_splice(spark, sf_dir):
     return scd2.scd2_apply(merged, late, ["user_id"])
 
 
+FACT_COLUMNS = (
+    T.StructType().add("event_id", T.LongType()).add("user_id", T.LongType()).add("ts", T.TimestampNTZType())
+    .add("value", T.DoubleType())
+)
+
+
+def _versioned_facts(spark, sf_dir):
+    """Events keyed to versions of their users, of which the middle snapshot came after the events."""
+    log = events(spark, sf_dir)
+    history = _history_table(spark)
+    facts = versioned.fact_table(
+        spark, scratch_path(spark, "facts"), FACT_COLUMNS, ("event_id",), ("user_id",), T.TimestampNTZType(), BUCKETS
+    )
+    keys, tracked = ["user_id"], ["event_type"]
+    for at in (T0, T2):
+        history.take(
+            f"{at:%Y%m%d}",
+            lambda: scd2.scd2_merge(history.opened(), user_snapshot(log, at), keys, tracked, ntz(at), changes_only=True),
+        )
+    versioned.load_facts(facts, "all", log, history, "ts")
+    late = lambda: scd2.scd2_splice(
+        history.read(), user_snapshot(log, T1), keys, tracked, ntz(T1), ntz(T2), user_snapshot(log, T2)
+    )
+    history.take(f"{T1:%Y%m%d}", late)
+    versioned.follow_history(facts, history, "ts")
+    return facts, history
+
+
+@query
+def star_versions(spark, sf_dir):
+    """Each event with what was known of its user then, by the version key that it keeps."""
+    facts, history = _versioned_facts(spark, sf_dir)
+    return versioned.star_then(facts, history, ["event_type"])
+
+
+@query
+def star_as_of(spark, sf_dir):
+    """The same star as it stood at one instant."""
+    facts, history = _versioned_facts(spark, sf_dir)
+    return versioned.star_as_of(facts, history, ["event_type"], "ts", ntz(AS_OF)).drop(versioned.VERSION)
+
+
 def _three_runs(spark, sf_dir, order=((RUN_1,), (RUN_2, RUN_3))) -> tuple[str, VersionLog, T.StructType]:
     """Entities that change, go and come back over three runs, carried into gold in the steps given."""
     raw = raw_entities(spark, sf_dir)
