@@ -386,6 +386,17 @@ ORACLE: dict[str, str] = {
     """,
     "scd2_check": VIOLATIONS,
     "snapshot_pages": RAW,
+    "drift_rows": f"""
+        SELECT id, name, CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN longitude END AS longitude,
+               CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN CAST(id AS BIGINT) % 7 ELSE -1 END AS rating,
+               CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN 'unknown' END AS longitude_as_it_came
+        FROM ({RAW}) r
+    """,
+    "drift_report": f"""
+        SELECT 'rating' AS field, 'undeclared' AS kind, 'BIGINT' AS seen_type, count(*) AS row_count
+        FROM ({RAW}) r WHERE CAST(id AS BIGINT) % 3 = 0
+        UNION ALL SELECT 'longitude', 'ill-typed', 'STRING', count(*) FROM ({RAW}) r WHERE CAST(id AS BIGINT) % 5 = 0
+    """,
     "paged_snapshot": RAW,
     "page_report": PAGE_REPORT,
     "land_snapshot": _stamped(T2),

@@ -16,7 +16,7 @@ from tidemark.plans import gold, versioned
 from tidemark.plans.conform import address_of, conform, country_of, state_of
 from tidemark.schema import DEFAULT_SPEC, IS_CURRENT, VALID_FROM, VALID_TO
 from tidemark.session import scratch_path
-from tidemark.sources import pages, snapshot, tables
+from tidemark.sources import drift, pages, snapshot, tables
 from tidemark.sources.changes import VersionLog, version_log
 from tidemark.streaming import jobs
 
@@ -460,6 +460,39 @@ def snapshot_pages(spark, sf_dir):
     return snapshot.read_pages(spark, path, raw.schema, multi_line=False)
 
 
+DRIFT_SCHEMA = T.StructType().add("id", T.StringType()).add("name", T.StringType()).add("longitude", T.DoubleType())
+
+
+def _drifting(spark, sf_dir) -> DataFrame:
+    """Landed entities of which some have a field more, and some a text where a number should be."""
+    raw = raw_entities(spark, sf_dir)
+    number = F.col("id").cast("long")
+    line = F.to_json(
+        F.struct(
+            "id", "name",
+            F.when(number % 5 == 0, "unknown").otherwise(F.col("longitude").cast("string")).alias("longitude"),
+            F.when(number % 3 == 0, number % 7).alias("rating"),
+        )
+    )
+    path = scratch_path(spark, "drifting")
+    raw.select(line.alias("value")).write.text(path)
+    return drift.read_drifting(spark, path, DRIFT_SCHEMA)
+
+
+@query
+def drift_rows(spark, sf_dir):
+    """What fits is typed, the new field is promoted, and what does not fit is still there."""
+    rows = drift.promote(_drifting(spark, sf_dir), "rating", T.LongType())
+    kept = F.try_variant_get(drift.REST, "$.longitude", "string")
+    rating = F.coalesce("rating", F.lit(-1)).alias("rating")
+    return rows.select("id", "name", "longitude", rating, kept.alias("longitude_as_it_came"))
+
+
+@query
+def drift_report(spark, sf_dir):
+    return drift.drift_report(_drifting(spark, sf_dir), DRIFT_SCHEMA)
+
+
 PAGE_SIZE = 250
 
 
