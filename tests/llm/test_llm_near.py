@@ -192,6 +192,15 @@ def test_top_k_equals_brute_force(spark, seed, shard, spread):
     assert got == plain_top(rows)
 
 
+@pytest.mark.parametrize("size", [300_000.0, 3e6, 2e7])
+def test_top_k_keeps_finite_components_of_any_size(spark, size):
+    rnd = np.random.default_rng(7)
+    rows = [(k, rnd.normal(0, 1, 5).astype(np.float32).tolist()) for k in range(90)]
+    rows += [(100, [size, 1.0, 0.0, 0.0, 0.5]), (101, [size, 2.0, 0.0, 0.25, 0.0]), (102, [-size, 1.0, 0.0, 0.0, 0.0])]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, VECTORS), shard=40).select("query_id", "rank", "vec_id", "score").collect())
+    assert got == plain_top(rows) and {g[2] for g in got if g[0] == 100 and g[1] == 1} == {101}
+
+
 def test_top_k_with_few_vectors_and_repeats(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (20, [0.5, 0.5])]
     got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, VECTORS)).select("query_id", "rank", "vec_id", "score").collect())
