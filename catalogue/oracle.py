@@ -397,6 +397,7 @@ ORACLE: dict[str, str] = {
         FROM ({RAW}) r WHERE CAST(id AS BIGINT) % 3 = 0
         UNION ALL SELECT 'longitude', 'ill-typed', 'STRING', count(*) FROM ({RAW}) r WHERE CAST(id AS BIGINT) % 5 = 0
     """,
+    "stream_pages": RAW,
     "paged_snapshot": RAW,
     "page_report": PAGE_REPORT,
     "land_snapshot": _stamped(T2),

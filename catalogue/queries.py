@@ -19,6 +19,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import drift, pages, snapshot, tables
 from tidemark.sources.changes import VersionLog, version_log
 from tidemark.streaming import jobs
+from tidemark.streaming import pages as page_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -460,6 +461,22 @@ def snapshot_pages(spark, sf_dir):
     return snapshot.read_pages(spark, path, raw.schema, multi_line=False)
 
 
+@query
+def stream_pages(spark, sf_dir):
+    """Pages as a stream that is started twice; the second time half of them have come again."""
+    raw = raw_entities(spark, sf_dir)
+    page = F.floor(F.col("id").cast("long") / PAGE_SIZE).cast("int")
+    fetched = F.timestamp_seconds(F.lit(1_735_700_000) + F.col("page"))
+    rows = raw.withColumn("page", page).withColumn("fetched", fetched)
+    stamp = F.date_format(DEFAULT_SPEC.stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    base, out, checkpoint = (scratch_path(spark, n) for n in ("paged", "taken", "stream"))
+    for name, some in (("first", rows.where("page % 2 = 0")), ("second", rows)):
+        tables.write_table(some.withColumn(DEFAULT_SPEC.stamp, stamp), f"{base}/{name}", fmt="json", timestampFormat=snapshot.STAMP_FORMAT)
+        page_stream.stream_pages(spark, f"{base}/*", out, checkpoint, rows.schema, ["page", "id"], "fetched").awaitTermination()
+    taken = tables.read_table(spark, out, schema=rows.schema)
+    return page_stream.latest_entities(taken, ["id"], "fetched").select(*raw.columns)
+
+
 DRIFT_SCHEMA = T.StructType().add("id", T.StringType()).add("name", T.StringType()).add("longitude", T.DoubleType())
 
 
