@@ -115,6 +115,7 @@ def test_a_component_of_any_size(spark):
 
 def test_a_hot_vector_is_not_carried_more_often_than_it_counts(spark):
     rows = vectors(120, 4, 3, labels=2)
-    rows += [(7, [9 * c for c in rows[0][1]], rows[0][2])] * 3000
+    copy, other = [9 * c for c in rows[0][1]], [6.5 * c for c in rows[0][1]]
+    rows += [(7, copy, rows[0][2])] * 3000 + [(130, other, 1 - rows[0][2])]
     got = found(spark, rows)
     assert set(got) == plain(rows) and {g[1] for g in got if g[0] == 0} == {7} and len(got) < 120
