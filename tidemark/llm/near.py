@@ -4,11 +4,13 @@ Documents with equal sets form a class; classes are what is compared. Every
 class has ``TREES`` signatures of ``DEPTH`` MinHash values. A tree is the sorted order
 of one signature: classes whose signatures share a long prefix lie next to each
 other. Neighbours are candidates if their common prefix is long enough: ``SHORT``
-values, and more where the region is dense. What that may part, the classes of
-dense regions, meets again in ``MORE`` trees of its own, where equal signatures
-are candidates however many they are. Candidates that hang together are
+values, and more where the region is dense. Candidates that hang together are
 compared, every pair, in tiles of bounded size on their whole sets; a tile
-reports a spanning forest of the links it finds.
+reports a spanning forest of the links it finds. What depth may have parted are
+classes of a dense region; where these are of one component now, as a family of near
+copies is, no link can be missing that matters. The classes of the other
+dense regions meet again in ``MORE`` trees of their own, where equal signatures
+are candidates however many they are, and what is found there is compared as well.
 """
 
 from __future__ import annotations
@@ -112,9 +114,9 @@ def _prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _neighbours(short: int):
-    """Sorted rows (tree, sorted, key) to links of neighbours, the ends of the partition, and keys of dense regions.
+    """Sorted rows (tree, sorted, key) to links of neighbours, the ends of the partition, and dense regions with their keys.
 
-    Regions that begin or end a partition may be dense in the next one, so their keys count as dense.
+    Regions that begin or end a partition may be dense in the next one, so they count as dense.
     """
 
     def out(a, b, region, dense):
@@ -124,6 +126,12 @@ def _neighbours(short: int):
     def region(row):
         return "-".join(map(str, row[: short + 1]))
 
+    def members(rows, keys):
+        first, number = np.unique(rows[:, : short + 1], axis=0, return_inverse=True)
+        names = np.array([region(r) for r in first], object)
+        none = [None] * len(keys)
+        return out(none, none, names[number.ravel()] if len(keys) else none, keys)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, keys, first = np.zeros((0, DEPTH + 1), np.uint16), np.zeros(0, object), None
         for batch in batches:
@@ -149,19 +157,18 @@ def _neighbours(short: int):
             # A region turns dense DENSE rows after its first row, which is still held.
             nth = np.cumsum(np.concatenate([[True], (rows[1:, : short + 1] != rows[:-1, : short + 1]).any(1)]))
             dense = np.isin(nth, nth[at[far >= short]]) | (rows[:, : short + 1] == first).all(1)
-            found = np.unique(keys[dense])
-            yield out([None] * len(found), [None] * len(found), [None] * len(found), found)
+            yield members(rows[dense], keys[dense])
             rows, keys = rows[-DENSE:], keys[-DENSE:]
         if first is not None:
             yield out([keys[-1]], [None], [region(rows[-1])], [None])
-            found = keys[(rows[:, : short + 1] == rows[-1, : short + 1]).all(1)]
-            yield out([None] * len(found), [None] * len(found), [None] * len(found), found)
+            last = (rows[:, : short + 1] == rows[-1, : short + 1]).all(1)
+            yield members(rows[last], keys[last])
 
     return run
 
 
 def candidates(classes: DataFrame, trees: int = TREES, short: int = SHORT) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) between keys of classes (key, signature) that are neighbours in some tree; keys of dense regions.
+    """Links (a, b) between keys of classes (key, signature) that are neighbours in some tree; dense regions (region, key).
 
     The rows of a tree are range-partitioned in sorted order, so a region may
     lie in several partitions. Where it does, it is the first or the last of
@@ -180,10 +187,10 @@ def candidates(classes: DataFrame, trees: int = TREES, short: int = SHORT) -> tu
         .mapInArrow(_neighbours(short), "a string, b string, region string, dense string"),
         "neighbours",
     )
-    ends = found.where("region IS NOT NULL").select("region", "a")
+    ends = found.where("region IS NOT NULL AND dense IS NULL").select("region", "a")
     least = ends.groupBy("region").agg(F.min("a").alias("b"))
     links = found.where("b IS NOT NULL").select("a", "b").union(ends.join(least, "region").select("a", "b"))
-    return links, found.where("dense IS NOT NULL").select(F.col("dense").alias("key")).distinct()
+    return links, found.where("dense IS NOT NULL").select("region", F.col("dense").alias("key"))
 
 
 def tile_links(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int):
@@ -228,7 +235,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
 
     A group of equal sets, of whatever size, is one class. Hot regions of the
     trees are spread over partitions, large candidate groups over tiles. Classes
-    of dense regions are read a second time for the signatures of their own trees.
+    of dense regions with several components are read again for the signatures of their own trees.
     """
     percent = round(similarity * 100)
     sketched = stored(sketches(docs, width), "sketches")
@@ -240,11 +247,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
         "classes",
     )
     links, dense = candidates(classes)
-    again = stored(classes.join(dense, "key", "left_semi").select("key", "doc_id"), "dense")
-    more, _ = candidates(stored(_signed_again(docs, again, width), "signatures"), MORE, DEPTH)
-    groups = components(links.union(more)).withColumnRenamed("node", "key").withColumnRenamed("root", "group")
-    members = stored(groups.join(classes.select("key", "doc_id", "n"), "key"), "members")
-    links = components(_confirmed(docs, members, percent, width))
+    confirmed = stored(_confirmed(docs, _members(links, classes), percent, width), "links-confirmed")
+    again = stored(_parted(classes, dense, components(confirmed)), "parted")
+    if not again.isEmpty():
+        more, _ = candidates(stored(_signed_again(docs, again, width), "signatures"), MORE, DEPTH)
+        found = _confirmed(docs, _members(more, again), percent, width)
+        confirmed = confirmed.unionByName(stored(found, "links-confirmed"))
+    links = components(confirmed)
     roots = links.withColumnRenamed("node", "key").join(classes.select("key", "doc_id"), "key")
     named = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = roots.select("key", "root").join(named, "root").select("key", "component_id")
@@ -258,6 +267,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
     )
 
 
+def _members(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """group, key, doc_id, n of the classes that candidate links hang together; those of one ``component`` already are left out."""
+    groups = components(links).withColumnRenamed("node", "key").withColumnRenamed("root", "group")
+    members = stored(groups.join(classes.drop("signature"), "key"), "members")
+    if "component" not in classes.columns:
+        return members
+    mixed_ = members.groupBy("group").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
+    return stored(members.join(mixed_.select("group"), "group", "left_semi").drop("component"), "members")
+
+
+def _parted(classes: DataFrame, dense: DataFrame, linked: DataFrame) -> DataFrame:
+    """key, doc_id, n, component of the classes in dense regions that hold classes of several components."""
+    rows = dense.join(linked.withColumnRenamed("node", "key"), "key", "left").select(
+        "region", "key", F.coalesce("root", "key").alias("component")
+    )
+    mixed_ = rows.groupBy("region").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
+    keys = rows.join(mixed_.select("region"), "region", "left_semi").select("key", "component").distinct()
+    return classes.select("key", "doc_id", "n").join(keys, "key")
+
+
 def _with_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes with the texts of their doc_id, of which ``_own_sets`` takes the right ones."""
     return small_batches(docs).select(F.col("doc_id").alias("_doc"), "text").join(
