@@ -65,3 +65,12 @@ def test_a_kept_field_can_be_promoted(rows):
     assert got.columns == ["id", "n", "x", "a b", "new", REST, BROKEN]
     wider = promote(rows.withColumn("n", F.col("n").cast("long")), "n", T.LongType())
     assert {r.id: r.n for r in wider.collect() if r.n} == {"1": 5, "2": 7, "4": 12345678901}
+
+
+def test_the_report_reads_and_parses_a_line_once(spark, folder):
+    spark.createDataFrame([(t,) for t in LINES if t], "value string").write.text(f"{folder}/landed")
+    report = drift_report(read_drifting(spark, f"{folder}/landed", SCHEMA), SCHEMA)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Filter" not in plan
+    assert plan.count("from_json(MapType(StringType,VariantType,true), value") == 1, plan
+    assert report.where("field IS NULL").first()["row_count"] == 2
