@@ -2,12 +2,14 @@
 
 import random
 from datetime import datetime
+from glob import glob
 
 import pytest
 
 from frames import as_set, same_rows
 from tidemark.operators.model import fact_sk, kind_dim_sk, location_dim_sk, star_view_sk, type_location_agg
 from tidemark.operators.scd2 import scd2_check
+from tidemark.plans import gold
 from tidemark.plans.gold import history_table, read_gold, read_star, runs_to_star
 from tidemark.plans.maintain import gold_logs, refresh, rows_written
 from tidemark.schema import ENTITY_SCHEMA, EntitySpec
@@ -118,3 +120,27 @@ def test_a_refresh_that_died_half_way_goes_on(spark, folder):
     for name, want in rebuilt(table).items():
         assert same_rows(read_gold(spark, f"{folder}/out")[name], want)
     assert as_set(logs["location"].read().select("city_name", "member_count")) == {("d", 1)}
+
+
+def test_buckets_follow_the_first_run_and_only_the_run_moves(spark, folder, monkeypatch):
+    """With more partitions than buckets, too, the history stays where it is, and changes are written from there."""
+    monkeypatch.setattr(gold, "ROWS_PER_BUCKET", 20)
+
+    def taken(day, count, cities):
+        land(spark, folder, {f"e{i}": {"city": f"c{i % cities}"} for i in range(count)}, day)
+        return runs_to_star(spark, f"{folder}/in", f"{folder}/out", buckets=2)
+
+    taken(1, 55, 3), taken(5, 50, 4)
+    table = taken(3, 60, 5)  # late
+    logs = gold_logs(spark, f"{folder}/out", table.columns)
+    assert [log.width() for log in (table, *logs.values())] == [3] * 5
+    for log in (table, logs["fact"]):
+        for batch in log.batches():
+            files = glob(f"{log.path}/buckets=3/batch={batch}/*.parquet")
+            assert len(files) == len({name.rsplit("_", 1)[1] for name in files}) == 3
+    for run in glob(f"{folder}/in/year=*/month=*/day=*/run=*"):
+        assert glob(f"{run}/*.json.gz") and not glob(f"{run}/*.json")
+    assert scd2_check(table.read(), ["id"]).isEmpty() and table.opened().count() == 50
+    for name, want in rebuilt(table).items():
+        kept = read_gold(spark, f"{folder}/out")[name]
+        assert same_rows(kept, want), name

@@ -145,8 +145,8 @@ def kind_dim_sk(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame
     )
 
 
-def fact_sk(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
-    """The fact with a surrogate key per dimension next to the natural keys."""
+def fact_sk(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC, *more: str) -> DataFrame:
+    """The fact with a surrogate key per dimension next to the natural keys, and ``more`` columns as they are."""
     keyed = _current(silver).withColumns(
         {
             LOCATION_SK: surrogate_key(silver, location_columns(spec)),
@@ -154,7 +154,7 @@ def fact_sk(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
         }
     )
     return build_fact(
-        keyed, {**fact_mapping(spec), LOCATION_SK: LOCATION_SK, KIND_SK: KIND_SK}
+        keyed, {**fact_mapping(spec), LOCATION_SK: LOCATION_SK, KIND_SK: KIND_SK, **{c: c for c in more}}
     )
 
 

@@ -73,21 +73,22 @@ def _pair(old: DataFrame, new: DataFrame, keys: Sequence[str], single: bool = Fa
     """
     # Old keys stay the columns they are, so that an old side bucketed by them need not move.
     left = old.select(*keys, _with_keys(keys, F.struct(*old.columns)).alias("_old"))
-    right = new.select(*[_required(k) for k in keys], F.struct(*new.columns).alias("_new"))
     if single:
-        right = _single(right, keys)
+        right = _single(new.select(*keys, F.struct(*new.columns).alias("_new")), keys)
+    else:
+        right = new.select(*[_required(k) for k in keys], F.struct(*new.columns).alias("_new"))
     return left.join(right, list(keys), "full_outer")
 
 
 def _single(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``rows`` with a failing column ``_once`` if a key comes twice, counted per key.
+    """``rows`` with a failing column ``_once`` if a key is null or comes twice, counted per key.
 
     The count shuffles by key, as a join on the keys does, which then needs no
-    further exchange.
+    further exchange. The keys stay the columns they are: rows that are dealt out by them need not move.
     """
     times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     twice = F.raise_error(F.lit("snapshot holds an entity key more than once"))
-    return rows.withColumn("_once", F.when(times > 1, twice).otherwise(F.lit(True)))
+    return rows.withColumn("_once", _with_keys(keys, F.when(times > 1, twice).otherwise(F.lit(True))))
 
 
 def _action(tracked: Sequence[str]) -> Column:
@@ -285,17 +286,19 @@ def scd2_splice(
     payload = [c for c in versions.columns if c not in SCD2_COLUMNS]
     start = versions.schema[VALID_FROM].dataType
     at = instant(at, start)
-    # One row per key on either side, each made where its rows are; only the snapshots move.
+    # One row per key on either side, each made where its rows are; only the snapshots move. A version goes
+    # on where the following snapshot says what it says, so that one is read for the other columns alone.
+    others = [c for c in payload if c not in (*keys, *tracked)]
     whole, begin, end = F.struct(*versions.columns), F.col(VALID_FROM), F.col(VALID_TO)
     spans, behind = (begin <= at) & (end.isNull() | (end > at)), begin > at
     history = versions.groupBy(*keys).agg(
         F.max_by(F.when(spans, whole), F.when(spans, begin)).alias("_old"),
         F.min_by(F.when(behind, whole), F.when(behind, begin)).alias("_next"),
     )
-    said = snapshot.select(*[_required(k) for k in keys], F.struct(*payload).alias("_new"))
+    said = snapshot.select(*keys, _with_keys(keys, F.struct(*payload)).alias("_new"))
     if following is not None:
         time = F.col(until).cast(start) if on_missing == "keep" else instant(until, start)
-        words = following.select(*keys, F.struct(*payload).alias("_following"), time.alias("_until"))
+        words = following.select(*keys, F.struct(F.lit(True).alias("_said"), *others).alias("_following"), time.alias("_until"))
         said = said.unionByName(words, allowMissingColumns=True)
     else:
         said = said.withColumns({"_following": F.lit(None), "_until": F.lit(None).cast(start)})
@@ -340,9 +343,11 @@ def scd2_splice(
             version(after, after[VALID_FROM], after[VALID_TO], F.lit(False), gone=True),
         ),
     ).otherwise(F.array(version(new, at, finish, finish.isNull())))
-    rest = F.struct(*[F.when(F.col("_following").isNull(), old[c]).otherwise(F.col("_following")[c]).alias(c) for c in payload]) if (
-        following is not None
-    ) else old
+    rest = old
+    if following is not None:
+        word = F.col("_following")
+        own = [c for c in payload if c not in others]
+        rest = F.struct(*[old[c].alias(c) for c in own], *[F.when(word.isNull(), old[c]).otherwise(word[c]).alias(c) for c in others])
     resumed = F.when(goes_on, F.array(version(rest, end, old[VALID_TO], old[IS_CURRENT]))).otherwise(none)
     once = F.coalesce("_once", F.lit(True))  # asked first, so that it is looked at
     same = old.isNotNull() & new.isNotNull() & states(old).eqNullSafe(states(new))

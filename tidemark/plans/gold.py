@@ -35,6 +35,10 @@ from tidemark.sources.snapshot import (
 from tidemark.sources.tables import WriteMetrics, read_table, verify_write, write_table
 
 
+# Rows of a run that a task sorts at once, history beside them.
+ROWS_PER_BUCKET = 100_000
+
+
 def gold_tables(silver: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> dict[str, DataFrame]:
     return {
         "dim_location": location_dim(silver, spec),
@@ -136,14 +140,20 @@ def runs_to_star(
     changed ingest time alone is no change. A run that finishes late is spliced in
     where it belongs. Running it again changes nothing. What is written, history and
     gold, follows the changes. ``read_star`` and ``read_gold`` give the result.
-    ``buckets`` are for new tables: choose them so that one bucket of all current entities suits a task.
+    A new history gets ``buckets``, or as many as the first run has ``ROWS_PER_BUCKET`` rows, if that is more.
     """
+    news = list(open_runs(finished_runs(spark, base), history_table(spark, out, spec, schema, buckets).runs()))
+    if news:
+        buckets = max(buckets, -(-read_snapshot(spark, news[0][0], schema).count() // ROWS_PER_BUCKET))
     table = history_table(spark, out, spec, schema, buckets)
+    buckets = table.width()
     payload = [c for c in table.columns.names if c not in SCD2_COLUMNS]
     tracked = [c for c in payload if c not in (spec.id, "updated_at", "updated_date")]
 
     def entities(run: Snapshot) -> DataFrame:
-        return conform(read_snapshot(spark, run, schema), spec).select(*payload)
+        # Dealt out as the history is, before columns are added: this is all that moves.
+        dealt = read_snapshot(spark, run, schema).repartition(buckets, spec.id)
+        return conform(dealt, spec).select(*payload)
 
     def changes(run: Snapshot, later: list[Snapshot]) -> DataFrame:
         rows, at = entities(run), _time(run)
@@ -158,8 +168,8 @@ def runs_to_star(
         following = known.groupBy(spec.id).agg(F.min_by(row, "_time").alias("_row")).select(spec.id, "_row.*")
         return scd2_splice(table.read(), rows, [spec.id], tracked, at, "_time", following, "keep")
 
-    for run, later in open_runs(finished_runs(spark, base), table.runs()):
-        table.take(run.run, lambda: changes(run, later))
+    for run, later in news:
+        table.take(run.run, lambda: changes(run, later), placed=True)
     refresh(table, gold_logs(spark, out, table.columns, spec, buckets), spec)
     return table
 

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.model import KIND_SK, LOCATION_SK, fact_sk, kind_dim_sk, location_columns, location_dim_sk, surrogate_key
+from tidemark.operators.ordered import latest_per_key
 from tidemark.schema import DEFAULT_SPEC, EntitySpec
 from tidemark.session import scratch_path
 from tidemark.sources.changes import BUCKETS, GONE, SIGN, ChangeLog, VersionLog
-from tidemark.sources.tables import WriteMetrics, read_table, write_table
+from tidemark.sources.tables import WriteMetrics
 
 GROUP_SK, MEMBERS = "group_sk", "member_count"
 FACT, LOCATION, KIND, ROLLUP = "fact", "location", "kind", "rollup"
@@ -38,7 +39,12 @@ def gold_logs(
         KIND: (kind_dim_sk(empty, spec).schema.add(MEMBERS, "long"), KIND_SK),
         ROLLUP: (rollup.add("last_updated", history["updated_at"].dataType), GROUP_SK),
     }
-    return {n: ChangeLog(spark, f"{out}/{n}", columns, (key,), buckets=buckets) for n, (columns, key) in tables.items()}
+    # Facts are as many as entities and lie as the history does. Members and groups are fewer.
+    fewer = max(min(buckets, BUCKETS), buckets // BUCKETS)
+    return {
+        n: ChangeLog(spark, f"{out}/{n}", columns, (key,), buckets=buckets if n == FACT else fewer)
+        for n, (columns, key) in tables.items()
+    }
 
 
 def _group(spec: EntitySpec) -> list[str]:
@@ -53,26 +59,31 @@ def refresh(history: VersionLog, logs: dict[str, ChangeLog], spec: EntitySpec =
     """
     batches = history.batches()
     steps = {FACT: _facts, LOCATION: _locations, KIND: _kinds, ROLLUP: _rollup}
-    written, signed = {}, {}
+    written, signed, stored = {}, {}, []
     for name, log in logs.items():
         after = max(log.runs(), default="")
         if not batches or after == batches[-1]:
             continue
         if after not in signed:
-            # Stored: all tables read it, and it is as small as the changes.
-            path = scratch_path(history.spark, "signed")
-            changes = history.signed(after, batches[-1])
-            write_table(changes, path)
-            signed[after] = read_table(history.spark, path, schema=changes.schema)
-        written[name] = log.take(batches[-1], lambda: steps[name](signed[after], log, history, batches[-1], spec))
+            # Stored: all tables read it, and it is as small as the changes. It lies as the history does.
+            path, columns = scratch_path(history.spark, "signed"), T.StructType(list(history.columns)).add(SIGN, T.IntegerType())
+            changes = ChangeLog(history.spark, path, columns, (*history.keys, SIGN), history.by, history.width())
+            changes.take("all", lambda: history.signed(after, batches[-1]), placed=True)
+            stored.append(changes)
+            signed[after] = changes.rows().select(*columns.names)
+        placed = name == FACT and log.width() == history.width()
+        written[name] = log.take(
+            batches[-1], lambda: steps[name](signed[after], log, history, batches[-1], spec), placed=placed
+        )
+    for changes in stored:
+        changes.forget()
     return written
 
 
 def _facts(signed: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
-    come = fact_sk(signed.where(F.col(SIGN) > 0).drop(SIGN), spec)
-    went = signed.where(F.col(SIGN) < 0).select(F.col(spec.id).alias(spec.id_column)).distinct()
-    gone = went.join(come.select(spec.id_column), spec.id_column, "left_anti").withColumn(GONE, F.lit(True))
-    return come.withColumn(GONE, F.lit(False)).unionByName(gone, allowMissingColumns=True)
+    # What came counts before what went; an entity of which only something went is gone.
+    last = latest_per_key(signed, [spec.id], [SIGN])
+    return fact_sk(last.withColumn(GONE, F.col(SIGN) < 0), spec, GONE)
 
 
 def _counted(signed: DataFrame, key: Column, name: str, columns: dict[str, str], log: ChangeLog, *more: Column) -> DataFrame:

@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +48,13 @@ class ChangeLog:
     by: tuple[str, ...] = ()
     buckets: int = BUCKETS
 
-    def _buckets(self) -> int:
+    def width(self) -> int:
+        """The number of buckets: of the data or, without any, for a new table."""
         found = [n for n in entries(self.spark, self.path) if n.startswith("buckets=")]
         return int(found[0].split("=")[1]) if found else self.buckets
 
     def _root(self) -> str:
-        return f"{self.path}/buckets={self._buckets()}"
+        return f"{self.path}/buckets={self.width()}"
 
     def batches(self) -> list[str]:
         """The runs taken, each with its number in front, in the order they were taken in."""
@@ -65,6 +66,16 @@ class ChangeLog:
         """Names of the runs taken, in order of names."""
         return sorted(n.split("-", 1)[1] for n in self.batches())
 
+    def _entry(self) -> tuple[str, str]:
+        """The name of the table in the catalog, and its columns."""
+        stored = T.StructType(list(self.columns)).add(GONE, T.BooleanType())
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored)
+        return "changes_" + hashlib.md5(f"{self._root()} {listed} {self.by or self.keys}".encode()).hexdigest(), listed
+
+    def forget(self) -> None:
+        """Drop the catalog's entry; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._entry()[0]}")
+
     def rows(self, upto: str | None = None, after: str = "") -> DataFrame:
         """Every change with its ``batch``, of batches later than ``after``, up to ``upto``."""
         done = self.batches()
@@ -72,9 +83,8 @@ class ChangeLog:
         stored = T.StructType(list(self.columns)).add(GONE, T.BooleanType())
         if not wanted:
             return self.spark.createDataFrame([], stored.add(BATCH, T.StringType()))
-        by, n, root = self.by or self.keys, self._buckets(), self._root()
-        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored)
-        name = "changes_" + hashlib.md5(f"{root} {listed} {by}".encode()).hexdigest()
+        by, n, root = self.by or self.keys, self.width(), self._root()
+        name, listed = self._entry()
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({listed}, {BATCH} STRING) USING parquet PARTITIONED BY ({BATCH}) "
             f"CLUSTERED BY ({', '.join(f'`{c}`' for c in by)}) INTO {n} BUCKETS LOCATION '{root}'"
@@ -89,18 +99,23 @@ class ChangeLog:
         rows = latest_per_key(self.rows(upto), list(self.keys), [BATCH])
         return rows.where(~F.col(GONE)).select(*self.columns.names)
 
-    def take(self, run: str, changes: Callable[[], DataFrame]) -> WriteMetrics | None:
-        """Add the rows that a run changes, once; None if it was taken before."""
+    def take(self, run: str, changes: Callable[[], DataFrame], placed: bool = False) -> WriteMetrics | None:
+        """Add the rows that a run changes, once; None if it was taken before.
+
+        ``placed`` says that the rows of a bucket are in one task already, as they are where only
+        tables with as many buckets met: they are written from there. Were they not, buckets would have more files.
+        """
         done = self.batches()
         if run in {b.split("-", 1)[1] for b in done}:
             return None
         number = int(done[-1].split("-")[0]) + 1 if done else 0
-        started, seen, n, by = time.monotonic(), Observation(), self._buckets(), self.by or self.keys
+        started, seen, n, by = time.monotonic(), Observation(), self.width(), self.by or self.keys
         rows = changes()
         if GONE not in rows.columns:
             rows = rows.withColumn(GONE, F.lit(False))
-        # One task per bucket, so one file each; what is dealt out like this already stays where it is.
-        dealt = rows.select(*self.columns.names, GONE).repartition(n, *by)
+        # One task per bucket, so one file each.
+        dealt = rows.select(*self.columns.names, GONE)
+        dealt = dealt if placed else dealt.repartition(n, *by)
         folder, name = f"{self._root()}/{BATCH}={number:06d}-{run}", f"taken_{uuid.uuid4().hex}"
         remove(self.spark, folder)
         counted = dealt.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -135,12 +150,16 @@ class VersionLog(ChangeLog):
 
         Versions that were open before, and still are as they were, are not among them.
         """
-        touched = self.rows(upto, after).select(*self.keys).distinct()
-        then = latest_per_key(self.rows(upto).join(touched, list(self.keys), "left_semi"), list(self.keys), [BATCH])
-        come = then.where(F.col(IS_CURRENT) & ~F.col(GONE)).select(*self.columns.names, F.lit(1).alias(SIGN))
         if not after:
-            return come
-        before = latest_per_key(self.rows(after).join(touched, list(self.keys), "left_semi"), list(self.keys), [BATCH])
-        went = before.where(F.col(IS_CURRENT) & ~F.col(GONE)).select(*self.columns.names, F.lit(-1).alias(SIGN))
-        both = come.unionByName(went).groupBy(*self.columns.names).agg(F.sum(SIGN).cast("int").alias(SIGN))
-        return both.where(F.col(SIGN) != 0)
+            return self.opened(upto).select(*self.columns.names, F.lit(1).alias(SIGN))
+        # The latest row of a key before and the latest since, side by side in one pass over the buckets.
+        ends = latest_per_key(self.rows(upto).withColumn("_old", F.col(BATCH) <= after), [*self.keys, "_old"], [BATCH])
+        open_row = F.when(F.col(IS_CURRENT) & ~F.col(GONE), F.struct(*self.columns.names))
+        pair = Window.partitionBy(*self.keys).orderBy("_old")
+        ends = ends.select(*self.keys, "_old", open_row.alias("_row"))
+        ends = ends.withColumns({"_since": F.lag("_old").over(pair).isNotNull(), "_before": F.lead("_row").over(pair), "_now": F.lag("_row").over(pair)})
+        old = F.col("_old")
+        kept = F.col("_row").isNotNull() & F.when(old, F.col("_since") & ~F.col("_row").eqNullSafe(F.col("_now"))).otherwise(
+            ~F.col("_row").eqNullSafe(F.col("_before"))
+        )
+        return ends.where(kept).select("_row.*", F.when(old, -1).otherwise(1).alias(SIGN))

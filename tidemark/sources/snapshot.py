@@ -29,6 +29,8 @@ RUN_FORMAT = "%Y%m%d_%H%M%S"
 # Folder below the base that gets a line for every finished run, and its columns.
 FINISHED = "finished"
 RUN_COLUMNS = "run string, path string, row_count long"
+# A compressed file does not split, so it gets no more rows than a task should read.
+COMPRESSION, ROWS_PER_FILE = "gzip", 250_000
 
 
 def stamp(df: DataFrame, at, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
@@ -68,11 +70,13 @@ def run_path(base: str, at: datetime) -> str:
 
 
 def land_snapshot(df: DataFrame, base: str, at: datetime) -> WriteMetrics:
-    """Write a snapshot as JSON lines below ``base`` and announce it; returns path, rows and seconds."""
+    """Write a snapshot as compressed JSON lines below ``base`` and announce it; returns path, rows and seconds."""
     written = write_table(
         df,
         run_path(base, at),
         fmt="json",
+        compression=COMPRESSION,
+        maxRecordsPerFile=ROWS_PER_FILE,
         timestampFormat=STAMP_FORMAT,
         timestampNTZFormat=STAMP_FORMAT_NTZ,
     )
