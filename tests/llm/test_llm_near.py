@@ -88,6 +88,44 @@ def test_pairs_in_dense_regions_are_all_found(documents, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_regions_whose_pairs_can_be_compared_are_not_signed_again(documents, monkeypatch):
+    def signed_again(*_):
+        raise AssertionError("second trees")
+
+    monkeypatch.setattr(near, "DENSE", 5)
+    monkeypatch.setattr(near, "_signed_again", signed_again)
+    rows = list(enumerate(family(random.Random(3), 90, 60)))
+    want = plain_components(rows, 85)
+    assert len({root for _, _, root in want}) > 1
+    got = near.near_duplicates(documents([(i, t, "en", "s") for i, t in rows]), similarity=0.85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == want
+
+
+def test_strays_meet_all_of_a_dense_region(spark, documents, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_SETS", 12)
+    rows = list(enumerate(family(random.Random(8), 50, 120)))
+    docs = documents([(i, t, "en", "s") for i, t in rows])
+    classes = near.sketches(docs).selectExpr("key", "doc_id", "n_shingles AS n").dropDuplicates(["key"]).cache()
+    ids = {r.key: r.doc_id for r in classes.orderBy("doc_id").collect()}
+    keys = list(ids)
+    linked, dense = keys[10:], spark.createDataFrame([("r", k) for k in keys] * 2, "region string, key string")
+    links = spark.createDataFrame(list(zip(linked[:-1], linked[1:])), "a string, b string")
+    members = near._members(links, classes.withColumn("signature", classes.key))
+    few, again = near._parted(classes, dense, members)
+    assert again.isEmpty() and few.where("stray").count() == 10 and few.count() == len(keys)
+    placed = near._placed(members), near._beside(few)
+    pairs = [tuple(r) for p in placed for r in near._confirmed(docs, p, 85, near.SHINGLE).collect()]
+    found = components.components(spark.createDataFrame(pairs, "a string, b string")).collect()
+    root = {r.node: r.root for r in found}
+    named = {int(i): w for i, _, w in plain_components(rows, 85)}
+    want = [named[i] for i in ids.values()]
+    own = [root.get(k, k) for k in keys]
+    assert len(set(own)) == len(set(want)) == len(set(zip(own, want))) and len(set(own[:10]) & set(own[10:]))
+    monkeypatch.setattr(near, "BLOCK_SETS", 9)
+    few, again = near._parted(classes, dense, members)
+    assert few.isEmpty() and again.count() == len(keys)
+
+
 def test_near_duplicates_of_nothing(documents):
     assert near.near_duplicates(documents([])).count() == 0
     got = near.near_duplicates(documents([(1, None, None, None)])).collect()

@@ -7,10 +7,11 @@ other. Neighbours are candidates if their common prefix is long enough: ``SHORT`
 values, and more where the region is dense. Candidates that hang together are
 compared, every pair, in tiles of bounded size on their whole sets; a tile
 reports a spanning forest of the links it finds. What depth may have parted are
-classes of a dense region; where these are of one component now, as a family of near
-copies is, no link can be missing that matters. The classes of the other
-dense regions meet again in ``MORE`` trees of their own, where equal signatures
-are candidates however many they are, and what is found there is compared as well.
+classes of a dense region; where these hang together, as a family of near copies
+does, all their pairs have been compared. Where a region holds a family and
+strays that hang together with others or none, the strays are compared with all of it. Only where
+strays are more than a block, the classes of the region meet again in ``MORE`` trees of their own, where equal
+signatures are candidates however many they are, and what is found there is compared as well.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, stored
@@ -234,8 +235,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
     are read.
 
     A group of equal sets, of whatever size, is one class. Hot regions of the
-    trees are spread over partitions, large candidate groups over tiles. Classes
-    of dense regions with several components are read again for the signatures of their own trees.
+    trees are spread over partitions, large candidate groups over tiles. Strays of dense regions are
+    compared with all of these; classes of regions with too many are read again for the signatures of their own trees.
     """
     percent = round(similarity * 100)
     sketched = stored(sketches(docs, width), "sketches")
@@ -247,11 +248,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
         "classes",
     )
     links, dense = candidates(classes)
-    confirmed = stored(_confirmed(docs, _members(links, classes), percent, width), "links-confirmed")
-    again = stored(_parted(classes, dense, components(confirmed)), "parted")
+    members = _members(links, classes)
+    confirmed = stored(_confirmed(docs, _placed(members), percent, width), "links-confirmed")
+    few, again = _parted(classes, dense, members)
+    if not few.isEmpty():
+        found = _confirmed(docs, _beside(few), percent, width)
+        confirmed = confirmed.unionByName(stored(found, "links-confirmed"))
     if not again.isEmpty():
         more, _ = candidates(stored(_signed_again(docs, again, width), "signatures"), MORE, DEPTH)
-        found = _confirmed(docs, _members(more, again), percent, width)
+        found = _confirmed(docs, _placed(_members(more, again)), percent, width)
         confirmed = confirmed.unionByName(stored(found, "links-confirmed"))
     links = components(confirmed)
     roots = links.withColumnRenamed("node", "key").join(classes.select("key", "doc_id"), "key")
@@ -268,23 +273,32 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
 
 
 def _members(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """group, key, doc_id, n of the classes that candidate links hang together; those of one ``component`` already are left out."""
+    """group, key, doc_id, n of the classes that candidate links hang together; those that were ``compared`` already are left out."""
     groups = components(links).withColumnRenamed("node", "key").withColumnRenamed("root", "group")
     members = stored(groups.join(classes.drop("signature"), "key"), "members")
-    if "component" not in classes.columns:
+    if "compared" not in classes.columns:
         return members
-    mixed_ = members.groupBy("group").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
-    return stored(members.join(mixed_.select("group"), "group", "left_semi").drop("component"), "members")
+    mixed_ = members.groupBy("group").agg(F.min("compared").alias("_a"), F.max("compared").alias("_b")).where("_a <> _b")
+    return stored(members.join(mixed_.select("group"), "group", "left_semi").drop("compared"), "members")
 
 
-def _parted(classes: DataFrame, dense: DataFrame, linked: DataFrame) -> DataFrame:
-    """key, doc_id, n, component of the classes in dense regions that hold classes of several components."""
-    rows = dense.join(linked.withColumnRenamed("node", "key"), "key", "left").select(
-        "region", "key", F.coalesce("root", "key").alias("component")
-    )
-    mixed_ = rows.groupBy("region").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
-    keys = rows.join(mixed_.select("region"), "region", "left_semi").select("key", "component").distinct()
-    return classes.select("key", "doc_id", "n").join(keys, "key")
+def _parted(classes: DataFrame, dense: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of dense regions that hold several candidate groups, the pairs of which may not have met.
+
+    A region's family is its largest group, the others of it are strays. First family, stray, key, doc_id, n
+    where all strays of a family fit a block; then key, doc_id, n and the group ``compared`` for the others.
+    """
+    rows = dense.distinct().join(members.select("key", "group"), "key", "left")
+    rows = rows.withColumn("group", F.coalesce("group", "key"))
+    sizes = rows.groupBy("region", "group").agg(F.struct(F.count("*").alias("n"), "group").alias("_size"))
+    top = sizes.groupBy("region").agg(F.max("_size")["group"].alias("family"), F.count("*").alias("_groups"))
+    several = rows.join(top.where("_groups > 1").select("region", "family"), "region")
+    held = several.select("family", "group", "key").distinct().join(classes.select("key", "doc_id", "n"), "key")
+    held = stored(held.withColumn("stray", F.col("group") != F.col("family")), "parted")
+    strays = held.where("stray").groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    crowded = strays.where((F.col("sets") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)).select("family")
+    again = held.join(crowded, "family", "left_semi").select("key", "doc_id", "n", F.col("group").alias("compared"))
+    return held.join(crowded, "family", "left_anti").drop("group"), again.distinct()
 
 
 def _with_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -313,27 +327,49 @@ def _signed_again(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     return _with_texts(docs, classes).select("key", "text").mapInArrow(run, "key string, signature binary")
 
 
-def _confirmed(docs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links (a, b) of keys, found in tiles of the members' whole sets."""
-    sizes = members.groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-    placed = members.join(sizes.select("group", blocks.cast("int").alias("blocks")), "group").withColumn(
-        "block", F.pmod(F.xxhash64("key"), F.col("blocks").cast("long")).cast("int")
-    )
+def _blocks() -> Column:
+    """How many blocks a group takes."""
+    return F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+
+
+def _block() -> Column:
+    return F.pmod(F.xxhash64("key"), F.col("blocks").cast("long")).cast("int")
+
+
+def _placed(members: DataFrame) -> DataFrame:
+    """Members with their block and the last one that it meets, for every pair of a group."""
+    placed = members.join(members.groupBy("group").agg(_blocks()), "group").withColumn("block", _block())
+    return placed.withColumn("last", F.col("blocks") - 1).drop("blocks")
+
+
+def _beside(few: DataFrame) -> DataFrame:
+    """Strays as block 0, which meets itself and every block of the family; these meet no other."""
+    blocks = few.where("NOT stray").groupBy("family").agg(_blocks())
+    placed = few.join(blocks, "family").withColumnRenamed("family", "group")
+    return placed.withColumns(
+        {
+            "block": F.when(F.col("stray"), 0).otherwise(_block() + 1),
+            "last": F.when(F.col("stray"), F.col("blocks")).otherwise(0),
+        }
+    ).drop("blocks", "stray")
+
+
+def _confirmed(docs: DataFrame, placed: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) of keys, found in tiles of the placed members' whole sets."""
 
     def run(batches):
         for taken, sets in _own_sets(batches, width):
             yield pa.record_batch(
-                {c: taken[c] for c in ("group", "key", "block", "blocks")}
+                {c: taken[c] for c in ("group", "key", "block", "last")}
                 | {"set": pa.array([s.tobytes() for s in sets], pa.binary())}
             )
 
-    sets = _with_texts(docs, placed).select("group", "key", "block", "blocks", "text").mapInArrow(
-        run, "group string, key string, block int, blocks int, set binary"
+    sets = _with_texts(docs, placed).select("group", "key", "block", "last", "text").mapInArrow(
+        run, "group string, key string, block int, last int, set binary"
     )
-    # A tile compares block x with block y >= x; a block takes part in as many tiles as there are blocks.
+    # A tile compares block x with block y >= x; a block takes part in as many tiles as there are blocks it meets.
     tiles = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
+        F.sequence(F.lit(0), F.col("last")),
         lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")),
     )
     spread = sets.withColumn("tile", F.explode(tiles)).select("group", "tile.x", "tile.y", "block", "key", "set")
