@@ -144,3 +144,17 @@ def test_buckets_follow_the_first_run_and_only_the_run_moves(spark, folder, monk
     for name, want in rebuilt(table).items():
         kept = read_gold(spark, f"{folder}/out")[name]
         assert same_rows(kept, want), name
+
+
+def test_signed_rows_are_as_wide_as_gold_and_summed_once(spark, folder):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob(f"{shared}/*"))
+    entity = {"name": "n", "entity_type": "bar", "address_1": "1 Way", "city": "Rio", "country": "B", "longitude": 0.0}
+    land(spark, folder, {f"e{i}": {**entity, "longitude": float(i % 2)} for i in range(6)}, 0)
+    table = runs_to_star(spark, f"{folder}/in", f"{folder}/out", buckets=2)
+    scratch = {p.split("/")[-1].split("-")[0]: p for p in set(glob(f"{shared}/*")) - before}
+    signed = spark.read.parquet(f"{scratch['signed']}/buckets=2").columns
+    assert {"address_1", "full_address"} <= set(table.columns.names) and not {"address_1", "full_address"} & set(signed)
+    assert {r["_net"] for r in spark.read.parquet(scratch["cells"]).collect()} == {3}
+    kept = read_gold(spark, f"{folder}/out")
+    assert all(same_rows(kept[name], want) for name, want in rebuilt(table).items())

@@ -3,7 +3,8 @@
 Each table of gold is a ``ChangeLog`` next to the history: the fact by entity,
 dimension members with the number of current entities that have them, and the
 rollup by group. A refresh takes what has happened to the open versions since a table's last one:
-rows that went count -1, rows that came 1. Members and groups without entities go. A group
+rows that went count -1, rows that came 1, with the columns that gold has. Dimensions and
+rollup come from their counts by location and kind, summed in one pass. Members and groups without entities go. A group
 that lost the row with its latest time has it looked up again, no other is.
 """
 
@@ -15,12 +16,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.model import KIND_SK, LOCATION_SK, fact_sk, kind_dim_sk, location_columns, location_dim_sk, surrogate_key
+from tidemark.operators.model import (
+    KIND_SK,
+    LOCATION_SK,
+    fact_mapping,
+    fact_sk,
+    kind_dim_sk,
+    location_columns,
+    location_dim_sk,
+    surrogate_key,
+)
 from tidemark.operators.ordered import latest_per_key
 from tidemark.schema import DEFAULT_SPEC, EntitySpec
 from tidemark.session import scratch_path
 from tidemark.sources.changes import BUCKETS, GONE, SIGN, ChangeLog, VersionLog
-from tidemark.sources.tables import WriteMetrics
+from tidemark.sources.tables import WriteMetrics, read_table, write_table
 
 GROUP_SK, MEMBERS = "group_sk", "member_count"
 FACT, LOCATION, KIND, ROLLUP = "fact", "location", "kind", "rollup"
@@ -51,6 +61,24 @@ def _group(spec: EntitySpec) -> list[str]:
     return [*spec.location, spec.kind]
 
 
+def _used(history: VersionLog, spec: EntitySpec) -> T.StructType:
+    """The columns of the history that gold is made of."""
+    names = {*fact_mapping(spec), *location_columns(spec), spec.kind, "updated_at", *history.keys}
+    return T.StructType([f for f in history.columns if f.name in names])
+
+
+def _cells(signed: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Location and kind with the net of entities (``_net``) and the latest time that came and went, stored."""
+    at = F.col("updated_at")
+    cells = signed.groupBy(*location_columns(spec), spec.kind).agg(
+        F.sum(SIGN).alias("_net"),
+        F.max(F.when(F.col(SIGN) > 0, at)).alias("_come"),
+        F.max(F.when(F.col(SIGN) < 0, at)).alias("_went"),
+    )
+    written = write_table(cells, scratch_path(signed.sparkSession, "cells"))
+    return read_table(signed.sparkSession, written.path, schema=cells.schema)
+
+
 def refresh(history: VersionLog, logs: dict[str, ChangeLog], spec: EntitySpec = DEFAULT_SPEC) -> dict[str, WriteMetrics]:
     """Bring each table up to the newest batch of the history; what was written, by table.
 
@@ -59,22 +87,24 @@ def refresh(history: VersionLog, logs: dict[str, ChangeLog], spec: EntitySpec =
     """
     batches = history.batches()
     steps = {FACT: _facts, LOCATION: _locations, KIND: _kinds, ROLLUP: _rollup}
-    written, signed, stored = {}, {}, []
+    written, signed, cells, stored = {}, {}, {}, []
     for name, log in logs.items():
         after = max(log.runs(), default="")
         if not batches or after == batches[-1]:
             continue
         if after not in signed:
             # Stored: all tables read it, and it is as small as the changes. It lies as the history does.
-            path, columns = scratch_path(history.spark, "signed"), T.StructType(list(history.columns)).add(SIGN, T.IntegerType())
+            used = _used(history, spec)
+            path, columns = scratch_path(history.spark, "signed"), T.StructType(list(used)).add(SIGN, T.IntegerType())
             changes = ChangeLog(history.spark, path, columns, (*history.keys, SIGN), history.by, history.width())
-            changes.take("all", lambda: history.signed(after, batches[-1]), placed=True)
+            changes.take("all", lambda: history.signed(after, batches[-1], used.names), placed=True)
             stored.append(changes)
             signed[after] = changes.rows().select(*columns.names)
+        if name != FACT and after not in cells:
+            cells[after] = _cells(signed[after], spec)
+        rows = signed[after] if name == FACT else cells[after]
         placed = name == FACT and log.width() == history.width()
-        written[name] = log.take(
-            batches[-1], lambda: steps[name](signed[after], log, history, batches[-1], spec), placed=placed
-        )
+        written[name] = log.take(batches[-1], lambda: steps[name](rows, log, history, batches[-1], spec), placed=placed)
     for changes in stored:
         changes.forget()
     return written
@@ -86,10 +116,12 @@ def _facts(signed: DataFrame, log: ChangeLog, history: VersionLog, upto: str, sp
     return fact_sk(last.withColumn(GONE, F.col(SIGN) < 0), spec, GONE)
 
 
-def _counted(signed: DataFrame, key: Column, name: str, columns: dict[str, str], log: ChangeLog, *more: Column) -> DataFrame:
-    """Each member that gained or lost entities: the net, ``more``, and what the table has of it as ``_old``."""
-    keyed = signed.select(key.alias(name), *[F.col(c).alias(n) for c, n in columns.items()], SIGN, "updated_at")
-    net = keyed.groupBy(name, *columns.values()).agg(F.sum(SIGN).alias("_net"), *more)
+def _counted(cells: DataFrame, name: str, columns: dict[str, str], log: ChangeLog) -> DataFrame:
+    """Each member that gained or lost entities: the net and times, and what the table has of it as ``_old``."""
+    net = cells.groupBy(*[F.col(c).alias(n) for c, n in columns.items()]).agg(
+        F.sum("_net").alias("_net"), F.max("_come").alias("_come"), F.max("_went").alias("_went")
+    )
+    net = net.withColumn(name, surrogate_key(net, list(columns.values())))
     old = log.read().select(name, F.struct(*log.columns.names).alias("_old"))
     return net.join(old, name, "left")
 
@@ -100,27 +132,25 @@ def _count(column: str) -> Column:
     return F.when(total < 0, below).otherwise(total).cast("long")
 
 
-def _members(signed: DataFrame, log: ChangeLog, name: str, columns: dict[str, str]) -> DataFrame:
-    found = _counted(signed, surrogate_key(signed, list(columns)), name, columns, log)
+def _members(cells: DataFrame, log: ChangeLog, name: str, columns: dict[str, str]) -> DataFrame:
+    found = _counted(cells, name, columns, log)
     count = _count(MEMBERS)
     return found.where(F.col("_net") != 0).select(
         name, *columns.values(), count.alias(MEMBERS), (count == 0).alias(GONE)
     )
 
 
-def _locations(signed: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
-    return _members(signed, log, LOCATION_SK, {c: f"{c}_name" if c in spec.location else c for c in location_columns(spec)})
+def _locations(cells: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
+    return _members(cells, log, LOCATION_SK, {c: f"{c}_name" if c in spec.location else c for c in location_columns(spec)})
 
 
-def _kinds(signed: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
-    return _members(signed, log, KIND_SK, {spec.kind: spec.kind_name})
+def _kinds(cells: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
+    return _members(cells, log, KIND_SK, {spec.kind: spec.kind_name})
 
 
-def _rollup(signed: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
-    group, at = _group(spec), F.col("updated_at")
-    come = F.max(F.when(F.col(SIGN) > 0, at)).alias("_come")
-    went = F.max(F.when(F.col(SIGN) < 0, at)).alias("_went")
-    found = _counted(signed, surrogate_key(signed, group), GROUP_SK, {c: c for c in group}, log, come, went)
+def _rollup(cells: DataFrame, log: ChangeLog, history: VersionLog, upto: str, spec: EntitySpec) -> DataFrame:
+    group = _group(spec)
+    found = _counted(cells, GROUP_SK, {c: c for c in group}, log)
     count, last = _count(spec.count_column), F.col("_old")["last_updated"]
     # The latest row went and none as late came: the next to latest is not known.
     lost = (F.col("_went") >= last) & ~F.coalesce(F.col("_come") >= last, F.lit(False)) & (count > 0)

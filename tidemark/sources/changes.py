@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -145,16 +145,17 @@ class VersionLog(ChangeLog):
         """The open versions."""
         return self.read(upto).where(IS_CURRENT)
 
-    def signed(self, after: str = "", upto: str | None = None) -> DataFrame:
+    def signed(self, after: str = "", upto: str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
         """What the batches later than ``after`` did to the open versions: rows gone (``sign`` -1) and come (1).
 
-        Versions that were open before, and still are as they were, are not among them.
+        Versions that were open before, and still are as they were in ``columns`` (all, if not given), are not among them.
         """
+        names = list(columns or self.columns.names)
         if not after:
-            return self.opened(upto).select(*self.columns.names, F.lit(1).alias(SIGN))
+            return self.opened(upto).select(*names, F.lit(1).alias(SIGN))
         # The latest row of a key before and the latest since, side by side in one pass over the buckets.
         ends = latest_per_key(self.rows(upto).withColumn("_old", F.col(BATCH) <= after), [*self.keys, "_old"], [BATCH])
-        open_row = F.when(F.col(IS_CURRENT) & ~F.col(GONE), F.struct(*self.columns.names))
+        open_row = F.when(F.col(IS_CURRENT) & ~F.col(GONE), F.struct(*names))
         pair = Window.partitionBy(*self.keys).orderBy("_old")
         ends = ends.select(*self.keys, "_old", open_row.alias("_row"))
         ends = ends.withColumns({"_since": F.lag("_old").over(pair).isNotNull(), "_before": F.lead("_row").over(pair), "_now": F.lag("_row").over(pair)})
