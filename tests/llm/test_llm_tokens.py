@@ -1,9 +1,13 @@
 """Token files and edit-aware counts against the tokenizer itself."""
 
+import json
 import random
+import time
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +40,68 @@ def test_encoder_equals_the_tokenizer(plain, monkeypatch):
     assert [small.encode([t])[0] for t in texts[:500]] == want[:500] and len(small.known) <= 60
 
 
+def lists(arrays):
+    return [values[a:b].tolist() for bounds, values in arrays for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def test_texts_are_cut_as_one_array(plain):
+    rnd, coder = random.Random(6), encoding.Encoder(CONTENT)
+    pool = [*POOL, "\u00a0", "\u3000", "\u2003", "×", "é.", "×.", "»,", "<|endof", "text|>", "\r\n", "\t\t", "’s", "ʰ.", "\U0001f600."]
+    texts = ["".join(rnd.choices(pool, k=rnd.randint(0, 12))) for _ in range(4000)]
+    texts += ["<|endof", "text|>", "", " ", "", ". a", "é", ". b", "x\n", "\n", "\n\n y"]
+    want = [[*e.ids, 0] for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for kind in (pa.string(), pa.large_string()):
+        assert lists(coder.arrays(pa.array(["left out", *texts], kind)[1:], 0)) == want
+    assert lists(coder.arrays(pa.array(texts))) == [w[:-1] for w in want]
+    for few in ([], ["", "", ""], *([t] for t in texts)):
+        assert lists(coder.arrays(pa.array(few, pa.string()), 0)) == [[*ids(plain, t), 0] for t in few]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    rule = json.loads(CONTENT)
+    rule["pre_tokenizer"]["add_prefix_space"] = True
+    other = json.dumps(rule)
+    texts = ["a b", "", "word, <|endoftext|>  x"] * 200
+    want = [[*e.ids, 0] for e in Tokenizer.from_str(other).encode_batch(texts, add_special_tokens=False)]
+    assert lists(encoding.Encoder(other).arrays(pa.array(texts), 0)) == want
+
+
+def test_repeated_words_cost_a_fraction_of_the_tokenizer(plain):
+    rnd, coder = random.Random(4), encoding.Encoder(CONTENT)
+    words = ["".join(rnd.choices(["an", "the", "ing", "or", "ti", "é"], k=rnd.randint(1, 4))) for _ in range(3000)]
+    texts = [" ".join(rnd.choices(words, k=500)) + ".\n" for _ in range(600)]
+
+    def seconds(function):
+        least = []
+        for _ in range(4):
+            coder.known.clear()
+            begin = time.process_time()
+            function()
+            least.append(time.process_time() - begin)
+        return min(least)
+
+    whole = seconds(lambda: plain.encode_batch_fast(texts, add_special_tokens=False))
+    assert seconds(lambda: coder.encode(texts)) < whole / 6
+
+
+def test_blocks_of_texts_give_the_same_rows(plain, monkeypatch):
+    texts = ["some words, and some words", "", "漢字 words", "long " * 300, None, "last one.\n"] * 60
+    batches = [
+        pa.record_batch({"doc_id": list(range(k, k + 90)), "block": [3] * 90, "text": [t or "" for t in texts[k : k + 90]]})
+        for k in range(0, 360, 90)
+    ]
+    found = []
+    for block in (token_file.BLOCK, 5000, 1):
+        monkeypatch.setattr(token_file, "BLOCK", block)
+        sizes = [b.num_rows for b in token_file._blocks(iter(batches))]
+        assert sum(sizes) == 360 and (len(sizes) == 1 or block < 1 << 20) and (block > 1 or set(sizes) == {1})
+        found.append([row for b in token_file._encode(SimpleNamespace(value=CONTENT), 0)(iter(batches)) for row in b.to_pylist()])
+    assert found[0] == found[1] == found[2]
+    assert [r["ids"] for r in found[0]] == [[*ids(plain, t), 0] for t in texts]
+    starts = np.cumsum([0, *(r["n_tokens"] for r in found[0])])[:-1].tolist()
+    assert [(r["doc_id"], r["block"], r["start_in_block"]) for r in found[0]] == [(k, 3, n) for k, n in enumerate(starts)]
+
+
 def test_token_file_round_trip(spark, documents, plain, folder):
     rows = [(k, f"text {k} " * (k % 7), "en", "s") for k in range(200)]
     rows += [(None, "no id", None, None), (500, None, "en", "s"), (501, "", "en", "s"), (502, "long " * 60_000, "en", "s")]

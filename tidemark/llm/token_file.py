@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,7 +23,8 @@ from tidemark.llm.common import small_batches
 from tidemark.llm.encoding import encoder
 
 END = 0
-ROWS = 256
+# Bytes of text that a task cuts and encodes at once; a row counts as some, too.
+BLOCK, ROW_BYTES = 24 << 20, 16
 OPTIONS = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
@@ -34,25 +36,41 @@ OPTIONS = {
 }
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in blocks of about ``BLOCK`` bytes of text, or of one longer text."""
+    held, size = [], 0
+    for batch in batches:
+        ends, low = np.cumsum(pc.binary_length(batch["text"]).to_numpy() + ROW_BYTES), 0
+        while low < batch.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + BLOCK - size)))
+            held.append(batch.slice(low, high - low))
+            size, low = size + int(ends[high - 1] - before), high
+            if size >= BLOCK or low < batch.num_rows:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _encode(shared, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, start = np.uint32(end).tobytes(), 0
+        start = 0
         with encoder(shared.value) as ids:
-            for part in (b.slice(low, ROWS) for b in batches for low in range(0, b.num_rows, ROWS)):
-                found = ids.encode(part["text"].to_pylist())
-                n = np.array([len(x) // 4 + 1 for x in found], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(n)])
-                values = np.frombuffer(last.join([*found, b""]), np.int32)
-                yield pa.record_batch(
-                    {
-                        "doc_id": part["doc_id"],
-                        "block": part["block"],
-                        "start_in_block": start + offsets[:-1],
-                        "n_tokens": n,
-                        "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values),
-                    }
-                )
-                start += int(offsets[-1])
+            for block in _blocks(batches):
+                low = 0
+                for bounds, values in ids.arrays(block["text"], end):
+                    part = block.slice(low, len(bounds) - 1)
+                    yield pa.record_batch(
+                        {
+                            "doc_id": part["doc_id"],
+                            "block": part["block"],
+                            "start_in_block": start + bounds[:-1],
+                            "n_tokens": np.diff(bounds),
+                            "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values.view(np.int32)),
+                        }
+                    )
+                    low, start = low + part.num_rows, start + int(bounds[-1])
 
     return run
 
