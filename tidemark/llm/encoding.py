@@ -99,7 +99,8 @@ class Encoder:
             known.update(zip(alone, self._encode(alone)))
         for low in range(0, len(beside), BESIDE):
             some = beside[low : low + BESIDE]
-            found = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, np.uint32)
+            found = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
+            found = np.array(found, np.uint32)
             starts = np.flatnonzero(self.opening[found]) * 4
             data, begins = found.tobytes(), starts.tolist()
             known.update(zip(some, map(data.__getitem__, map(slice, begins, [*begins[1:], None])), strict=True))
